@@ -2,7 +2,7 @@
 
 ``QUERIES[name](star)`` returns the exact-decimal DataFrame;
 ``driver_queries()`` adapts each to the ``(spark, sf_dir) -> DataFrame``
-contract and casts DECIMAL columns to DOUBLE so both sides of the SQL-oracle
+contract and casts DECIMAL columns to DOUBLE (and DATE to ISO text) so both sides of the SQL-oracle
 comparison carry the same type.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DateType, DecimalType
 
 from quotalake.operators import audits, reports
 from quotalake.operators.build import target_validation
@@ -62,9 +62,14 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
 
 
 def decimals_to_double(df: DataFrame) -> DataFrame:
-    cols = [F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
-            else F.col(f.name) for f in df.schema.fields]
-    return df.select(*cols)
+    """Comparison form: DECIMAL -> DOUBLE, DATE -> 'yyyy-MM-dd' text (same on the SQL side)."""
+    def conv(f):
+        if isinstance(f.dataType, DecimalType):
+            return F.col(f.name).cast("double").alias(f.name)
+        if isinstance(f.dataType, DateType):
+            return F.col(f.name).cast("string").alias(f.name)
+        return F.col(f.name)
+    return df.select(*[conv(f) for f in df.schema.fields])
 
 
 def driver_queries(config: StarConfig | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -324,13 +324,15 @@ ORACLE_SQL: dict[str, str] = {
     "target_miss_rate": _MISS_RATE,
     "vw_target_miss_rate": _MISS_RATE,
     # --- data-building operators ---
-    "build_calendar": _with("calendar") + "SELECT * FROM calendar",
+    "build_calendar": _with("calendar") + """
+        SELECT CAST(date AS VARCHAR) AS date, year, quarter, month, month_name, week, day,
+               financial_year FROM calendar""",
     "build_products": _with("products") + f"""
         SELECT product_id, product_name, category, {_money('standard_cost')} AS standard_cost,
                {_money('list_price')} AS list_price FROM products""",
     "build_customers": _with("customers") + "SELECT * FROM customers",
     "price_sales": _with("sales") + f"""
-        SELECT customer_id, salesperson_id, product_id, sale_date, quantity,
+        SELECT customer_id, salesperson_id, product_id, CAST(sale_date AS VARCHAR) AS sale_date, quantity,
                {_money('discount_percent')} AS discount_percent, {_money('unit_price')} AS unit_price,
                {_money('revenue')} AS revenue, {_money('cost')} AS cost, {_money('profit')} AS profit
         FROM sales""",
@@ -347,7 +349,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM reps r JOIN rep_revenue rr ON rr.salesperson_id = r.salesperson_id""",
     "assign_territory": _with("pipeline") + f"""
         SELECT opportunity_id, customer_id, salesperson_id, stage,
-               {_money('probability')} AS probability, expected_close_date,
+               {_money('probability')} AS probability,
+               CAST(expected_close_date AS VARCHAR) AS expected_close_date,
                {_money('expected_revenue')} AS expected_revenue
         FROM pipeline""",
 }
