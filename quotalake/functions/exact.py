@@ -76,3 +76,46 @@ def money_avg(total: Column, n: Column, scale: int = 2) -> Column:
 def to_money(col: Column, precision: int = 14) -> Column:
     """Cast to DECIMAL(precision, 2)."""
     return col.cast(f"decimal({precision},2)")
+
+
+# --- long-integer cents ------------------------------------------------------
+#
+# Per-row money arithmetic runs on BIGINT cents: Spark multiplies DECIMALs
+# through java.math.BigDecimal, while BIGINT arithmetic stays in generated
+# code.  With ANSI mode on, an overflow raises an error instead of wrapping,
+# so results are exact or the job fails loudly.
+
+def idiv(a: Column, b: Column | int) -> Column:
+    """Integer division truncating toward zero (SQL ``div``)."""
+    return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
+
+
+def half_up_long(a: Column, b: int) -> Column:
+    """round(a / b) half away from zero for BIGINT a and a positive constant b."""
+    if b <= 0:
+        raise ValueError("divisor must be positive")
+    if b % 2 == 0:
+        mag = idiv(F.abs(a) + F.lit(b // 2), b)
+    else:
+        mag = idiv(F.abs(a) * F.lit(2) + F.lit(b), 2 * b)
+    return F.when(a < 0, -mag).otherwise(mag)
+
+
+def round_half_up_double(x: Column) -> Column:
+    """ROUND(x) for DOUBLE, half away from zero, without a BigDecimal per row."""
+    return F.when(x < 0, -F.floor(-x + F.lit(0.5))).otherwise(F.floor(x + F.lit(0.5)))
+
+
+def money_cents(col: Column) -> Column:
+    """BIGINT cents of a DECIMAL(p, 2) column (or of a DOUBLE rounded to cents as a DECIMAL)."""
+    return (col * F.lit(100)).cast("long")
+
+
+def sum_cents(col: Column) -> Column:
+    """Exact sum of BIGINT cents (ANSI mode turns an overflow into an error)."""
+    return F.sum(col)
+
+
+def money_from_cents(c: Column, precision: int = 24) -> Column:
+    """DECIMAL(precision, 2) from BIGINT cents."""
+    return unscale(c, 2, precision)

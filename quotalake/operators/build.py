@@ -13,7 +13,15 @@ from pyspark.sql import functions as F
 
 from quotalake.functions.calendar_fns import financial_year, iso_week, month_name
 from quotalake.functions.draws import weighted_choice
-from quotalake.functions.exact import cents, round_ratio, to_money
+from quotalake.functions.exact import (
+    as_int,
+    half_up_long,
+    half_up_quotient,
+    money_cents,
+    money_from_cents,
+    round_ratio,
+    to_money,
+)
 
 # Opportunity stages in funnel order, their win probability (%)
 # and their share of opportunities (per mille).
@@ -61,24 +69,25 @@ def calendar_rows(start: dt.date, end: dt.date) -> int:
 
 # --- B5 -------------------------------------------------------------------
 
-def price_sales(list_price: Column, standard_cost: Column, quantity: Column,
-                discount_percent: Column) -> dict[str, Column]:
-    """Unit price, revenue, cost and profit, each rounded once from exact inputs.
+def price_sales(list_cents: Column, cost_cents: Column, quantity: Column,
+                discount_hundredths: Column) -> dict[str, Column]:
+    """Unit price, revenue, cost and profit in BIGINT cents, each rounded once.
 
-    ``gross = list_price * (100 - discount) * quantity`` is exact in hundredths
-    of a cent; revenue is ``round(gross / 100, 2)``, so revenue is generally
-    not unit_price * quantity.  A NULL discount counts as 0 (the column default).
+    Inputs: list price and standard cost in cents, quantity, and the discount
+    in hundredths of a percent (NULL counts as 0, the column default).
+    ``gross = list * (10000 - discount) * quantity`` is the exact revenue in
+    units of 10^-4 cent; revenue is ``round(gross / 10^4)``, so revenue is
+    generally not unit_price * quantity.
     """
-    disc = F.coalesce(discount_percent, F.lit(0).cast("decimal(5,2)"))
-    keep = F.lit(100) - disc
-    hundredth = F.lit(0.01).cast("decimal(3,2)")
-    gross = list_price * keep * quantity
-    cost_exact = standard_cost * quantity
+    keep = F.lit(10000) - F.coalesce(discount_hundredths, F.lit(0)).cast("long")
+    qty = quantity.cast("long")
+    gross = list_cents * keep * qty
+    cost = cost_cents * qty
     return {
-        "unit_price": F.round(list_price * keep * hundredth, 2).cast("decimal(12,2)"),
-        "revenue": to_money(F.round(gross * hundredth, 2)),
-        "cost": to_money(F.round(cost_exact, 2)),
-        "profit": to_money(F.round(gross * hundredth - cost_exact, 2)),
+        "unit_price_cents": half_up_long(list_cents * keep, 10000),
+        "revenue_cents": half_up_long(gross, 10000),
+        "cost_cents": cost,
+        "profit_cents": half_up_long(gross - cost * F.lit(10000), 10000),
     }
 
 
@@ -105,30 +114,27 @@ def customer_size(draw: Column) -> Column:
 
 # --- B3 / B2 / B4 -----------------------------------------------------------
 
-def rep_revenue(sales: DataFrame) -> DataFrame:
-    """Total revenue per rep (partial aggregation before the shuffle)."""
-    return sales.groupBy("salesperson_id").agg(F.sum("revenue").alias("revenue_total"))
-
-
 def rescale_targets(salespeople: DataFrame, per_rep: DataFrame, years: int,
                     share_pct: int = 90) -> DataFrame:
     """annual_target = round(sum(revenue) / years * share, 2) per rep with sales.
 
-    ``per_rep`` holds (salesperson_id, revenue_total).  Reps without sales keep
+    ``per_rep`` holds (salesperson_id, revenue_cents).  Reps without sales keep
     their previous ``annual_target`` (UPDATE ... FROM semantics: a left join
-    plus COALESCE).  Only one row per rep crosses the join.
+    plus COALESCE).  Only one row per rep crosses the join.  Adds
+    ``annual_cents`` next to the DECIMAL ``annual_target``.
     """
-    new_target = round_ratio(cents(F.col("revenue_total")) * F.lit(share_pct),
-                             F.lit(years * 100 * 100), 2, precision=14)
-    return (salespeople.join(per_rep.select("salesperson_id", new_target.alias("_new")),
+    new_cents = half_up_quotient(as_int(F.col("revenue_cents")) * F.lit(share_pct),
+                                 F.lit(years * 100)).cast("long")
+    return (salespeople.join(per_rep.select("salesperson_id", new_cents.alias("_new")),
                              "salesperson_id", "left")
-            .withColumn("annual_target", F.coalesce(F.col("_new"), F.col("annual_target")).cast("decimal(14,2)"))
+            .withColumn("annual_cents", F.coalesce(F.col("_new"), money_cents(F.col("annual_target"))))
+            .withColumn("annual_target", money_from_cents(F.col("annual_cents"), 14))
             .drop("_new"))
 
 
-def monthly_target(annual: Column) -> Column:
-    """round(annual / 12, 2) exactly."""
-    return round_ratio(cents(annual), F.lit(12 * 100), 2, precision=14)
+def monthly_target_cents(annual_cents: Column) -> Column:
+    """round(annual / 12, 2) exactly, in cents."""
+    return half_up_long(annual_cents, 12)
 
 
 def build_targets(salespeople: DataFrame, start: dt.date, end: dt.date,
@@ -139,16 +145,18 @@ def build_targets(salespeople: DataFrame, start: dt.date, end: dt.date,
     the months of the range, so each rep row is expanded with a generator
     (``explode(sequence(...))``) -- a narrow operation, no join or shuffle.
     ``carry`` lists rep columns (e.g. the name) to keep on every target row.
+    Needs ``annual_cents`` on the rep rows.
     """
     first = dt.date(start.year, start.month, 1)
     last = dt.date(end.year, end.month, 1)
     months = F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 MONTH")))
     carry = list(carry or [])
-    return (salespeople.select("salesperson_id", *carry, "annual_target", months.alias("_m"))
+    return (salespeople.select("salesperson_id", *carry, "annual_cents", months.alias("_m"))
             .select("salesperson_id", *carry,
                     F.year("_m").alias("year"),
                     F.month("_m").alias("month"),
-                    monthly_target(F.col("annual_target")).alias("monthly_target")))
+                    monthly_target_cents(F.col("annual_cents")).alias("target_cents"))
+            .withColumn("monthly_target", money_from_cents(F.col("target_cents"), 14)))
 
 
 def target_validation(salespeople: DataFrame, per_rep: DataFrame, years: int) -> DataFrame:
@@ -158,11 +166,11 @@ def target_validation(salespeople: DataFrame, per_rep: DataFrame, years: int) ->
     decimals (half away from zero).
     """
     months = 12 * years
-    return (salespeople.select("salesperson_id", "annual_target")
+    return (salespeople.select("salesperson_id", "annual_target", "annual_cents")
             .join(per_rep, "salesperson_id", "inner")
             .select("salesperson_id", "annual_target",
-                    monthly_target(F.col("annual_target")).alias("monthly_target"),
-                    round_ratio(cents(F.col("revenue_total")), F.lit(months * 100), 6, precision=24)
+                    money_from_cents(monthly_target_cents(F.col("annual_cents")), 14).alias("monthly_target"),
+                    round_ratio(F.col("revenue_cents"), F.lit(months * 100), 6, precision=24)
                     .alias("avg_actual_monthly_revenue")))
 
 

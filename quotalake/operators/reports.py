@@ -16,7 +16,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotalake.functions.exact import as_int, cents, half_up_quotient, money_avg, pct, unscale
+from quotalake.functions.exact import (
+    as_int,
+    half_up_quotient,
+    money_from_cents,
+    pct,
+    sum_cents,
+    unscale,
+)
 from quotalake.functions.text import full_name, title_case
 from quotalake.operators.build import CLOSED_LOST, CLOSED_WON, STAGES, build_targets
 from quotalake.sources.star import Star
@@ -28,13 +35,23 @@ TIER_LOW = "Low"
 
 
 def _sum_count(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).agg(F.sum("revenue").alias("total_revenue"),
-                               F.sum("profit").alias("total_profit"),
+    """Revenue and profit cents and row count per key (map-side partial aggregation)."""
+    return df.groupBy(key).agg(sum_cents(F.col("revenue_cents")).alias("rev_c"),
+                               sum_cents(F.col("profit_cents")).alias("prof_c"),
                                F.count(F.lit(1)).alias("sales_count"))
 
 
-def _margin(revenue: str = "total_revenue", profit: str = "total_profit"):
-    return pct(cents(F.col(profit)), cents(F.col(revenue)), 2).cast("decimal(8,2)")
+def _margin(rev_c: str = "rev_c", prof_c: str = "prof_c"):
+    return pct(F.col(prof_c), F.col(rev_c), 2).cast("decimal(8,2)")
+
+
+def _money(c: str, name: str):
+    return money_from_cents(F.col(c), 24).alias(name)
+
+
+def _avg(c: str, n: str, name: str):
+    """ROUND(sum / n, 2) from a cents sum, exactly."""
+    return unscale(half_up_quotient(F.col(c), F.col(n)), 2, 24).alias(name)
 
 
 # --- Q1 ---------------------------------------------------------------------
@@ -42,8 +59,10 @@ def _margin(revenue: str = "total_revenue", profit: str = "total_profit"):
 def overall_performance(star: Star) -> DataFrame:
     """Q1: total revenue, total profit, margin % (NULL when revenue is 0)."""
     return (star.sales_for_reps
-            .agg(F.sum("revenue").alias("total_revenue"), F.sum("profit").alias("total_profit"))
-            .select("total_revenue", "total_profit", _margin().alias("margin_pct")))
+            .agg(sum_cents(F.col("revenue_cents")).alias("rev_c"),
+                 sum_cents(F.col("profit_cents")).alias("prof_c"))
+            .select(_money("rev_c", "total_revenue"), _money("prof_c", "total_profit"),
+                    _margin().alias("margin_pct")))
 
 
 # --- Q2 / V1 ----------------------------------------------------------------
@@ -56,10 +75,11 @@ def vw_revenue_by_month(star: Star) -> DataFrame:
     most one group per month.
     """
     cal = F.broadcast(star.calendar.select("date", "year", "month", "month_name"))
-    s = star.sales.select("sale_date", "revenue")
+    s = star.sales.select("sale_date", "revenue_cents")
     return (s.join(cal, s["sale_date"] == cal["date"], "inner")
             .groupBy("year", "month", "month_name")
-            .agg(F.sum("revenue").alias("total_revenue")))
+            .agg(sum_cents(F.col("revenue_cents")).alias("rev_c"))
+            .select("year", "month", "month_name", _money("rev_c", "total_revenue")))
 
 
 def revenue_by_month(star: Star) -> DataFrame:
@@ -70,17 +90,20 @@ def revenue_by_month(star: Star) -> DataFrame:
 
 # --- Q3 / V2 ----------------------------------------------------------------
 
-def vw_revenue_by_state(star: Star) -> DataFrame:
-    """V2: revenue, profit, margin % and sale count per customer state."""
+def _state_summary(star: Star) -> DataFrame:
     per_customer = _sum_count(star.sales, "customer_id")
     cust = star.customers.select("customer_id", "state")
     return (per_customer.join(cust, "customer_id", "inner")
             .groupBy("state")
-            .agg(F.sum("total_revenue").alias("total_revenue"),
-                 F.sum("total_profit").alias("total_profit"),
+            .agg(F.sum("rev_c").alias("rev_c"), F.sum("prof_c").alias("prof_c"),
                  F.sum("sales_count").alias("sales_count"))
-            .select("state", "total_revenue", "total_profit", _margin().alias("margin_pct"),
-                    "sales_count"))
+            .select("state", _money("rev_c", "total_revenue"), _money("prof_c", "total_profit"),
+                    _margin().alias("margin_pct"), "sales_count", "rev_c"))
+
+
+def vw_revenue_by_state(star: Star) -> DataFrame:
+    """V2: revenue, profit, margin % and sale count per customer state."""
+    return _public(_state_summary(star))
 
 
 def revenue_by_state(star: Star) -> DataFrame:
@@ -88,15 +111,21 @@ def revenue_by_state(star: Star) -> DataFrame:
     return vw_revenue_by_state(star).orderBy(F.desc_nulls_first("total_revenue"))
 
 
+def _public(df: DataFrame) -> DataFrame:
+    """Drop the helper cents columns a view keeps for its dependants."""
+    return df.drop(*[c for c in df.columns if c.endswith("_c")])
+
+
 # --- Q4 / V3 ----------------------------------------------------------------
 
 def _product_summary(star: Star) -> DataFrame:
     per_product = _sum_count(star.sales_for_reps, "product_id")
     names = star.products.select("product_id", "product_name")
     return (per_product.join(names, "product_id", "inner")
-            .select("product_id", "product_name", "total_revenue", "total_profit", "sales_count",
-                    money_avg(F.col("total_revenue"), F.col("sales_count")).alias("avg_revenue"),
-                    money_avg(F.col("total_profit"), F.col("sales_count")).alias("avg_profit")))
+            .select("product_id", "product_name", _money("rev_c", "total_revenue"),
+                    _money("prof_c", "total_profit"), "sales_count",
+                    _avg("rev_c", "sales_count", "avg_revenue"),
+                    _avg("prof_c", "sales_count", "avg_profit"), "prof_c"))
 
 
 def _tier(at_least_high, at_least_medium):
@@ -111,10 +140,10 @@ def vw_revenue_by_product(star: Star) -> DataFrame:
     ``avg >= t`` is tested as ``sum >= t * count``, which is exact.
     """
     c = star.config
-    s = F.col("total_profit")
-    n = F.col("sales_count")
-    tier = _tier(s >= F.lit(c.tier_high) * n, s >= F.lit(c.tier_medium) * n)
-    return _product_summary(star).withColumn("profit_tier", tier)
+    s = as_int(F.col("prof_c"))
+    n = as_int(F.col("sales_count"))
+    tier = _tier(s >= F.lit(c.tier_high * 100) * n, s >= F.lit(c.tier_medium * 100) * n)
+    return _public(_product_summary(star).withColumn("profit_tier", tier))
 
 
 def revenue_by_product(star: Star) -> DataFrame:
@@ -122,7 +151,7 @@ def revenue_by_product(star: Star) -> DataFrame:
     c = star.config
     a = F.col("avg_profit")
     tier = _tier(a >= F.lit(c.tier_high), a >= F.lit(c.tier_medium))
-    return (_product_summary(star).withColumn("profit_tier", tier)
+    return (_public(_product_summary(star).withColumn("profit_tier", tier))
             .orderBy(F.desc_nulls_first("total_revenue")))
 
 
@@ -138,9 +167,8 @@ def vw_salesperson_performance(star: Star) -> DataFrame:
     return (per_rep.join(reps, "salesperson_id", "inner")
             .select("salesperson_id",
                     title_case(full_name(F.col("first_name"), F.col("last_name"))).alias("full_name"),
-                    "total_revenue", "total_profit",
-                    money_avg(F.col("total_revenue"), F.col("sales_count")).alias("avg_deal_size"),
-                    "sales_count"))
+                    _money("rev_c", "total_revenue"), _money("prof_c", "total_profit"),
+                    _avg("rev_c", "sales_count", "avg_deal_size"), "sales_count"))
 
 
 def salesperson_performance(star: Star) -> DataFrame:
@@ -152,7 +180,7 @@ def salesperson_performance(star: Star) -> DataFrame:
 
 def _reps_with_names(star: Star) -> DataFrame:
     return star.salespeople.select(
-        "salesperson_id", "annual_target",
+        "salesperson_id", "annual_cents",
         full_name(F.col("first_name"), F.col("last_name")).alias("full_name"))
 
 
@@ -170,8 +198,7 @@ def _target_months(star: Star, from_year: int | None = None) -> DataFrame:
     if from_year is not None:
         actuals = actuals.where(F.col("year") >= F.lit(from_year))
     return (targets.join(actuals, ["salesperson_id", "year", "month"], "left")
-            .withColumn("actual_revenue",
-                        F.coalesce(F.col("actual_revenue"), F.lit(0).cast("decimal(24,2)"))))
+            .withColumn("actual_cents", F.coalesce(F.col("actual_cents"), F.lit(0).cast("long"))))
 
 
 def _targets_with_names(reps: DataFrame, star: Star) -> DataFrame:
@@ -183,9 +210,10 @@ def vw_actual_vs_target(star: Star) -> DataFrame:
     """V5: every target month with actual, variance and % of target (1 dp)."""
     t = _target_months(star)
     return t.select(
-        "salesperson_id", "full_name", "year", "month", "monthly_target", "actual_revenue",
-        (F.col("actual_revenue") - F.col("monthly_target")).alias("variance"),
-        pct(cents(F.col("actual_revenue")), cents(F.col("monthly_target")), 1)
+        "salesperson_id", "full_name", "year", "month", "monthly_target",
+        _money("actual_cents", "actual_revenue"),
+        money_from_cents(F.col("actual_cents") - F.col("target_cents"), 24).alias("variance"),
+        pct(F.col("actual_cents"), F.col("target_cents"), 1)
         .cast("decimal(20,1)").alias("pct_of_target"))
 
 
@@ -201,8 +229,9 @@ def vw_top_customers(star: Star) -> DataFrame:
     per_customer = _sum_count(star.sales, "customer_id")
     cust = star.customers.select("customer_id", "company_name", "industry", "state")
     return (per_customer.join(cust, "customer_id", "inner")
-            .select("customer_id", "company_name", "industry", "state", "total_revenue",
-                    "total_profit", F.col("sales_count").alias("num_purchases")))
+            .select("customer_id", "company_name", "industry", "state",
+                    _money("rev_c", "total_revenue"), _money("prof_c", "total_profit"),
+                    F.col("sales_count").alias("num_purchases")))
 
 
 def top_customers(star: Star, n: int | None = None) -> DataFrame:
@@ -216,12 +245,23 @@ def top_customers(star: Star, n: int | None = None) -> DataFrame:
 # --- Q8 / V7 ----------------------------------------------------------------
 
 def vw_pipeline_by_stage(star: Star) -> DataFrame:
-    """V7: deals, expected revenue and probability-weighted value per stage."""
-    weighted = F.col("expected_revenue") * F.col("probability") * F.lit(0.01).cast("decimal(3,2)")
-    return (star.pipeline.groupBy("stage")
-            .agg(F.count("opportunity_id").alias("num_deals"),
-                 F.sum("expected_revenue").alias("total_expected_revenue"),
-                 F.round(F.sum(weighted), 2).cast("decimal(38,2)").alias("weighted_pipeline_value")))
+    """V7: deals, expected revenue and probability-weighted value per stage.
+
+    Aggregated in two steps: BIGINT cents per (stage, probability) over the
+    fact, then the exact weighted sum ``sum(p * E) / 100`` over those few
+    groups in DECIMAL -- no per-row DECIMAL multiplication.
+    """
+    per_prob = (star.pipeline.groupBy("stage", "probability")
+                .agg(F.count("opportunity_id").alias("n"),
+                     sum_cents(F.col("expected_revenue_cents")).alias("e_c")))
+    hundredths = as_int(F.col("probability") * F.lit(100))
+    per_stage = (per_prob.groupBy("stage")
+                 .agg(F.sum("n").alias("num_deals"),
+                      F.sum("e_c").alias("e_c"),
+                      F.sum(as_int(F.col("e_c")) * hundredths).alias("w")))
+    return per_stage.select(
+        "stage", "num_deals", _money("e_c", "total_expected_revenue"),
+        unscale(half_up_quotient(F.col("w"), F.lit(10000)), 2, 38).alias("weighted_pipeline_value"))
 
 
 def stage_rank(stage):
@@ -284,9 +324,9 @@ def vw_underperforming_states(star: Star) -> DataFrame:
     The mean is a window over the per-state aggregate, i.e. over one row per
     state, never over the fact table.
     """
-    by_state = vw_revenue_by_state(star).select("state", "total_revenue")
+    by_state = _state_summary(star).select("state", "total_revenue", "rev_c")
     everything = Window.partitionBy()
-    c = cents(F.col("total_revenue"))
+    c = as_int(F.col("rev_c"))
     total = F.sum(c).over(everything)
     n = F.count(F.lit(1)).over(everything)
     return by_state.select(
@@ -306,7 +346,7 @@ def vw_target_miss_rate(star: Star, from_year: int | None = None) -> DataFrame:
     """Per rep, months with actual < target since ``from_year``, and the share."""
     from_year = star.config.miss_from_year if from_year is None else from_year
     t = _target_months(star, from_year)
-    missed = F.count(F.when(F.col("actual_revenue") < F.col("monthly_target"), F.col("month")))
+    missed = F.count(F.when(F.col("actual_cents") < F.col("target_cents"), F.col("month")))
     return (t.groupBy("salesperson_id", "full_name")
             .agg(missed.alias("months_missed"), F.count("month").alias("total_months"))
             .select("salesperson_id", "full_name", "months_missed", "total_months",

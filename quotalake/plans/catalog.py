@@ -19,6 +19,11 @@ from quotalake.operators.build import target_validation
 from quotalake.session import apply_defaults
 from quotalake.sources.star import Star, StarConfig
 
+def _without_cents(df: DataFrame) -> DataFrame:
+    """The public columns of a star table (the BIGINT-cents carriers dropped)."""
+    return df.drop(*[c for c in df.columns if c.endswith("_cents")])
+
+
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     # reports and their views
     "overall_performance": reports.overall_performance,
@@ -45,14 +50,14 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "vw_target_miss_rate": reports.vw_target_miss_rate,
     # data-building operators
     "build_calendar": lambda star: star.calendar,
-    "build_products": lambda star: star.products,
+    "build_products": lambda star: _without_cents(star.products),
     "build_customers": lambda star: star.customers,
-    "price_sales": lambda star: star.sales,
-    "rescale_targets": lambda star: star.salespeople,
-    "build_targets": lambda star: star.targets,
+    "price_sales": lambda star: _without_cents(star.sales),
+    "rescale_targets": lambda star: _without_cents(star.salespeople),
+    "build_targets": lambda star: _without_cents(star.targets),
     "target_validation": lambda star: target_validation(
         star.salespeople, star.rep_revenue, star.config.target_years),
-    "assign_territory": lambda star: star.pipeline,
+    "assign_territory": lambda star: _without_cents(star.pipeline),
     # integrity audits
     "audit_unique": audits.audit_unique,
     "audit_fk": audits.audit_fk,

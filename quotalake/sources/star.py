@@ -38,12 +38,32 @@ from quotalake.functions.draws import (
     PRIME_TERRITORY,
     key_draw,
 )
-from quotalake.functions.exact import to_money
+from quotalake.functions.exact import (
+    money_cents,
+    money_from_cents,
+    round_half_up_double,
+    sum_cents,
+    to_money,
+)
 from quotalake.operators import build
 from quotalake.operators.ranking import assign_territory
 from quotalake.sources.tables import ParquetTables
 
 
+SALES_CENTS = ("unit_price_cents", "revenue_cents", "cost_cents", "profit_cents")
+
+
+def with_money_columns(df: DataFrame) -> DataFrame:
+    """Add the DECIMAL money columns of the sales fact next to their cents."""
+    return df.select(
+        *df.columns,
+        money_from_cents(F.col("unit_price_cents"), 12).alias("unit_price"),
+        money_from_cents(F.col("revenue_cents"), 14).alias("revenue"),
+        money_from_cents(F.col("cost_cents"), 14).alias("cost"),
+        money_from_cents(F.col("profit_cents"), 14).alias("profit"),
+    )
+
+
 @dataclass(frozen=True)
 class StarConfig:
     calendar_start: dt.date = dt.date(1994, 1, 1)
@@ -98,16 +118,18 @@ class Star:
 
     @property
     def products(self) -> DataFrame:
+        """Products with DECIMAL prices and their BIGINT cents (computed once per product)."""
         list_price = F.col("p_retailprice").cast("decimal(10,2)")
         markup = (F.lit(56) + F.lit(4) * F.pmod(F.col("p_size"), F.lit(6))).cast("decimal(4,0)")
         cost = F.round(list_price * markup * F.lit(0.01).cast("decimal(3,2)"), 2).cast("decimal(10,2)")
-        return self.t("part").select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            cost.alias("standard_cost"),
-            list_price.alias("list_price"),
-        )
+        return (self.t("part")
+                .select(F.col("p_partkey").alias("product_id"),
+                        F.col("p_name").alias("product_name"),
+                        F.col("p_type").alias("category"),
+                        cost.alias("standard_cost"),
+                        list_price.alias("list_price"))
+                .withColumn("list_cents", money_cents(F.col("list_price")))
+                .withColumn("cost_cents", money_cents(F.col("standard_cost"))))
 
     @property
     def salespeople_opening(self) -> DataFrame:
@@ -125,22 +147,22 @@ class Star:
 
     @property
     def monthly_actuals(self) -> DataFrame:
-        """Revenue per rep and calendar month of the sale date."""
+        """Revenue (BIGINT cents) per rep and calendar month of the sale date."""
         return (self.sales
                 .groupBy("salesperson_id",
                          F.year("sale_date").alias("year"),
                          F.month("sale_date").alias("month"))
-                .agg(F.sum("revenue").alias("actual_revenue")))
+                .agg(sum_cents(F.col("revenue_cents")).alias("actual_cents")))
 
     @property
     def rep_revenue(self) -> DataFrame:
-        """Total revenue per rep, rolled up from the monthly actuals.
+        """Total revenue cents per rep, rolled up from the monthly actuals.
 
         Deriving it from ``monthly_actuals`` lets a report that needs both
         (actual vs target) reuse one shuffle of the sales fact.
         """
         return (self.monthly_actuals.groupBy("salesperson_id")
-                .agg(F.sum("actual_revenue").alias("revenue_total")))
+                .agg(sum_cents(F.col("actual_cents")).alias("revenue_cents")))
 
     @property
     def salespeople(self) -> DataFrame:
@@ -166,36 +188,43 @@ class Star:
 
     @property
     def targets(self) -> DataFrame:
-        return build.build_targets(self.salespeople.select("salesperson_id", "annual_target"),
+        return build.build_targets(self.salespeople.select("salesperson_id", "annual_cents"),
                                    self.config.calendar_start, self.config.calendar_end)
 
     # --- facts ------------------------------------------------------------
 
     @property
     def sales_lines(self) -> DataFrame:
-        """Sales priced from line items and products, without the order columns."""
+        """Sales priced from line items and products, without the order columns.
+
+        Money is carried as BIGINT cents (``*_cents``); the DECIMAL columns
+        are derived from them and only computed when a query selects them.
+        """
         li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount")
-        p = self.products
+        p = self.products.select("product_id", "list_cents", "cost_cents")
         joined = li.join(p, li["l_partkey"] == p["product_id"], "inner")
-        qty = F.col("l_quantity").cast("int")
-        disc = F.round(F.col("l_discount") * F.lit(100.0), 0).cast("decimal(5,2)")
-        priced = build.price_sales(F.col("list_price"), F.col("standard_cost"), F.col("quantity"),
-                                   F.col("discount_percent"))
-        return (joined.select("l_orderkey", F.col("l_suppkey").alias("salesperson_id"), "product_id",
-                              qty.alias("quantity"), disc.alias("discount_percent"),
-                              "list_price", "standard_cost")
-                .select("l_orderkey", "salesperson_id", "product_id", "quantity", "discount_percent",
-                        *[v.alias(k) for k, v in priced.items()]))
+        disc_pct = round_half_up_double(F.col("l_discount") * F.lit(100.0))
+        lines = joined.select(
+            "l_orderkey", F.col("l_suppkey").alias("salesperson_id"), "product_id",
+            F.col("l_quantity").cast("int").alias("quantity"),
+            disc_pct.alias("_disc_pct"), "list_cents", "cost_cents")
+        priced = build.price_sales(F.col("list_cents"), F.col("cost_cents"), F.col("quantity"),
+                                   (F.col("_disc_pct") * F.lit(100)).cast("long"))
+        return with_money_columns(lines.select(
+            "l_orderkey", "salesperson_id", "product_id", "quantity",
+            F.col("_disc_pct").cast("decimal(5,2)").alias("discount_percent"),
+            *[v.alias(k) for k, v in priced.items()]))
 
     @property
     def sales(self) -> DataFrame:
         """The full sales fact: one row per line item with its order's customer and date."""
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         lines = self.sales_lines
-        return (lines.join(o, lines["l_orderkey"] == o["o_orderkey"], "inner")
-                .select(F.col("o_custkey").alias("customer_id"), "salesperson_id", "product_id",
-                        F.to_date(F.col("o_orderdate")).alias("sale_date"),
-                        "quantity", "discount_percent", "unit_price", "revenue", "cost", "profit"))
+        return with_money_columns(
+            lines.join(o, lines["l_orderkey"] == o["o_orderkey"], "inner")
+            .select(F.col("o_custkey").alias("customer_id"), "salesperson_id", "product_id",
+                    F.to_date(F.col("o_orderdate")).alias("sale_date"),
+                    "quantity", "discount_percent", *SALES_CENTS))
 
     @property
     def sales_for_reps(self) -> DataFrame:
@@ -210,7 +239,7 @@ class Star:
                        F.col("o_custkey").alias("customer_id"),
                        stage.alias("stage"), prob.alias("probability"),
                        F.to_date("o_orderdate").alias("expected_close_date"),
-                       to_money(F.col("o_totalprice")).alias("expected_revenue"),
+                       money_cents(to_money(F.col("o_totalprice"))).alias("expected_revenue_cents"),
                        key_draw("o_orderkey", PRIME_TERRITORY).alias("_draw"))
         cust = self.customers.select(F.col("customer_id").alias("_cid"), F.col("state").alias("_cstate"))
         with_state = opp.join(cust, opp["customer_id"] == cust["_cid"], "inner").drop("_cid")
@@ -218,4 +247,6 @@ class Star:
                                     "salesperson_id", "state", "salesperson_id",
                                     self.config.rank_buckets)
         return assigned.select("opportunity_id", "customer_id", "salesperson_id", "stage",
-                               "probability", "expected_close_date", "expected_revenue")
+                               "probability", "expected_close_date",
+                               money_from_cents(F.col("expected_revenue_cents"), 14).alias("expected_revenue"),
+                               "expected_revenue_cents")
