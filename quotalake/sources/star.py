@@ -26,6 +26,7 @@ Parquet reads down to those columns.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -85,7 +86,13 @@ class StarConfig:
 
 
 class Star:
-    """Lazy star-schema frames over a table source."""
+    """Lazy star-schema frames over a table source.
+
+    Each frame is built once per ``Star`` and memoized: the object holds
+    logical plans, not data.  Sharing one plan object between the reports that
+    use it keeps PySpark from re-analysing the same subtree on every access
+    and lets Spark recognise (and reuse) identical exchanges.
+    """
 
     def __init__(self, spark: SparkSession, source, config: StarConfig | None = None):
         self.spark = spark
@@ -102,11 +109,11 @@ class Star:
 
     # --- dimensions -----------------------------------------------------
 
-    @property
+    @cached_property
     def nations(self) -> DataFrame:
         return self.t("nation").select("n_nationkey", F.col("n_name").alias("state"), "n_regionkey")
 
-    @property
+    @cached_property
     def customers(self) -> DataFrame:
         c = self.t("customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
         return (c.join(self.nations, c["c_nationkey"] == F.col("n_nationkey"), "inner")
@@ -116,7 +123,7 @@ class Star:
                         "state",
                         build.customer_size(key_draw("c_custkey", PRIME_CUSTOMER_SIZE)).alias("customer_size")))
 
-    @property
+    @cached_property
     def products(self) -> DataFrame:
         """Products with DECIMAL prices and their BIGINT cents (computed once per product)."""
         list_price = F.col("p_retailprice").cast("decimal(10,2)")
@@ -131,7 +138,7 @@ class Star:
                 .withColumn("list_cents", money_cents(F.col("list_price")))
                 .withColumn("cost_cents", money_cents(F.col("standard_cost"))))
 
-    @property
+    @cached_property
     def salespeople_opening(self) -> DataFrame:
         """Reps with their opening annual target (before the B3 rescale)."""
         s = self.t("supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
@@ -145,7 +152,7 @@ class Star:
                         to_money(F.greatest(F.col("s_acctbal"), F.lit(0.0))).alias("annual_target"),
                         "n_nationkey"))
 
-    @property
+    @cached_property
     def monthly_actuals(self) -> DataFrame:
         """Revenue (BIGINT cents) per rep and calendar month of the sale date."""
         return (self.sales
@@ -154,7 +161,7 @@ class Star:
                          F.month("sale_date").alias("month"))
                 .agg(sum_cents(F.col("revenue_cents")).alias("actual_cents")))
 
-    @property
+    @cached_property
     def rep_revenue(self) -> DataFrame:
         """Total revenue cents per rep, rolled up from the monthly actuals.
 
@@ -164,14 +171,14 @@ class Star:
         return (self.monthly_actuals.groupBy("salesperson_id")
                 .agg(sum_cents(F.col("actual_cents")).alias("revenue_cents")))
 
-    @property
+    @cached_property
     def salespeople(self) -> DataFrame:
         """Reps with the rescaled annual target."""
         return build.rescale_targets(self.salespeople_opening.drop("n_nationkey"),
                                      self.rep_revenue, self.config.target_years,
                                      self.config.target_share_pct)
 
-    @property
+    @cached_property
     def territory_pool(self) -> DataFrame:
         c = self.config
         return (self.salespeople_opening
@@ -186,14 +193,14 @@ class Star:
     def calendar_rows(self) -> int:
         return build.calendar_rows(self.config.calendar_start, self.config.calendar_end)
 
-    @property
+    @cached_property
     def targets(self) -> DataFrame:
         return build.build_targets(self.salespeople.select("salesperson_id", "annual_cents"),
                                    self.config.calendar_start, self.config.calendar_end)
 
     # --- facts ------------------------------------------------------------
 
-    @property
+    @cached_property
     def sales_lines(self) -> DataFrame:
         """Sales priced from line items and products, without the order columns.
 
@@ -215,7 +222,7 @@ class Star:
             F.col("_disc_pct").cast("decimal(5,2)").alias("discount_percent"),
             *[v.alias(k) for k, v in priced.items()]))
 
-    @property
+    @cached_property
     def sales(self) -> DataFrame:
         """The full sales fact: one row per line item with its order's customer and date."""
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -231,7 +238,7 @@ class Star:
         """Sales for reports that need no customer or date column."""
         return self.sales_lines if self.config.trust_foreign_keys else self.sales
 
-    @property
+    @cached_property
     def pipeline(self) -> DataFrame:
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
         stage, prob = build.stage_and_probability(key_draw("o_orderkey", PRIME_STAGE))
@@ -250,3 +257,79 @@ class Star:
                                "probability", "expected_close_date",
                                money_from_cents(F.col("expected_revenue_cents"), 14).alias("expected_revenue"),
                                "expected_revenue_cents")
+
+    # --- materialization ----------------------------------------------------
+
+    def materialize(self, path: str | None = None, partitions: int | None = None) -> "MaterializedStar":
+        """Write the priced facts and the dimensions once; return a star reading them.
+
+        Like the load scripts of a warehouse: the two big joins and the per-row
+        pricing run once, and every report then scans a narrow, already priced
+        fact.  Tables go to ``path`` or to a fresh folder under the shared
+        ``spark.checkpoint.dir``, never to a machine-local folder on a cluster.
+        Writing a table also cuts the lineage, so a lost executor costs a
+        re-read, not a re-join.
+
+        ``partitions``: files per table.  By default, if the line-item scan has
+        fewer input splits than the session has cores (a small file with one
+        row group), tables are spread round-robin over ``defaultParallelism``
+        so later scans use every core; a large input already yields enough
+        partitions and is written as the joins produce it.  Counting the input
+        splits plans a bare scan, which runs no job.
+        """
+        from quotalake.session import ensure_checkpoint_dir
+
+        base = path or f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/quotalake-star-{uuid.uuid4().hex}"
+        if partitions is None:
+            cores = self.spark.sparkContext.defaultParallelism
+            if self.t("lineitem").rdd.getNumPartitions() < cores:
+                partitions = cores
+        frames = {
+            "customers": self.customers,
+            "products": self.products,
+            "salespeople_opening": self.salespeople_opening,
+            "sales": self.sales.select("customer_id", "salesperson_id", "product_id", "sale_date",
+                                       "quantity", "discount_percent", *SALES_CENTS),
+            "pipeline": self.pipeline.drop("expected_revenue"),
+        }
+        for name, df in frames.items():
+            (df.repartition(partitions) if partitions else df).write.mode("overwrite").parquet(f"{base}/{name}")
+        return MaterializedStar(self.spark, self.source, self.config, base)
+
+
+class MaterializedStar(Star):
+    """A star whose facts and dimensions were written by ``Star.materialize``."""
+
+    def __init__(self, spark: SparkSession, source, config: StarConfig, base: str):
+        super().__init__(spark, source, config)
+        self.base = base
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.base}/{name}")
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._read("customers")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._read("products")
+
+    @cached_property
+    def salespeople_opening(self) -> DataFrame:
+        return self._read("salespeople_opening")
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return with_money_columns(self._read("sales"))
+
+    @cached_property
+    def sales_lines(self) -> DataFrame:
+        return self.sales
+
+    @cached_property
+    def pipeline(self) -> DataFrame:
+        p = self._read("pipeline")
+        return p.select(*[c for c in p.columns if c != "expected_revenue_cents"],
+                        money_from_cents(F.col("expected_revenue_cents"), 14).alias("expected_revenue"),
+                        "expected_revenue_cents")
