@@ -47,8 +47,8 @@ NOT_NULL = (
     ("salespeople", ("salesperson_id", "first_name", "last_name", "state", "region", "annual_target")),
     ("sales", ("customer_id", "salesperson_id", "product_id", "sale_date", "quantity",
                "unit_price", "revenue", "cost", "profit")),
-    ("pipeline", ("opportunity_id", "customer_id", "salesperson_id", "stage", "probability",
-                  "expected_close_date", "expected_revenue")),
+    ("pipeline", ("opportunity_id", "customer_id", "salesperson_id", "product_id", "stage",
+                  "probability", "expected_close_date", "expected_revenue")),
     ("targets", ("salesperson_id", "year", "month", "monthly_target")),
 )
 
@@ -96,10 +96,12 @@ def audit_fk(star: Star) -> DataFrame:
         p = star.t(parent).select(F.col(pcol).alias("_k"))
         orphans = c.join(p, "_k", "left_anti").agg(F.count(F.lit(1)).alias("v"))
         frames.append(orphans.select(*_result(f"fk:{rule}", child, F.col("v"))))
-    pipe = star.pipeline.select(F.col("salesperson_id").alias("_k")).where(F.col("_k").isNotNull())
-    reps = star.salespeople_opening.select(F.col("salesperson_id").alias("_k"))
-    frames.append(pipe.join(reps, "_k", "left_anti").agg(F.count(F.lit(1)).alias("v"))
-                  .select(*_result("fk:pipeline.salesperson_id", "pipeline", F.col("v"))))
+    for col, parent, pcol in (("salesperson_id", star.salespeople_opening, "salesperson_id"),
+                              ("product_id", star.products, "product_id")):
+        refs = star.pipeline.select(F.col(col).alias("_k")).where(F.col("_k").isNotNull())
+        keys = parent.select(F.col(pcol).alias("_k"))
+        frames.append(refs.join(keys, "_k", "left_anti").agg(F.count(F.lit(1)).alias("v"))
+                      .select(*_result(f"fk:pipeline.{col}", "pipeline", F.col("v"))))
     return _union(frames)
 
 

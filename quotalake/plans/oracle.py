@@ -17,7 +17,9 @@ from quotalake.operators.build import (
     STAGES,
 )
 from quotalake.functions.draws import (
+    PRIME_CATEGORY,
     PRIME_CUSTOMER_SIZE,
+    PRIME_PRODUCT,
     PRIME_STAGE,
     PRIME_TERRITORY,
 )
@@ -156,13 +158,23 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                     AS DECIMAL(5,2)) AS probability,
                CAST(o_orderdate AS DATE) AS expected_close_date,
                CAST(o_totalprice AS DECIMAL(14,2)) AS expected_revenue,
-               {_draw('o_orderkey', PRIME_TERRITORY)} AS tdraw, c.state
+               {_draw('o_orderkey', PRIME_TERRITORY)} AS tdraw, c.state,
+               {_case(_draw('o_orderkey', PRIME_CATEGORY), CFG.category_weights, CFG.product_categories)}
+                   AS pcat,
+               {_draw('o_orderkey', PRIME_PRODUCT)} AS pdraw
         FROM orders JOIN customers c ON o_custkey = c.customer_id"""),
-    "pipeline": (("opp", "pool_state", "pool_all"), """
+    "prod_rank": (("products",), """
+        SELECT product_id, category,
+               row_number() OVER (PARTITION BY category ORDER BY product_id) AS rn,
+               count(*) OVER (PARTITION BY category) AS cnt
+        FROM products"""),
+    "pipeline": (("opp", "pool_state", "pool_all", "prod_rank"), """
         SELECT o.opportunity_id, o.customer_id,
-               coalesce(m.salesperson_id, f.salesperson_id) AS salesperson_id,
+               coalesce(m.salesperson_id, f.salesperson_id) AS salesperson_id, pr.product_id,
                o.stage, o.probability, o.expected_close_date, o.expected_revenue
         FROM opp o
+        LEFT JOIN (SELECT DISTINCT category, cnt FROM prod_rank) pc ON pc.category = o.pcat
+        LEFT JOIN prod_rank pr ON pr.category = o.pcat AND pr.rn = 1 + (o.pdraw * pc.cnt) // 1000
         LEFT JOIN (SELECT DISTINCT state, cnt FROM pool_state) sc ON sc.state = o.state
         LEFT JOIN pool_state m ON m.state = o.state AND m.rn = 1 + (o.tdraw * sc.cnt) // 1000
         LEFT JOIN pool_all f ON f.rn = 1 + (o.tdraw * f.cnt) // 1000"""),
@@ -348,7 +360,7 @@ ORACLE_SQL: dict[str, str] = {
                    AS avg_actual_monthly_revenue
         FROM reps r JOIN rep_revenue rr ON rr.salesperson_id = r.salesperson_id""",
     "assign_territory": _with("pipeline") + f"""
-        SELECT opportunity_id, customer_id, salesperson_id, stage,
+        SELECT opportunity_id, customer_id, salesperson_id, product_id, stage,
                {_money('probability')} AS probability,
                CAST(expected_close_date AS VARCHAR) AS expected_close_date,
                {_money('expected_revenue')} AS expected_revenue
@@ -384,10 +396,11 @@ def _audit_sql() -> dict[str, str]:
                FROM {child} c WHERE c.{ccol} IS NOT NULL
                  AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{ccol})"""
            for rule, child, ccol, parent, pcol in FOREIGN_KEYS]
-    fks.append("""SELECT 'fk:pipeline.salesperson_id' AS rule, 'pipeline' AS table_name,
-                         CAST(count(*) AS BIGINT) AS violations
-                  FROM pipeline c WHERE c.salesperson_id IS NOT NULL
-                    AND NOT EXISTS (SELECT 1 FROM reps0 p WHERE p.salesperson_id = c.salesperson_id)""")
+    for col, parent in (("salesperson_id", "reps0"), ("product_id", "products")):
+        fks.append(f"""SELECT 'fk:pipeline.{col}' AS rule, 'pipeline' AS table_name,
+                             CAST(count(*) AS BIGINT) AS violations
+                      FROM pipeline c WHERE c.{col} IS NOT NULL
+                        AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{col} = c.{col})""")
     checks = " UNION ALL ".join(
         f"""SELECT 'check:{t}.{col}' AS rule, '{t}' AS table_name,
                    CAST(count(*) FILTER (WHERE NOT ({cond})) AS BIGINT) AS violations FROM {tables[t]}"""
@@ -398,7 +411,7 @@ def _audit_sql() -> dict[str, str]:
         for t, cols in NOT_NULL for c in cols)
     return {
         "audit_unique": head + unique,
-        "audit_fk": _with("pipeline", "reps0") + " UNION ALL ".join(fks),
+        "audit_fk": _with("pipeline", "reps0", "products") + " UNION ALL ".join(fks),
         "audit_check": head + checks,
         "audit_not_null": head + nulls,
     }

@@ -34,10 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotalake.functions.draws import (
+    PRIME_CATEGORY,
     PRIME_CUSTOMER_SIZE,
+    PRIME_PRODUCT,
     PRIME_STAGE,
     PRIME_TERRITORY,
     key_draw,
+    weighted_choice,
 )
 from quotalake.functions.exact import (
     money_cents,
@@ -47,7 +50,7 @@ from quotalake.functions.exact import (
     to_money,
 )
 from quotalake.operators import build
-from quotalake.operators.ranking import assign_territory
+from quotalake.operators.ranking import assign_territory, kth_pick
 from quotalake.sources.tables import ParquetTables
 
 
@@ -83,6 +86,10 @@ class StarConfig:
     # line-item -> order foreign key (checked by audit_fk).
     trust_foreign_keys: bool = False
     rank_buckets: int = 4096
+    # Category split of opportunities (B6) before the product pick within the
+    # category (B10), per mille.  Fixed values for the driver's part types.
+    product_categories: tuple[str, ...] = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+    category_weights: tuple[int, ...] = (167, 167, 167, 167, 166, 166)
 
 
 class Star:
@@ -250,10 +257,16 @@ class Star:
                        key_draw("o_orderkey", PRIME_TERRITORY).alias("_draw"))
         cust = self.customers.select(F.col("customer_id").alias("_cid"), F.col("state").alias("_cstate"))
         with_state = opp.join(cust, opp["customer_id"] == cust["_cid"], "inner").drop("_cid")
-        assigned = assign_territory(with_state, "_cstate", "_draw", self.territory_pool,
-                                    "salesperson_id", "state", "salesperson_id",
-                                    self.config.rank_buckets)
-        return assigned.select("opportunity_id", "customer_id", "salesperson_id", "stage",
+        c = self.config
+        with_cat = (with_state
+                    .withColumn("_cat", weighted_choice(key_draw("opportunity_id", PRIME_CATEGORY),
+                                                        c.category_weights, c.product_categories))
+                    .withColumn("_pdraw", key_draw("opportunity_id", PRIME_PRODUCT)))
+        with_product = kth_pick(with_cat, "_pdraw", self.products.select("product_id", "category"),
+                                "product_id", "product_id", [("_cat", "category")], c.rank_buckets)
+        assigned = assign_territory(with_product, "_cstate", "_draw", self.territory_pool,
+                                    "salesperson_id", "state", "salesperson_id", c.rank_buckets)
+        return assigned.select("opportunity_id", "customer_id", "salesperson_id", "product_id", "stage",
                                "probability", "expected_close_date",
                                money_from_cents(F.col("expected_revenue_cents"), 14).alias("expected_revenue"),
                                "expected_revenue_cents")
@@ -270,27 +283,25 @@ class Star:
         Writing a table also cuts the lineage, so a lost executor costs a
         re-read, not a re-join.
 
-        ``partitions``: files per table.  By default, if the line-item scan has
-        fewer input splits than the session has cores (a small file with one
-        row group), tables are spread round-robin over ``defaultParallelism``
-        so later scans use every core; a large input already yields enough
-        partitions and is written as the joins produce it.  Counting the input
-        splits plans a bare scan, which runs no job.
+        ``partitions``: if given, every table is written as that many files.
+        Otherwise a small input (fewer line-item splits than the session has
+        cores, e.g. one row group) is spread over the cores at the scan, by
+        order key, so the joins and the pricing run in parallel and the output
+        has one file per core; a large input is written as the joins produce it.
         """
         from quotalake.session import ensure_checkpoint_dir
+        from quotalake.sources.tables import SpreadTables
 
         base = path or f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/quotalake-star-{uuid.uuid4().hex}"
-        if partitions is None:
-            cores = self.spark.sparkContext.defaultParallelism
-            if self.t("lineitem").rdd.getNumPartitions() < cores:
-                partitions = cores
+        builder = Star(self.spark, SpreadTables(self.source, self.spark.sparkContext.defaultParallelism),
+                       self.config)
         frames = {
-            "customers": self.customers,
-            "products": self.products,
-            "salespeople_opening": self.salespeople_opening,
-            "sales": self.sales.select("customer_id", "salesperson_id", "product_id", "sale_date",
-                                       "quantity", "discount_percent", *SALES_CENTS),
-            "pipeline": self.pipeline.drop("expected_revenue"),
+            "customers": builder.customers,
+            "products": builder.products,
+            "salespeople_opening": builder.salespeople_opening,
+            "sales": builder.sales.select("customer_id", "salesperson_id", "product_id", "sale_date",
+                                          "quantity", "discount_percent", *SALES_CENTS),
+            "pipeline": builder.pipeline.drop("expected_revenue"),
         }
         for name, df in frames.items():
             (df.repartition(partitions) if partitions else df).write.mode("overwrite").parquet(f"{base}/{name}")

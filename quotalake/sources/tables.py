@@ -42,6 +42,32 @@ class ParquetTables:
                 self.table(name).createOrReplaceTempView(name)
 
 
+class SpreadTables:
+    """Wraps a source so that small fact scans use every core.
+
+    A Parquet file is split by row group, so a small fact table stored as one
+    row group is read by a single task and every operator fused into that scan
+    stage (joins, pricing) runs single-threaded.  When a fact scan has fewer
+    input partitions than ``min_partitions`` it is hash-partitioned on its
+    join key; large inputs already have enough splits and are passed through
+    untouched.  Counting a bare scan's partitions plans it without running a
+    job.
+    """
+
+    FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+    def __init__(self, inner, min_partitions: int):
+        self.inner = inner
+        self.min_partitions = min_partitions
+
+    def table(self, name: str) -> DataFrame:
+        df = self.inner.table(name)
+        key = self.FACT_KEYS.get(name)
+        if key and df.rdd.getNumPartitions() < self.min_partitions:
+            df = df.repartition(self.min_partitions, key)
+        return df
+
+
 class CatalogTables:
     """Tables already registered in the session catalog (``db.name`` or bare names)."""
 

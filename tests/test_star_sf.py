@@ -102,6 +102,9 @@ def test_audits_clean_on_driver_data(star):
 
 
 def test_audits_find_violations(spark):
+    import datetime as dt
+    from decimal import Decimal
+
     tables = {
         "lineitem": spark.createDataFrame([(1, 10, 5), (2, 10, 5), (9, 99, 5)],
                                           "l_orderkey long, l_partkey long, l_suppkey long"),
@@ -111,21 +114,27 @@ def test_audits_find_violations(spark):
         "customer": spark.createDataFrame([(100, 0)], "c_custkey long, c_nationkey int"),
         "nation": spark.createDataFrame([(0,)], "n_nationkey int"),
     }
-    pipeline = spark.createDataFrame([(1, 7)], "opportunity_id long, salesperson_id long")
+    pipeline = spark.createDataFrame(
+        [(1, 1, 7, 10, "Closed Won", Decimal("100.00"), dt.date(1995, 1, 1), Decimal("5.00")),
+         (1, 1, 5, None, "Proposal", Decimal("150.00"), dt.date(1995, 1, 1), Decimal("-1.00"))],
+        "opportunity_id long, customer_id long, salesperson_id long, product_id long, stage string, "
+        "probability decimal(5,2), expected_close_date date, expected_revenue decimal(14,2)")
     reps = spark.createDataFrame([(5,)], "salesperson_id long")
-    star = star_with(spark, tables=tables, pipeline=pipeline, salespeople_opening=reps)
+    products = spark.createDataFrame([(10, "a"), (11, "a")], "product_id long, product_name string")
+    star = star_with(spark, tables=tables, pipeline=pipeline, salespeople_opening=reps, products=products)
     fk = {r.rule: r.violations for r in audits.audit_fk(star).collect()}
     assert fk["fk:sales.order"] == 1 and fk["fk:sales.product_id"] == 1
     assert fk["fk:sales.customer_id"] == 1 and fk["fk:pipeline.salesperson_id"] == 1
-    customers = spark.createDataFrame([(1, "a", "i", None), (1, "b", "i", "S")],
-                                      "customer_id long, company_name string, industry string, state string")
-    star2 = star_with(spark, customers=customers)
-    assert audits.audit_unique.__doc__
-    dup = (customers.groupBy("customer_id").count().where("count > 1").count())
-    assert dup == 1
-    nn = {r.rule: r.violations for r in audits._per_table(
-        star2, {"customers": [("nn", F.col("state").isNull())]}).collect()}
-    assert nn == {"nn": 1}
+    assert fk["fk:pipeline.product_id"] == 0 and fk["fk:sales.salesperson_id"] == 0
+
+    rules = {r.rule: r.violations for r in audits._per_table(star, {
+        "pipeline": [("null_product", F.col("product_id").isNull()),
+                     ("bad_probability", ~F.expr("probability BETWEEN 0 AND 100")),
+                     ("negative_revenue", ~F.expr("expected_revenue >= 0"))]}).collect()}
+    assert rules == {"null_product": 1, "bad_probability": 1, "negative_revenue": 1}
+    dupes = (pipeline.groupBy("opportunity_id").count()
+             .agg(F.count(F.when(F.col("count") > 1, 1))).first()[0])
+    assert dupes == 1
 
 
 def test_all_registered_queries_match_sql_oracle(spark):
