@@ -1,0 +1,10 @@
+"""Streaming surface: intentionally empty.
+
+The reference has no stream, watermark, time window, stateful operator or
+UDF anywhere; its reports are batch SELECTs over tables and its views are
+plain (recomputed on every read).  Nothing here is built, because building
+streaming operators the reference does not have would add features rather
+than re-express existing ones.  The batch operators are all DataFrame
+expressions, so a caller who wants incremental refresh can apply them inside
+``foreachBatch`` on a stream of new sales without changes.
+"""
