@@ -161,11 +161,19 @@ class Star:
 
     @cached_property
     def monthly_actuals(self) -> DataFrame:
-        """Revenue (BIGINT cents) per rep and calendar month of the sale date."""
+        """Revenue (BIGINT cents) per rep and calendar month of the sale date.
+
+        The month keys are made non-nullable (a sale without a date lands in
+        month 0, which matches no target month but still counts in the rep's
+        total).  Otherwise the join that consumes this aggregate gets inferred
+        IS NOT NULL filters the rep-total branch lacks, the two subtrees stop
+        being identical, and Spark aggregates the fact twice instead of reusing
+        one exchange.
+        """
         return (self.sales
                 .groupBy("salesperson_id",
-                         F.year("sale_date").alias("year"),
-                         F.month("sale_date").alias("month"))
+                         F.coalesce(F.year("sale_date"), F.lit(0)).alias("year"),
+                         F.coalesce(F.month("sale_date"), F.lit(0)).alias("month"))
                 .agg(sum_cents(F.col("revenue_cents")).alias("actual_cents")))
 
     @cached_property
