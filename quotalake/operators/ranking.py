@@ -16,6 +16,11 @@ numbering is built from bounded pieces instead:
 The pick itself is then an equi-join on (group, position); AQE broadcasts the
 dimension side when it turns out small and splits skewed fact partitions when
 one group is hot.
+
+Small dimensions: the same min/max/count job yields the exact row count.  At
+or below ``SMALL_DIMENSION_ROWS`` a plain ``row_number`` window is cheaper
+(one stage instead of three), and the ranked dimension -- a proven few MB --
+is broadcast into the fact stage, so the facts are not shuffled at all.
 """
 
 from __future__ import annotations
@@ -31,6 +36,14 @@ from quotalake.functions.draws import kth_of
 POS = "pos"
 GROUP_SIZE = "group_size"
 
+# Row bound under which a ranked dimension (a key, a group label and two
+# longs per row, a few MB) is numbered in one window stage and broadcast.
+SMALL_DIMENSION_ROWS = 250_000
+
+
+def _is_small(bounds: "KeyBounds | None", small_rows: int = SMALL_DIMENSION_ROWS) -> bool:
+    return bounds is not None and bounds.rows <= small_rows
+
 
 @dataclass(frozen=True)
 class KeyBounds:
@@ -54,7 +67,8 @@ def key_bounds(dim: DataFrame, key: str) -> KeyBounds | None:
 
 def attach_positions(dim: DataFrame, key: str, groups: Sequence[str] = (),
                      target_buckets: int = 4096,
-                     bounds: KeyBounds | None = None) -> DataFrame:
+                     bounds: KeyBounds | None = None,
+                     small_rows: int = SMALL_DIMENSION_ROWS) -> DataFrame:
     """Add ``pos`` (1-based rank of ``key`` within ``groups``) and ``group_size``.
 
     Keys must be unique within a group (audited by ``audit_unique``).
@@ -64,6 +78,10 @@ def attach_positions(dim: DataFrame, key: str, groups: Sequence[str] = (),
     if bounds is None:
         return (dim.withColumn(POS, F.lit(None).cast("long"))
                 .withColumn(GROUP_SIZE, F.lit(None).cast("long")))
+    if _is_small(bounds, small_rows):
+        by_group = Window.partitionBy(*groups)
+        return (dim.withColumn(POS, F.row_number().over(by_group.orderBy(F.col(key))).cast("long"))
+                .withColumn(GROUP_SIZE, F.count(F.lit(1)).over(by_group)))
     width = bounds.width(target_buckets)
     bucket = F.floor((F.col(key).cast("long") - F.lit(bounds.lo)) / F.lit(width)).cast("long")
     with_bucket = dim.withColumn("_bucket", bucket)
@@ -85,7 +103,7 @@ def attach_positions(dim: DataFrame, key: str, groups: Sequence[str] = (),
 
 def kth_pick(facts: DataFrame, draw_col: str, dim: DataFrame, dim_key: str,
              out_col: str, groups: Sequence[tuple[str, str]] = (),
-             target_buckets: int = 4096) -> DataFrame:
+             target_buckets: int = 4096, small_rows: int = SMALL_DIMENSION_ROWS) -> DataFrame:
     """Pick the ``1 + floor(draw/1000 * n)``-th dimension row (by key) per fact row.
 
     ``groups`` pairs a fact column with a dimension column; the pick is made
@@ -96,10 +114,14 @@ def kth_pick(facts: DataFrame, draw_col: str, dim: DataFrame, dim_key: str,
     dim_cols = [d for _, d in groups]
     slim = dim.select(*dim_cols, dim_key)
     bounds = key_bounds(slim, dim_key)
-    ranked = attach_positions(slim, dim_key, dim_cols, target_buckets, bounds)
+    ranked = attach_positions(slim, dim_key, dim_cols, target_buckets, bounds, small_rows)
+    small = _is_small(bounds, small_rows)
+    if small:
+        ranked = F.broadcast(ranked)
     if dim_cols:
         sizes = ranked.select(*[F.col(d).alias(f"_g{i}") for i, d in enumerate(dim_cols)],
                               F.col(GROUP_SIZE).alias("_size")).distinct()
+        sizes = F.broadcast(sizes) if small else sizes
         cond = [facts[f] == sizes[f"_g{i}"] for i, f in enumerate(fact_cols)]
         with_size = facts.join(sizes, cond, "left").drop(*[f"_g{i}" for i in range(len(dim_cols))])
     else:
@@ -107,6 +129,7 @@ def kth_pick(facts: DataFrame, draw_col: str, dim: DataFrame, dim_key: str,
     with_k = with_size.withColumn("_k", kth_of(F.col(draw_col), F.col("_size")))
     picks = ranked.select(*[F.col(d).alias(f"_g{i}") for i, d in enumerate(dim_cols)],
                           F.col(POS).alias("_pos"), F.col(dim_key).alias(out_col))
+    picks = F.broadcast(picks) if small else picks
     cond = [with_k[f] == picks[f"_g{i}"] for i, f in enumerate(fact_cols)]
     cond.append(with_k["_k"] == picks["_pos"])
     return (with_k.join(picks, cond, "left")
@@ -116,7 +139,8 @@ def kth_pick(facts: DataFrame, draw_col: str, dim: DataFrame, dim_key: str,
 def assign_territory(facts: DataFrame, fact_state: str, draw_col: str,
                      reps: DataFrame, rep_key: str, rep_state: str,
                      out_col: str = "salesperson_id",
-                     target_buckets: int = 4096) -> DataFrame:
+                     target_buckets: int = 4096,
+                     small_rows: int = SMALL_DIMENSION_ROWS) -> DataFrame:
     """K-th rep of the fact's state; if the state has no rep, k-th rep overall.
 
     Equivalent to a LEFT lateral pick in the state plus a COALESCE with a pick
@@ -126,12 +150,14 @@ def assign_territory(facts: DataFrame, fact_state: str, draw_col: str,
     """
     pool = reps.select(F.col(rep_key).alias("_rep"), F.col(rep_state).alias("_state"))
     bounds = key_bounds(pool, "_rep")
-    by_state = attach_positions(pool, "_rep", ["_state"], target_buckets, bounds)
-    overall = attach_positions(pool.select("_rep"), "_rep", [], target_buckets, bounds)
+    by_state = attach_positions(pool, "_rep", ["_state"], target_buckets, bounds, small_rows)
+    overall = attach_positions(pool.select("_rep"), "_rep", [], target_buckets, bounds, small_rows)
     total = bounds.rows if bounds is not None else 0
 
+    small = _is_small(bounds, small_rows)
     state_sizes = by_state.select(F.col("_state").alias("_s_state"),
                                   F.col(GROUP_SIZE).alias("_s_size")).distinct()
+    state_sizes = F.broadcast(state_sizes) if small else state_sizes
     routed = (facts.join(state_sizes, facts[fact_state] == state_sizes["_s_state"], "left")
               .withColumn("_fallback", F.col("_s_size").isNull())
               .withColumn("_jstate", F.when(F.col("_fallback"), F.lit("")).otherwise(F.col(fact_state)))
@@ -143,6 +169,7 @@ def assign_territory(facts: DataFrame, fact_state: str, draw_col: str,
                                F.col(POS).alias("_t_pos"), F.col("_rep").alias(out_col))
                .unionByName(overall.select(F.lit(True).alias("_t_fallback"), F.lit("").alias("_t_state"),
                                            F.col(POS).alias("_t_pos"), F.col("_rep").alias(out_col))))
+    targets = F.broadcast(targets) if small else targets
     cond = [routed["_fallback"] == targets["_t_fallback"],
             routed["_jstate"] == targets["_t_state"],
             routed["_k"] == targets["_t_pos"]]

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -311,8 +312,15 @@ class Star:
                                           "quantity", "discount_percent", *SALES_CENTS),
             "pipeline": builder.pipeline.drop("expected_revenue"),
         }
-        for name, df in frames.items():
+        def write(item):
+            name, df = item
             (df.repartition(partitions) if partitions else df).write.mode("overwrite").parquet(f"{base}/{name}")
+
+        # The five writes are independent jobs: submitting them from a few
+        # driver threads lets the scheduler overlap their stages instead of
+        # leaving cores idle while one small table's job finishes.
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            list(pool.map(write, frames.items()))
         return MaterializedStar(self.spark, self.source, self.config, base)
 
 

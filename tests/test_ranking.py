@@ -25,12 +25,15 @@ def test_attach_positions_matches_row_number(spark):
     keys = rnd.sample(range(0, 100_000), 3000)
     rows = [(rnd.choice("ABCDE") if k % 11 else "A", k) for k in keys]   # "A" is a hot group
     df = spark.createDataFrame(rows, "g string, k long")
-    for buckets in (1, 7, 64, 4096):
+    for buckets, small_rows in ((1, 0), (7, 0), (64, 0), (4096, 0), (64, 10 ** 6)):
         got = {(r.g, r.k): (r[POS], r[GROUP_SIZE])
-               for r in attach_positions(df, "k", ["g"], target_buckets=buckets).collect()}
+               for r in attach_positions(df, "k", ["g"], target_buckets=buckets,
+                                         small_rows=small_rows).collect()}
         assert got == _brute_positions(rows)
-    got_all = {r.k: r[POS] for r in attach_positions(df, "k", [], target_buckets=16).collect()}
-    assert got_all == {k: i for i, k in enumerate(sorted(keys), start=1)}
+    for small_rows in (0, 10 ** 6):
+        got_all = {r.k: r[POS] for r in attach_positions(df, "k", [], target_buckets=16,
+                                                         small_rows=small_rows).collect()}
+        assert got_all == {k: i for i, k in enumerate(sorted(keys), start=1)}
 
 
 def _pick(draw, n):
@@ -43,8 +46,12 @@ def test_assign_territory_matches_reference_rule(spark):
     facts = [(i, rnd.choice(["N1", "N2", "N3", "N4", "N5"]), rnd.randrange(1000)) for i in range(2000)]
     reps_df = spark.createDataFrame(reps, "rep long, st string")
     facts_df = spark.createDataFrame(facts, "id long, state string, draw int")
-    got = {r.id: r.salesperson_id for r in
-           assign_territory(facts_df, "state", "draw", reps_df, "rep", "st", target_buckets=8).collect()}
+    runs = [{r.id: r.salesperson_id for r in
+             assign_territory(facts_df, "state", "draw", reps_df, "rep", "st", target_buckets=8,
+                              small_rows=small_rows).collect()}
+            for small_rows in (0, 10 ** 6)]          # bucketed path and broadcast path
+    assert runs[0] == runs[1]
+    got = runs[0]
 
     pool = sorted(r for r, _ in reps)
     by_state = {}
@@ -65,7 +72,9 @@ def test_kth_pick_within_group_and_overall(spark):
     dim = spark.createDataFrame(items, "item long, cat string")
     facts = spark.createDataFrame([(1, "x", 0), (2, "x", 999), (3, "y", 500), (4, "z", 10)],
                                   "id long, cat string, d int")
-    got = {r.id: r.pick for r in kth_pick(facts, "d", dim, "item", "pick", [("cat", "cat")]).collect()}
+    got = {r.id: r.pick for r in kth_pick(facts, "d", dim, "item", "pick", [("cat", "cat")],
+                                          small_rows=0).collect()}
+    assert got == {r.id: r.pick for r in kth_pick(facts, "d", dim, "item", "pick", [("cat", "cat")]).collect()}
     xs = sorted(k for k, c in items if c == "x")
     ys = sorted(k for k, c in items if c == "y")
     assert got == {1: xs[0], 2: xs[-1], 3: ys[_pick(500, len(ys)) - 1], 4: None}
@@ -79,7 +88,7 @@ def test_positions_survive_a_hot_group_without_single_task_window(spark):
     # never over the whole group.
     df = spark.range(0, 20_000).select(F.when(F.col("id") % 10 == 0, "cold").otherwise("hot").alias("g"),
                                        F.col("id").alias("k"))
-    ranked = attach_positions(df, "k", ["g"], target_buckets=64)
+    ranked = attach_positions(df, "k", ["g"], target_buckets=64, small_rows=0)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "_bucket" in plan
     hot = ranked.where("g = 'hot'").agg(F.max(POS), F.countDistinct(POS)).first()
