@@ -194,9 +194,7 @@ def _target_months(star: Star, from_year: int | None = None) -> DataFrame:
     targets = _targets_with_names(_reps_with_names(star), star)
     if from_year is not None:
         targets = targets.where(F.col("year") >= F.lit(from_year))
-    actuals = star.monthly_actuals
-    if from_year is not None:
-        actuals = actuals.where(F.col("year") >= F.lit(from_year))
+    actuals = star.monthly_actuals if from_year is None else star.monthly_actuals_since(from_year)
     return (targets.join(actuals, ["salesperson_id", "year", "month"], "left")
             .withColumn("actual_cents", F.coalesce(F.col("actual_cents"), F.lit(0).cast("long"))))
 

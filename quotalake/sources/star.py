@@ -177,6 +177,19 @@ class Star:
                          F.coalesce(F.month("sale_date"), F.lit(0)).alias("month"))
                 .agg(sum_cents(F.col("revenue_cents")).alias("actual_cents")))
 
+    def monthly_actuals_since(self, from_year: int) -> DataFrame:
+        """Monthly actuals from 1 January of ``from_year`` on.
+
+        The bound is a plain ``sale_date >=`` predicate, which Parquet can use
+        (``PushedFilters``, row-group statistics), instead of a filter on
+        ``year(sale_date)``, which it cannot.
+        """
+        since = self.sales.where(F.col("sale_date") >= F.lit(dt.date(from_year, 1, 1)))
+        return (since.groupBy("salesperson_id",
+                              F.year("sale_date").alias("year"),
+                              F.month("sale_date").alias("month"))
+                .agg(sum_cents(F.col("revenue_cents")).alias("actual_cents")))
+
     @cached_property
     def rep_revenue(self) -> DataFrame:
         """Total revenue cents per rep, rolled up from the monthly actuals.
