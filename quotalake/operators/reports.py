@@ -377,3 +377,14 @@ def register_views(star: Star) -> list[str]:
     for name, fn in VIEWS.items():
         fn(star).createOrReplaceTempView(name)
     return list(VIEWS)
+
+
+def publish_views(star: Star, out_dir: str) -> dict[str, str]:
+    """Write every view as a Parquet table under ``out_dir`` (replacing earlier output).
+
+    The tables a BI layer reads without re-running the joins; each write is
+    an overwrite of its own folder (TRUNCATE + INSERT semantics).
+    """
+    from quotalake.operators.build import replace_table
+
+    return {name: replace_table(fn(star), f"{out_dir.rstrip('/')}/{name}") for name, fn in VIEWS.items()}

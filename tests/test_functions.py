@@ -97,3 +97,17 @@ def test_calendar_helpers_on_columns(spark):
     r = df.select(iso_week(F.col("d")).alias("w"), month_name(F.col("d")).alias("m"),
                   financial_year(F.col("d")).alias("fy")).first()
     assert (r.w, r.m, r.fy) == (1, "December", "FY2026")
+
+
+def test_value_opportunity_and_replace_table(spark, tmp_path):
+    from decimal import Decimal as Dec
+
+    from quotalake.operators.build import replace_table, value_opportunity
+
+    df = spark.createDataFrame([(Dec("245000.00"), 3), (Dec("0.35"), 7)], "p decimal(10,2), q int")
+    vals = [r.v for r in df.select(value_opportunity(F.col("p"), F.col("q")).alias("v")).collect()]
+    assert vals == [Dec("735000.00"), Dec("2.45")]
+    path = str(tmp_path / "t")
+    replace_table(df, path)
+    replace_table(df.limit(1), path)           # overwrite, not append
+    assert spark.read.parquet(path).count() == 1

@@ -158,3 +158,15 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.count() > 0
     assert "pct_of_target" in df.columns
+
+
+def test_views_registered_and_published(spark, star, tmp_path):
+    names = reports.register_views(star)
+    assert len(names) == 10
+    a = spark.sql("SELECT sum(total_revenue) AS t FROM vw_revenue_by_state").first().t
+    b = spark.sql("SELECT sum(total_revenue) AS t FROM vw_revenue_by_month").first().t
+    assert a == b == reports.overall_performance(star).first().total_revenue
+    m = star.materialize(str(tmp_path / "star"))
+    paths = reports.publish_views(m, str(tmp_path / "views"))
+    back = spark.read.parquet(paths["vw_pipeline_by_stage"])
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, reports.vw_pipeline_by_stage(star).collect()))
