@@ -112,8 +112,14 @@ def money_cents(col: Column) -> Column:
 
 
 def sum_cents(col: Column) -> Column:
-    """Exact sum of BIGINT cents (ANSI mode turns an overflow into an error)."""
-    return F.sum(col)
+    """Exact sum of BIGINT cents, accumulated as DECIMAL(38,0).
+
+    Per-row values fit a BIGINT comfortably, but a total over a 100 TB fact
+    (about 2e18 cents for all revenue) comes within a small factor of the
+    BIGINT limit; a 38-digit accumulator removes that ceiling at the cost of
+    one BigDecimal add per row in the partial aggregate.
+    """
+    return F.sum(col.cast("decimal(20,0)"))
 
 
 def money_from_cents(c: Column, precision: int = 24) -> Column:
