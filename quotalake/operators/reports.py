@@ -200,8 +200,7 @@ def _target_months(star: Star, from_year: int | None = None) -> DataFrame:
 
 
 def _targets_with_names(reps: DataFrame, star: Star) -> DataFrame:
-    c = star.config
-    return build_targets(reps, c.calendar_start, c.calendar_end, carry=["full_name"])
+    return build_targets(reps, *star.calendar_range, carry=["full_name"])
 
 
 def vw_actual_vs_target(star: Star) -> DataFrame:
@@ -342,7 +341,7 @@ def state_variance(star: Star) -> DataFrame:
 
 def vw_target_miss_rate(star: Star, from_year: int | None = None) -> DataFrame:
     """Per rep, months with actual < target since ``from_year``, and the share."""
-    from_year = star.config.miss_from_year if from_year is None else from_year
+    from_year = star.miss_from_year if from_year is None else from_year
     t = _target_months(star, from_year)
     missed = F.count(F.when(F.col("actual_cents") < F.col("target_cents"), F.col("month")))
     return (t.groupBy("salesperson_id", "full_name")

@@ -56,7 +56,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "rescale_targets": lambda star: _without_cents(star.salespeople),
     "build_targets": lambda star: _without_cents(star.targets),
     "target_validation": lambda star: target_validation(
-        star.salespeople, star.rep_revenue, star.config.target_years),
+        star.salespeople, star.rep_revenue, star.target_years),
     "assign_territory": lambda star: _without_cents(star.pipeline),
     # integrity audits
     "audit_unique": audits.audit_unique,

@@ -65,6 +65,12 @@ def _case(draw: str, weights, labels, quote: bool = True) -> str:
 _MARKUP = "CAST(56 + 4 * (((p_size % 6) + 6) % 6) AS DECIMAL(4,0))"
 
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
+    # first/last order year: the calendar starts a year before the first, the
+    # rescale divides by the years spanned, the miss rate starts at the first
+    "span": ((), """
+        SELECT CAST(year(min(o_orderdate)) AS INTEGER) AS y0,
+               CAST(year(max(o_orderdate)) AS INTEGER) AS y1
+        FROM orders"""),
     "products": ((), f"""
         SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
                CAST(round(CAST(p_retailprice AS DECIMAL(10,2)) * {_MARKUP} * 0.01, 2) AS DECIMAL(10,2))
@@ -111,16 +117,17 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "rep_revenue": (("monthly_actuals",), """
         SELECT salesperson_id, sum(actual_revenue) AS revenue_total
         FROM monthly_actuals GROUP BY 1"""),
-    "reps": (("reps0", "rep_revenue"), f"""
+    "reps": (("reps0", "rep_revenue", "span"), f"""
         SELECT r.salesperson_id, r.first_name, r.last_name, r.state, r.region,
-               coalesce({_hu(_c('rr.revenue_total') + f' * {CFG.target_share_pct}', f'CAST({CFG.target_years * 100} AS HUGEINT)')},
+               coalesce({_hu(_c('rr.revenue_total') + f' * {CFG.target_share_pct}',
+                             'CAST((sp.y1 - sp.y0 + 1) * 100 AS HUGEINT)')},
                         {_c('r.annual_target')}) AS annual_cents
-        FROM reps0 r LEFT JOIN rep_revenue rr ON rr.salesperson_id = r.salesperson_id"""),
-    "months": ((), f"""
+        FROM reps0 r LEFT JOIN rep_revenue rr ON rr.salesperson_id = r.salesperson_id
+        CROSS JOIN span sp"""),
+    "months": (("span",), f"""
         SELECT CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month
-        FROM (SELECT unnest(generate_series(DATE '{CFG.calendar_start.replace(day=1)}',
-                                            DATE '{CFG.calendar_end.replace(day=1)}',
-                                            INTERVAL 1 MONTH)) AS m)"""),
+        FROM (SELECT unnest(generate_series(make_date(y0 - {CFG.lead_years}, 1, 1), make_date(y1, 12, 1),
+                                            INTERVAL 1 MONTH)) AS m FROM span)"""),
     "targets": (("reps", "months"), f"""
         SELECT r.salesperson_id, r.first_name || ' ' || r.last_name AS full_name, m.year, m.month,
                {_hu('r.annual_cents', 'CAST(12 AS HUGEINT)')} AS target_cents
@@ -130,14 +137,15 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                coalesce(CAST(ma.actual_revenue * 100 AS HUGEINT), 0) AS actual_cents
         FROM targets t LEFT JOIN monthly_actuals ma
           ON ma.salesperson_id = t.salesperson_id AND ma.year = t.year AND ma.month = t.month"""),
-    "calendar": ((), f"""
+    "calendar": (("span",), f"""
         SELECT d AS date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
                CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name,
                CAST(weekofyear(d) AS INTEGER) AS week, CAST(day(d) AS INTEGER) AS day,
                'FY' || CAST(year(d) + CASE WHEN month(d) >= 7 THEN 1 ELSE 0 END AS VARCHAR)
                    AS financial_year
-        FROM (SELECT CAST(unnest(generate_series(DATE '{CFG.calendar_start}', DATE '{CFG.calendar_end}',
-                                                 INTERVAL 1 DAY)) AS DATE) AS d)"""),
+        FROM (SELECT CAST(unnest(generate_series(make_date(y0 - {CFG.lead_years}, 1, 1),
+                                                 make_date(y1, 12, 31), INTERVAL 1 DAY)) AS DATE) AS d
+              FROM span)"""),
     "pool": (("reps0",), f"""
         SELECT salesperson_id, state FROM reps0
         WHERE ((n_nationkey % {CFG.pool_modulus}) + {CFG.pool_modulus}) % {CFG.pool_modulus}
@@ -237,8 +245,8 @@ _STATE_VARIANCE = _with("state_revenue") + f"""
            {_d(_hu('CAST(n AS HUGEINT) * rc - tot', 'CAST(n AS HUGEINT)'), 2)} AS variance_from_avg
     FROM sv"""
 
-_MISS_RATE = _with("target_months") + f"""
-    , tm AS (SELECT * FROM target_months WHERE year >= {CFG.miss_from_year})
+_MISS_RATE = _with("target_months", "span") + f"""
+    , tm AS (SELECT * FROM target_months WHERE year >= (SELECT y0 FROM span))
     SELECT salesperson_id, full_name,
            count(month) FILTER (WHERE actual_cents < target_cents) AS months_missed,
            count(month) AS total_months,
@@ -353,12 +361,12 @@ ORACLE_SQL: dict[str, str] = {
                {_d('annual_cents', 2)} AS annual_target FROM reps""",
     "build_targets": _with("targets") + f"""
         SELECT salesperson_id, year, month, {_d('target_cents', 2)} AS monthly_target FROM targets""",
-    "target_validation": _with("reps", "rep_revenue") + f"""
+    "target_validation": _with("reps", "rep_revenue", "span") + f"""
         SELECT r.salesperson_id, {_d('r.annual_cents', 2)} AS annual_target,
                {_d(_hu('r.annual_cents', 'CAST(12 AS HUGEINT)'), 2)} AS monthly_target,
-               {_d(_hu(_c('rr.revenue_total') + ' * 10000', f'CAST({12 * CFG.target_years} AS HUGEINT)'), 6)}
+               {_d(_hu(_c('rr.revenue_total') + ' * 10000', 'CAST(12 * (sp.y1 - sp.y0 + 1) AS HUGEINT)'), 6)}
                    AS avg_actual_monthly_revenue
-        FROM reps r JOIN rep_revenue rr ON rr.salesperson_id = r.salesperson_id""",
+        FROM reps r JOIN rep_revenue rr ON rr.salesperson_id = r.salesperson_id CROSS JOIN span sp""",
     "assign_territory": _with("pipeline") + f"""
         SELECT opportunity_id, customer_id, salesperson_id, product_id, stage,
                {_money('probability')} AS probability,

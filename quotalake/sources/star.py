@@ -16,8 +16,14 @@ Role mapping (fixed, see README):
 * pipeline    = orders: id o_orderkey, stage/probability from a key draw (B7),
   expected revenue o_totalprice, close date = date(o_orderdate), rep by the
   territory rule (B9) over the reps of nations whose key % 5 <> 4.
-* calendar    = every day of [calendar_start, calendar_end] (B1).
-* targets     = B3 rescale (years of sales, 90 %) then B2.
+* calendar    = every day from 1 January of the year before the first order to
+  31 December of the last order's year (B1); the leading year has no sales.
+* targets     = B3 rescale (sales / years spanned by the orders, 90 %) then B2.
+
+The calendar span, the years behind the target rescale and the first year of
+the miss-rate report are derived from the orders (one min/max aggregate), the
+same rule the reference applies to its own data; ``StarConfig`` can pin any of
+them.
 
 Every frame is lazy; reports select what they need and Catalyst prunes the
 Parquet reads down to those columns.
@@ -71,11 +77,13 @@ def with_money_columns(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class StarConfig:
-    calendar_start: dt.date = dt.date(1994, 1, 1)
-    calendar_end: dt.date = dt.date(2001, 12, 31)
-    target_years: int = 7
+    # None: derived from the order dates (see ``Star.order_years``).
+    calendar_start: dt.date | None = None
+    calendar_end: dt.date | None = None
+    target_years: int | None = None
+    miss_from_year: int | None = None
+    lead_years: int = 1
     target_share_pct: int = 90
-    miss_from_year: int = 1995
     tier_high: int = 8000
     tier_medium: int = 5000
     top_customers: int = 20
@@ -204,7 +212,7 @@ class Star:
     def salespeople(self) -> DataFrame:
         """Reps with the rescaled annual target."""
         return build.rescale_targets(self.salespeople_opening.drop("n_nationkey"),
-                                     self.rep_revenue, self.config.target_years,
+                                     self.rep_revenue, self.target_years,
                                      self.config.target_share_pct)
 
     @cached_property
@@ -214,18 +222,51 @@ class Star:
                 .where(F.pmod(F.col("n_nationkey"), F.lit(c.pool_modulus)) != F.lit(c.pool_excluded_residue))
                 .select("salesperson_id", "state"))
 
+    # --- data-derived parameters -------------------------------------------
+
+    @cached_property
+    def order_years(self) -> tuple[int, int]:
+        """First and last calendar year of the order dates (one aggregate job)."""
+        row = self.t("orders").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
+        if row is None or row["lo"] is None:
+            raise ValueError("orders has no dates; set calendar_start/calendar_end/target_years explicitly")
+        return row["lo"].year, row["hi"].year
+
+    @cached_property
+    def calendar_range(self) -> tuple[dt.date, dt.date]:
+        c = self.config
+        if c.calendar_start is not None and c.calendar_end is not None:
+            return c.calendar_start, c.calendar_end
+        lo, hi = self.order_years
+        return (c.calendar_start or dt.date(lo - c.lead_years, 1, 1),
+                c.calendar_end or dt.date(hi, 12, 31))
+
+    @property
+    def target_years(self) -> int:
+        if self.config.target_years is not None:
+            return self.config.target_years
+        lo, hi = self.order_years
+        return hi - lo + 1
+
+    @property
+    def miss_from_year(self) -> int:
+        if self.config.miss_from_year is not None:
+            return self.config.miss_from_year
+        return self.order_years[0]
+
     @cached_property
     def calendar(self) -> DataFrame:
-        return build.build_calendar(self.spark, self.config.calendar_start, self.config.calendar_end)
+        return build.build_calendar(self.spark, *self.calendar_range)
 
     @property
     def calendar_rows(self) -> int:
-        return build.calendar_rows(self.config.calendar_start, self.config.calendar_end)
+        """Known before any job runs once the range is fixed: the broadcast bound."""
+        return build.calendar_rows(*self.calendar_range)
 
     @cached_property
     def targets(self) -> DataFrame:
         return build.build_targets(self.salespeople.select("salesperson_id", "annual_cents"),
-                                   self.config.calendar_start, self.config.calendar_end)
+                                   *self.calendar_range)
 
     # --- facts ------------------------------------------------------------
 

@@ -3,6 +3,7 @@ materialization, audits and the SQL oracle."""
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 from decimal import ROUND_HALF_UP, Decimal
@@ -76,8 +77,10 @@ def test_pipeline_invariants(star):
 
 
 def test_target_rows_cover_every_rep_month(star):
-    c = star.config
-    months = (c.calendar_end.year - c.calendar_start.year) * 12 + c.calendar_end.month - c.calendar_start.month + 1
+    start, end = star.calendar_range
+    assert (start, end) == (dt.date(1994, 1, 1), dt.date(2001, 12, 31))     # a year before the first order
+    assert (star.target_years, star.miss_from_year) == (7, 1995)
+    months = (end.year - start.year) * 12 + end.month - start.month + 1
     assert reports.vw_actual_vs_target(star).count() == star.t("supplier").count() * months
     miss = reports.vw_target_miss_rate(star).collect()
     assert all(r.total_months == months - 12 for r in miss)      # from 1995 on
