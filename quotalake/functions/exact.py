@@ -26,11 +26,6 @@ def as_int(col: Column) -> Column:
     return col.cast(INT38)
 
 
-def cents(col: Column, scale: int = 2) -> Column:
-    """Integral count of 10^-scale units of a decimal column (money -> cents)."""
-    return as_int(col * F.lit(10 ** scale))
-
-
 def half_up_quotient(a: Column, b: Column) -> Column:
     """ROUND(a / b) half away from zero, for integral a and b; NULL when b is 0 or NULL."""
     a = as_int(a)
@@ -68,11 +63,6 @@ def pct(part_units: Column, whole_units: Column, scale: int) -> Column:
     return round_ratio(as_int(part_units) * F.lit(100), whole_units, scale, precision=20)
 
 
-def money_avg(total: Column, n: Column, scale: int = 2) -> Column:
-    """ROUND(total / n, scale) for a money total of scale 2 and a count n."""
-    return round_ratio(cents(total), as_int(n) * F.lit(100), scale, precision=24)
-
-
 def to_money(col: Column, precision: int = 14) -> Column:
     """Cast to DECIMAL(precision, 2)."""
     return col.cast(f"decimal({precision},2)")

@@ -73,3 +73,6 @@ def test_trusting_foreign_keys_changes_no_result(spark):
     trusted = Star.from_parquet(spark, SF_SMALL, StarConfig(trust_foreign_keys=True))
     for fn in (reports.overall_performance, reports.vw_revenue_by_product, reports.vw_salesperson_performance):
         assert sorted(map(tuple, fn(plain).collect())) == sorted(map(tuple, fn(trusted).collect()))
+    # top-k before the customer join: same rows, same order
+    assert list(map(tuple, reports.top_customers(plain).collect())) == \
+        list(map(tuple, reports.top_customers(trusted).collect()))
