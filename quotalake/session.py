@@ -63,5 +63,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = tempfile.mkdtemp(prefix="quotalake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    try:
+        spark.sparkContext.setCheckpointDir(configured)
+    except Exception:  # Spark Connect sessions have no SparkContext; the conf suffices
+        pass
     return configured
+
+
+def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
+    """Cores available to the session (``fallback`` where no SparkContext is exposed)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return fallback

@@ -352,12 +352,11 @@ class Star:
         order key, so the joins and the pricing run in parallel and the output
         has one file per core; a large input is written as the joins produce it.
         """
-        from quotalake.session import ensure_checkpoint_dir
+        from quotalake.session import default_parallelism, ensure_checkpoint_dir
         from quotalake.sources.tables import SpreadTables
 
         base = path or f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/quotalake-star-{uuid.uuid4().hex}"
-        builder = Star(self.spark, SpreadTables(self.source, self.spark.sparkContext.defaultParallelism),
-                       self.config)
+        builder = Star(self.spark, SpreadTables(self.source, default_parallelism(self.spark)), self.config)
         frames = {
             "customers": builder.customers,
             "products": builder.products,

@@ -63,10 +63,17 @@ class SpreadTables:
     def table(self, name: str) -> DataFrame:
         df = self.inner.table(name)
         key = self.FACT_KEYS.get(name)
-        if key and df.rdd.getNumPartitions() < self.min_partitions:
+        if key and self._input_partitions(df) < self.min_partitions:
             df = df.repartition(self.min_partitions, key)
         return df
 
+    @staticmethod
+    def _input_partitions(df: DataFrame) -> int:
+        try:
+            return df.rdd.getNumPartitions()
+        except Exception:  # no RDD view (Spark Connect): leave the scan as it is
+            return 1 << 30
+
 
 class CatalogTables:
     """Tables already registered in the session catalog (``db.name`` or bare names)."""
