@@ -34,13 +34,6 @@ TIER_MEDIUM = "Medium"
 TIER_LOW = "Low"
 
 
-def _sum_count(df: DataFrame, key: str) -> DataFrame:
-    """Revenue and profit cents and row count per key (map-side partial aggregation)."""
-    return df.groupBy(key).agg(sum_cents(F.col("revenue_cents")).alias("rev_c"),
-                               sum_cents(F.col("profit_cents")).alias("prof_c"),
-                               F.count(F.lit(1)).alias("sales_count"))
-
-
 def _margin(rev_c: str = "rev_c", prof_c: str = "prof_c"):
     return pct(F.col(prof_c), F.col(rev_c), 2).cast("decimal(8,2)")
 
@@ -91,7 +84,7 @@ def revenue_by_month(star: Star) -> DataFrame:
 # --- Q3 / V2 ----------------------------------------------------------------
 
 def _state_summary(star: Star) -> DataFrame:
-    per_customer = _sum_count(star.sales, "customer_id")
+    per_customer = star.sales_totals("customer_id")
     cust = star.customers.select("customer_id", "state")
     return (per_customer.join(cust, "customer_id", "inner")
             .groupBy("state")
@@ -119,7 +112,7 @@ def _public(df: DataFrame) -> DataFrame:
 # --- Q4 / V3 ----------------------------------------------------------------
 
 def _product_summary(star: Star) -> DataFrame:
-    per_product = _sum_count(star.sales_for_reps, "product_id")
+    per_product = star.sales_totals("product_id")
     names = star.products.select("product_id", "product_name")
     return (per_product.join(names, "product_id", "inner")
             .select("product_id", "product_name", _money("rev_c", "total_revenue"),
@@ -162,7 +155,7 @@ def vw_salesperson_performance(star: Star) -> DataFrame:
 
     The reference also lists ``hire_date``; the driver tables carry none.
     """
-    per_rep = _sum_count(star.sales_for_reps, "salesperson_id")
+    per_rep = star.sales_totals("salesperson_id")
     reps = star.salespeople_opening.select("salesperson_id", "first_name", "last_name")
     return (per_rep.join(reps, "salesperson_id", "inner")
             .select("salesperson_id",
@@ -223,7 +216,7 @@ def actual_vs_target(star: Star) -> DataFrame:
 
 def vw_top_customers(star: Star) -> DataFrame:
     """V6: every customer with sales, with revenue, profit and purchase count."""
-    per_customer = _sum_count(star.sales, "customer_id")
+    per_customer = star.sales_totals("customer_id")
     cust = star.customers.select("customer_id", "company_name", "industry", "state")
     return (per_customer.join(cust, "customer_id", "inner")
             .select("customer_id", "company_name", "industry", "state",
@@ -244,7 +237,7 @@ def top_customers(star: Star, n: int | None = None) -> DataFrame:
     order = [F.desc_nulls_first("total_revenue"), F.asc("customer_id")]
     if not star.config.trust_foreign_keys:
         return vw_top_customers(star).orderBy(*order).limit(n)
-    top = (_sum_count(star.sales, "customer_id")
+    top = (star.sales_totals("customer_id")
            .orderBy(F.desc_nulls_first("rev_c"), F.asc("customer_id")).limit(n))
     cust = star.customers.select("customer_id", "company_name", "industry", "state")
     return (cust.join(F.broadcast(top), "customer_id", "inner")

@@ -75,6 +75,37 @@ def with_money_columns(df: DataFrame) -> DataFrame:
     )
 
 
+def totals_by(sales: DataFrame, key: str) -> DataFrame:
+    """Revenue and profit cents and sale count per key.
+
+    The first-level aggregate every report starts from; map-side partial
+    aggregation collapses a hot key before the shuffle.
+    """
+    return sales.groupBy(key).agg(sum_cents(F.col("revenue_cents")).alias("rev_c"),
+                                  sum_cents(F.col("profit_cents")).alias("prof_c"),
+                                  F.count(F.lit(1)).alias("sales_count"))
+
+
+def monthly_actuals_of(sales: DataFrame) -> DataFrame:
+    """Revenue cents per rep and calendar month of the sale date.
+
+    The month keys are made non-nullable (a sale without a date lands in
+    month 0, which matches no target month but still counts in the rep's
+    total).  Otherwise the join that consumes this aggregate gets inferred
+    IS NOT NULL filters the rep-total branch lacks, the two subtrees stop
+    being identical, and Spark aggregates the fact twice instead of reusing
+    one exchange.
+    """
+    return (sales.groupBy("salesperson_id",
+                          F.coalesce(F.year("sale_date"), F.lit(0)).alias("year"),
+                          F.coalesce(F.month("sale_date"), F.lit(0)).alias("month"))
+            .agg(sum_cents(F.col("revenue_cents")).alias("actual_cents")))
+
+
+# Keys with a first-level totals table, and whether the order join is needed.
+TOTALS_KEYS = {"customer_id": True, "product_id": False, "salesperson_id": False}
+
+
 @dataclass(frozen=True)
 class StarConfig:
     # None: derived from the order dates (see ``Star.order_years``).
@@ -170,20 +201,16 @@ class Star:
 
     @cached_property
     def monthly_actuals(self) -> DataFrame:
-        """Revenue (BIGINT cents) per rep and calendar month of the sale date.
-
-        The month keys are made non-nullable (a sale without a date lands in
-        month 0, which matches no target month but still counts in the rep's
-        total).  Otherwise the join that consumes this aggregate gets inferred
-        IS NOT NULL filters the rep-total branch lacks, the two subtrees stop
-        being identical, and Spark aggregates the fact twice instead of reusing
-        one exchange.
-        """
-        return (self.sales
-                .groupBy("salesperson_id",
-                         F.coalesce(F.year("sale_date"), F.lit(0)).alias("year"),
-                         F.coalesce(F.month("sale_date"), F.lit(0)).alias("month"))
-                .agg(sum_cents(F.col("revenue_cents")).alias("actual_cents")))
+        """Revenue (BIGINT cents summed exactly) per rep and month of the sale date."""
+        return monthly_actuals_of(self.sales)
+
+    def sales_totals(self, key: str) -> DataFrame:
+        """Per-customer / product / rep totals (``rev_c``, ``prof_c``, ``sales_count``)."""
+        cache = self.__dict__.setdefault("_totals", {})
+        if key not in cache:
+            needs_order = TOTALS_KEYS.get(key, True)
+            cache[key] = totals_by(self.sales if needs_order else self.sales_for_reps, key)
+        return cache[key]
 
     def monthly_actuals_since(self, from_year: int) -> DataFrame:
         """Monthly actuals from 1 January of ``from_year`` on.
@@ -365,15 +392,29 @@ class Star:
                                           "quantity", "discount_percent", *SALES_CENTS),
             "pipeline": builder.pipeline.drop("expected_revenue"),
         }
-        def write(item):
-            name, df = item
+        def write(name: str, df: DataFrame) -> None:
             (df.repartition(partitions) if partitions else df).write.mode("overwrite").parquet(f"{base}/{name}")
 
-        # The five writes are independent jobs: submitting them from a few
-        # driver threads lets the scheduler overlap their stages instead of
-        # leaving cores idle while one small table's job finishes.
-        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-            list(pool.map(write, frames.items()))
+        sales_plan = frames.pop("sales")
+
+        def sales_and_aggregates() -> None:
+            # The aggregates read the sales table just written, not the joins again.
+            write("sales", sales_plan)
+            sales = with_money_columns(self.spark.read.parquet(f"{base}/sales"))
+            aggregates = {"monthly_actuals": monthly_actuals_of(sales),
+                          **{f"totals_{key}": totals_by(sales, key) for key in TOTALS_KEYS}}
+            with ThreadPoolExecutor(max_workers=len(aggregates)) as inner:
+                for f in [inner.submit(write, n, df) for n, df in aggregates.items()]:
+                    f.result()
+
+        # The writes are independent jobs (the aggregates wait for the sales
+        # table only): submitting them from a few driver threads lets the
+        # scheduler overlap their stages instead of leaving cores idle while
+        # one small table's job finishes.
+        jobs = [sales_and_aggregates] + [(lambda n=name, df=df: write(n, df)) for name, df in frames.items()]
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            for f in [pool.submit(job) for job in jobs]:
+                f.result()
         return MaterializedStar(self.spark, self.source, self.config, base)
 
 
@@ -407,6 +448,21 @@ class MaterializedStar(Star):
     def sales_lines(self) -> DataFrame:
         return self.sales
 
+    @cached_property
+    def monthly_actuals(self) -> DataFrame:
+        return self._read("monthly_actuals")
+
+    def monthly_actuals_since(self, from_year: int) -> DataFrame:
+        return self.monthly_actuals.where(F.col("year") >= F.lit(from_year))
+
+    def sales_totals(self, key: str) -> DataFrame:
+        if key in TOTALS_KEYS:
+            cache = self.__dict__.setdefault("_totals", {})
+            if key not in cache:
+                cache[key] = self._read(f"totals_{key}")
+            return cache[key]
+        return super().sales_totals(key)
+
     @cached_property
     def pipeline(self) -> DataFrame:
         p = self._read("pipeline")

@@ -89,7 +89,9 @@ def test_target_rows_cover_every_rep_month(star):
 def test_materialized_star_gives_identical_reports(spark, star, tmp_path):
     m = star.materialize(str(tmp_path / "star"), partitions=3)
     for fn in (reports.vw_revenue_by_state, reports.vw_actual_vs_target, reports.vw_win_rate_by_salesperson,
-               reports.vw_revenue_by_product, reports.vw_pipeline_by_stage):
+               reports.vw_revenue_by_product, reports.vw_pipeline_by_stage, reports.vw_target_miss_rate,
+               reports.vw_salesperson_performance, reports.vw_underperforming_states, reports.top_customers,
+               reports.overall_performance, reports.vw_revenue_by_month):
         a = sorted(map(tuple, fn(star).collect()))
         b = sorted(map(tuple, fn(m).collect()))
         assert a == b, fn.__name__
