@@ -51,9 +51,10 @@ def _avg(c: str, n: str, name: str):
 
 def overall_performance(star: Star) -> DataFrame:
     """Q1: total revenue, total profit, margin % (NULL when revenue is 0)."""
-    return (star.sales_for_reps
-            .agg(sum_cents(F.col("revenue_cents")).alias("rev_c"),
-                 sum_cents(F.col("profit_cents")).alias("prof_c"))
+    # The sum of the per-rep totals: exact, and one partial aggregate per rep
+    # (or a scan of the written per-rep table) instead of another pass per row.
+    return (star.sales_totals("salesperson_id")
+            .agg(F.sum("rev_c").alias("rev_c"), F.sum("prof_c").alias("prof_c"))
             .select(_money("rev_c", "total_revenue"), _money("prof_c", "total_profit"),
                     _margin().alias("margin_pct")))
 
@@ -63,15 +64,15 @@ def overall_performance(star: Star) -> DataFrame:
 def vw_revenue_by_month(star: Star) -> DataFrame:
     """V1: revenue per calendar (year, month, month_name).
 
-    The calendar has a known row count (one per day of its range), so it is
-    broadcast into the sales scan stage; the aggregation that follows has at
-    most one group per month.
+    Sales are first summed per day (partial aggregation, at most one group per
+    day), then joined to the calendar, whose row count is known from its range
+    and so is broadcast; the final aggregation has one group per month.
     """
     cal = F.broadcast(star.calendar.select("date", "year", "month", "month_name"))
-    s = star.sales.select("sale_date", "revenue_cents")
-    return (s.join(cal, s["sale_date"] == cal["date"], "inner")
+    daily = star.sales_totals("sale_date").select("sale_date", "rev_c")
+    return (daily.join(cal, daily["sale_date"] == cal["date"], "inner")
             .groupBy("year", "month", "month_name")
-            .agg(sum_cents(F.col("revenue_cents")).alias("rev_c"))
+            .agg(F.sum("rev_c").alias("rev_c"))
             .select("year", "month", "month_name", _money("rev_c", "total_revenue")))
 
 

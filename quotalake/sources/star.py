@@ -103,7 +103,7 @@ def monthly_actuals_of(sales: DataFrame) -> DataFrame:
 
 
 # Keys with a first-level totals table, and whether the order join is needed.
-TOTALS_KEYS = {"customer_id": True, "product_id": False, "salesperson_id": False}
+TOTALS_KEYS = {"customer_id": True, "product_id": False, "salesperson_id": False, "sale_date": True}
 
 
 @dataclass(frozen=True)
@@ -452,6 +452,11 @@ class MaterializedStar(Star):
     def monthly_actuals(self) -> DataFrame:
         return self._read("monthly_actuals")
 
+    @cached_property
+    def rep_revenue(self) -> DataFrame:
+        """Per-rep revenue from the written per-rep totals (the same sums)."""
+        return self.sales_totals("salesperson_id").select("salesperson_id", F.col("rev_c").alias("revenue_cents"))
+
     def monthly_actuals_since(self, from_year: int) -> DataFrame:
         return self.monthly_actuals.where(F.col("year") >= F.lit(from_year))
 
