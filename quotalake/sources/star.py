@@ -102,8 +102,11 @@ def monthly_actuals_of(sales: DataFrame) -> DataFrame:
             .agg(sum_cents(F.col("revenue_cents")).alias("actual_cents")))
 
 
-# Keys with a first-level totals table, and whether the order join is needed.
+# Keys of the first-level totals, and whether they need the order join.
 TOTALS_KEYS = {"customer_id": True, "product_id": False, "salesperson_id": False, "sale_date": True}
+# The totals ``materialize`` writes.  Per-day totals are left out: at most one
+# row per day, they are cheap to recompute and cost more to write than they save.
+MATERIALIZED_TOTALS = ("customer_id", "product_id", "salesperson_id")
 
 
 @dataclass(frozen=True)
@@ -402,7 +405,7 @@ class Star:
             write("sales", sales_plan)
             sales = with_money_columns(self.spark.read.parquet(f"{base}/sales"))
             aggregates = {"monthly_actuals": monthly_actuals_of(sales),
-                          **{f"totals_{key}": totals_by(sales, key) for key in TOTALS_KEYS}}
+                          **{f"totals_{key}": totals_by(sales, key) for key in MATERIALIZED_TOTALS}}
             with ThreadPoolExecutor(max_workers=len(aggregates)) as inner:
                 for f in [inner.submit(write, n, df) for n, df in aggregates.items()]:
                     f.result()
@@ -461,7 +464,7 @@ class MaterializedStar(Star):
         return self.monthly_actuals.where(F.col("year") >= F.lit(from_year))
 
     def sales_totals(self, key: str) -> DataFrame:
-        if key in TOTALS_KEYS:
+        if key in MATERIALIZED_TOTALS:
             cache = self.__dict__.setdefault("_totals", {})
             if key not in cache:
                 cache[key] = self._read(f"totals_{key}")
