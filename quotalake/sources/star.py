@@ -152,7 +152,15 @@ class Star:
     @classmethod
     def from_parquet(cls, spark: SparkSession, base_dir: str,
                      config: StarConfig | None = None) -> "Star":
-        return cls(spark, ParquetTables(spark, base_dir), config)
+        """Star over ``<base_dir>/<table>.parquet``.
+
+        Fact scans with fewer input splits than the session has cores are
+        spread over the cores (``SpreadTables``); large inputs are untouched.
+        """
+        from quotalake.session import default_parallelism
+        from quotalake.sources.tables import SpreadTables
+
+        return cls(spark, SpreadTables(ParquetTables(spark, base_dir), default_parallelism(spark)), config)
 
     def t(self, name: str) -> DataFrame:
         return self.source.table(name)
@@ -386,7 +394,9 @@ class Star:
         from quotalake.sources.tables import SpreadTables
 
         base = path or f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/quotalake-star-{uuid.uuid4().hex}"
-        builder = Star(self.spark, SpreadTables(self.source, default_parallelism(self.spark)), self.config)
+        source = self.source if isinstance(self.source, SpreadTables) else \
+            SpreadTables(self.source, default_parallelism(self.spark))
+        builder = Star(self.spark, source, self.config)
         frames = {
             "customers": builder.customers,
             "products": builder.products,
