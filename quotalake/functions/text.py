@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A word starts after any character that is not a letter or digit (SQL INITCAP).
+_WORD_CHAR = r"[\p{L}\p{N}]"
+
 
 def full_name(first: Column, last: Column) -> Column:
     """first || ' ' || last (NULL if either part is NULL, like SQL ``||``)."""
@@ -12,9 +15,19 @@ def full_name(first: Column, last: Column) -> Column:
 
 
 def title_case(s: Column) -> Column:
-    """INITCAP: upper-case the first letter of each space-separated word, lower-case the rest.
+    """SQL INITCAP: upper-case the first letter of every word, lower-case the rest.
 
-    Spark starts a new word only after whitespace; SQL engines that also break
-    on punctuation (``O'brien-smith``) differ on such names only.
+    Unlike Spark's ``initcap`` (which only breaks on spaces), a word starts
+    after any non-alphanumeric character: ``o'brien-smith`` -> ``O'Brien-Smith``.
+    Built from higher-order array functions over the characters, so it stays a
+    JVM expression (no Python UDF).
     """
-    return F.initcap(s)
+    chars = F.split(s, "")
+    cased = F.transform(
+        chars,
+        # element_at is 1-based: position i holds the character before c; the
+        # index is clamped so the first character never asks for position 0
+        lambda c, i: F.when((i == 0) | ~F.element_at(chars, F.greatest(i, F.lit(1))).rlike(_WORD_CHAR),
+                            F.upper(c))
+        .otherwise(F.lower(c)))
+    return F.when(s.isNull(), F.lit(None).cast("string")).otherwise(F.array_join(cased, ""))

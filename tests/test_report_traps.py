@@ -186,3 +186,11 @@ def test_salesperson_name_title_case(spark):
     reps = reps_df(spark, [(1, "sARAH", "mitchell", "S", "R", Decimal(0), 0)])
     star = star_with(spark, sales=sales, salespeople_opening=reps)
     assert reports.salesperson_performance(star).first().full_name == "Sarah Mitchell"
+
+
+def test_title_case_breaks_words_like_sql_initcap(spark):
+    from quotalake.functions.text import title_case
+
+    df = spark.createDataFrame([("o'brien-smith",), ("sARAH mitchell",), ("",), (None,), ("élan 2nd",)], "s string")
+    got = [r.t for r in df.select(title_case(F.col("s")).alias("t")).collect()]
+    assert got == ["O'Brien-Smith", "Sarah Mitchell", "", None, "Élan 2nd"]
