@@ -265,7 +265,8 @@ class Star:
     @cached_property
     def order_years(self) -> tuple[int, int]:
         """First and last calendar year of the order dates (one aggregate job)."""
-        row = self.t("orders").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
+        orders = getattr(self.source, "raw", self.source.table)("orders")
+        row = orders.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
         if row is None or row["lo"] is None:
             raise ValueError("orders has no dates; set calendar_start/calendar_end/target_years explicitly")
         return row["lo"].year, row["hi"].year

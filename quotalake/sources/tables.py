@@ -67,6 +67,10 @@ class SpreadTables:
             df = df.repartition(self.min_partitions, key)
         return df
 
+    def raw(self, name: str) -> DataFrame:
+        """The table as stored, for scans that aggregate right away (min/max, counts)."""
+        return self.inner.table(name)
+
     @staticmethod
     def _input_partitions(df: DataFrame) -> int:
         try:
