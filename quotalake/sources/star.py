@@ -406,6 +406,7 @@ class Star:
                                           "quantity", "discount_percent", *SALES_CENTS),
             "pipeline": builder.pipeline.drop("expected_revenue"),
         }
+
         def write(name: str, df: DataFrame) -> None:
             (df.repartition(partitions) if partitions else df).write.mode("overwrite").parquet(f"{base}/{name}")
 
