@@ -104,9 +104,9 @@ def test_value_opportunity_and_replace_table(spark, tmp_path):
 
     from quotalake.operators.build import replace_table, value_opportunity
 
-    df = spark.createDataFrame([(Dec("245000.00"), 3), (Dec("0.35"), 7)], "p decimal(10,2), q int")
+    df = spark.createDataFrame([(Dec("123456.78"), 3), (Dec("0.35"), 7)], "p decimal(10,2), q int")
     vals = [r.v for r in df.select(value_opportunity(F.col("p"), F.col("q")).alias("v")).collect()]
-    assert vals == [Dec("735000.00"), Dec("2.45")]
+    assert vals == [Dec("370370.34"), Dec("2.45")]
     path = str(tmp_path / "t")
     replace_table(df, path)
     replace_table(df.limit(1), path)           # overwrite, not append
