@@ -398,20 +398,20 @@ class Star:
         source = self.source if isinstance(self.source, SpreadTables) else \
             SpreadTables(self.source, default_parallelism(self.spark))
         builder = Star(self.spark, source, self.config)
+        # Plans are built inside the writer threads: building the pipeline runs
+        # its own small bounds jobs, which then overlap with the other writes.
         frames = {
-            "customers": builder.customers,
-            "products": builder.products,
-            "salespeople_opening": builder.salespeople_opening,
-            "sales": builder.sales.select("customer_id", "salesperson_id", "product_id", "sale_date",
-                                          "quantity", "discount_percent", *SALES_CENTS),
-            "pipeline": builder.pipeline.drop("expected_revenue"),
+            "customers": lambda: builder.customers,
+            "products": lambda: builder.products,
+            "salespeople_opening": lambda: builder.salespeople_opening,
+            "pipeline": lambda: builder.pipeline.drop("expected_revenue"),
         }
+        sales_plan = builder.sales.select("customer_id", "salesperson_id", "product_id", "sale_date",
+                                          "quantity", "discount_percent", *SALES_CENTS)
 
         def write(name: str, df: DataFrame) -> None:
             (df.repartition(partitions) if partitions else df).write.mode("overwrite").parquet(f"{base}/{name}")
 
-        sales_plan = frames.pop("sales")
-
         def sales_and_aggregates() -> None:
             # The aggregates read the sales table just written, not the joins again.
             write("sales", sales_plan)
@@ -426,7 +426,7 @@ class Star:
         # table only): submitting them from a few driver threads lets the
         # scheduler overlap their stages instead of leaving cores idle while
         # one small table's job finishes.
-        jobs = [sales_and_aggregates] + [(lambda n=name, df=df: write(n, df)) for name, df in frames.items()]
+        jobs = [sales_and_aggregates] + [(lambda n=name, plan=plan: write(n, plan())) for name, plan in frames.items()]
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
             for f in [pool.submit(job) for job in jobs]:
                 f.result()
