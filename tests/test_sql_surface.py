@@ -70,3 +70,13 @@ def test_cli_runs_a_report(spark, tmp_path, capsys):
     out = str(tmp_path / "q")
     assert main(["--tables", SF_SMALL, "--report", "revenue_by_state", "--out", out]) == 0
     assert spark.read.parquet(out).count() == 25
+
+
+def test_star_over_catalog_tables_equals_parquet_star(spark, star):
+    from quotalake.sources.tables import CatalogTables, ParquetTables
+
+    ParquetTables(spark, SF_SMALL).register(["region", "nation", "customer", "supplier", "part",
+                                             "orders", "lineitem"])
+    cat = Star(spark, CatalogTables(spark), star.config)
+    for fn in (reports.vw_revenue_by_state, reports.vw_win_rate_by_salesperson):
+        assert sorted(map(tuple, fn(cat).collect())) == sorted(map(tuple, fn(star).collect()))
