@@ -8,13 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotalake.llm import common as C
-from quotalake.llm import decontaminate, licenses, quality, sharding
+from quotalake.llm import decontaminate, langid, licenses, packing, pii, quality, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def default_tokenizer() -> str:
+    """The vocabulary file of the packing query; it is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality(docs, _table(spark, sf_dir, "labels")).drop("text")
@@ -26,12 +33,35 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_private(_table(spark, sf_dir, "documents"))
+    terms = F.concat_ws(",", F.transform("terms", lambda t: F.concat_ws(":", F.lit(pii.TERM), t["start"], t["stop"])))
+    counts = [F.expr(f"size(filter(spans, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"),
+                        F.concat_ws(",", F.when(F.col("base") != "", F.col("base")),
+                                    F.when(terms != "", terms)).alias("spans"))
+
+
 def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), 40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash_components(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op9_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), default_tokenizer())
+    return pieces.drop("ids")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(_table(spark, sf_dir, "documents"))
     places = F.flatten("base_places")
@@ -42,7 +72,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.concat_ws(",", "labels").alias("labels"), "score")
 
 
-_ALL = [op1_quality_rules, op2_decontaminate, op6_histogram_shards, op10_license_scan]
+_ALL = [op1_quality_rules, op2_decontaminate, op3_language_profiles, op4_private_data, op6_histogram_shards, op8_simhash, op9_concat_and_cut,
+        op10_license_scan]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
