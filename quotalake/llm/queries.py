@@ -8,7 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotalake.llm import common as C
-from quotalake.llm import decontaminate, langid, licenses, packing, pii, quality, sharding, simhash
+from quotalake.llm import (
+    backoff,
+    decontaminate,
+    langid,
+    licenses,
+    linededup,
+    packing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,12 +57,24 @@ def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.when(terms != "", terms)).alias("spans"))
 
 
+def op5_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score(_table(spark, sf_dir, "documents"))
+
+
 def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), 40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = linededup.dedup_lines(docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n"))))
+    return done.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"),
+                       F.col("removed_lines").cast("long").alias("removed_lines"),
+                       F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -72,7 +95,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.concat_ws(",", "labels").alias("labels"), "score")
 
 
-_ALL = [op1_quality_rules, op2_decontaminate, op3_language_profiles, op4_private_data, op6_histogram_shards, op8_simhash, op9_concat_and_cut,
+_ALL = [op1_quality_rules, op2_decontaminate, op3_language_profiles, op4_private_data, op5_stupid_backoff,
+        op6_histogram_shards, op7_line_dedup, op8_simhash, op9_concat_and_cut,
         op10_license_scan]
 
 
