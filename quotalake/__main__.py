@@ -22,8 +22,9 @@ def main(argv: list[str] | None = None) -> int:
     from quotalake.operators import reports
     from quotalake.plans.catalog import QUERIES
     from quotalake.plans.sql_tables import register_tables
-    from quotalake.session import apply_defaults, ensure_checkpoint_dir
-    from quotalake.sources.star import Star, StarConfig
+    from quotalake.session import apply_defaults
+    from quotalake.sources.native_star import NativeStar
+    from quotalake.sources.star import Star
 
     ap = argparse.ArgumentParser(prog="quotalake", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
@@ -36,7 +37,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--rows", type=int, default=20, help="rows to print")
     ap.add_argument("--materialize", action="store_true",
                     help="build the priced facts once (shared checkpoint folder) before reporting")
-    ap.add_argument("--trust-foreign-keys", action="store_true")
+    ap.add_argument("--native", action="store_true",
+                    help="the folder holds the star's own tables (customers, sales, ...), not orders and line items")
     args = ap.parse_args(argv)
 
     if args.list:
@@ -44,8 +46,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     spark = SparkSession.builder.appName("quotalake").getOrCreate()
     apply_defaults(spark)
-    ensure_checkpoint_dir(spark)
-    star = Star.from_parquet(spark, args.tables, StarConfig(trust_foreign_keys=args.trust_foreign_keys))
+    star = (NativeStar if args.native else Star).from_parquet(spark, args.tables)
     if args.materialize:
         star = star.materialize()
     if args.publish:

@@ -1,10 +1,10 @@
 """Deterministic per-row draws and weighted bucketing.
 
-The original data generator draws ``random()`` per row.  Here every draw is a
-pure function of the row key, ``pmod(key * prime, 1000)``, so results are
-reproducible, recomputable after an executor loss, and checkable by an SQL
-oracle.  ``(key mod 1000) * prime`` keeps the product far from BIGINT overflow
-while giving the same residue as ``key * prime``.
+The original data generator draws a separate ``random()`` column per decision.
+Here a draw is the leading 60 bits of ``md5(key || ':' || name)``: a pure
+function of the row key and the draw's name, so results are reproducible,
+recomputable after an executor loss and checkable in SQL, while draws of
+different names are independent and cover any dimension size.
 """
 
 from __future__ import annotations
@@ -14,43 +14,49 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DRAW_MODULUS = 1000
+DRAW_BITS = 60
+WEIGHT_MODULUS = 1000
 
-# Primes that seed the independent draws of each dimension (our own choice).
-PRIME_STAGE = 7919
-PRIME_TERRITORY = 104729
-PRIME_CUSTOMER_SIZE = 7907
-PRIME_CATEGORY = 6007
-PRIME_PRODUCT = 4001
+# Names of the draws, one per decision (our own choice).
+STAGE = "stage"
+TERRITORY = "territory"
+CUSTOMER_SIZE = "customer_size"
+CATEGORY = "category"
+PRODUCT = "product"
+CUSTOMER = "customer"
+POSITION = "position"
 
 
-def key_draw(key: Column | str, prime: int) -> Column:
-    """Integer draw in [0, 1000) derived from a key column."""
+def key_draw(key: Column | str, name: str) -> Column:
+    """BIGINT draw in [0, 2**60) from a key column (NULL for a NULL key)."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.pmod(k, F.lit(DRAW_MODULUS)) * F.lit(prime), F.lit(DRAW_MODULUS)).cast("int")
+    digest = F.md5(F.concat(k.cast("string"), F.lit(f":{name}")).cast("binary"))
+    return F.conv(F.substring(digest, 1, DRAW_BITS // 4), 16, 10).cast("long")
 
 
 def weighted_choice(draw: Column, weights: Sequence[int],
                     labels: Sequence[object]) -> Column:
     """Cumulative-weight bucketing: the first label whose running weight exceeds the draw.
 
-    ``weights`` are in per-mille (they sum to 1000); the last label takes the
-    remainder like an ``ELSE`` branch.
+    ``weights`` are in per-mille (they sum to 1000) and meet ``draw mod 1000``;
+    the last label takes the remainder like an ``ELSE`` branch.
     """
     if len(weights) != len(labels) or not labels:
         raise ValueError("weights and labels must have the same non-zero length")
-    if sum(weights) != DRAW_MODULUS:
-        raise ValueError(f"weights must sum to {DRAW_MODULUS}, got {sum(weights)}")
+    if sum(weights) != WEIGHT_MODULUS:
+        raise ValueError(f"weights must sum to {WEIGHT_MODULUS}, got {sum(weights)}")
+    mille = F.pmod(draw, F.lit(WEIGHT_MODULUS))
     expr = None
     bound = 0
     for weight, label in zip(weights[:-1], labels[:-1]):
         bound += weight
-        cond = draw < F.lit(bound)
+        cond = mille < F.lit(bound)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     last = F.lit(labels[-1])
     return last if expr is None else expr.otherwise(last)
 
 
 def kth_of(draw: Column, count: Column) -> Column:
-    """1-based pick ``1 + floor(draw / 1000 * count)`` in exact integer arithmetic."""
-    return (F.lit(1) + F.floor(draw.cast("long") * count.cast("long") / F.lit(DRAW_MODULUS))).cast("long")
+    """1-based pick ``1 + draw mod count``; NULL where the count is 0 or NULL."""
+    n = F.nullif(count.cast("long"), F.lit(0).cast("long"))
+    return (F.lit(1) + F.pmod(draw.cast("long"), n)).cast("long")

@@ -60,7 +60,7 @@ def round_ratio(num_units: Column, den_units: Column, scale: int,
 
 def pct(part_units: Column, whole_units: Column, scale: int) -> Column:
     """ROUND(100 * part / NULLIF(whole, 0), scale) exactly (part, whole in one unit)."""
-    return round_ratio(as_int(part_units) * F.lit(100), whole_units, scale, precision=20)
+    return round_ratio(as_int(part_units) * F.lit(100), whole_units, scale)
 
 
 def to_money(col: Column, precision: int = 14) -> Column:

@@ -1,10 +1,9 @@
 """Integrity audits (D1-D4): the declared keys, references, CHECKs and NOT NULLs.
 
 Parquet enforces none of them, so each rule becomes a counting job that
-reports ``(rule, table_name, violations)``.  Every table is scanned once per
-rule family: NULL and CHECK counts are conditional counts in one aggregate
-per table, unpivoted with ``stack``; key uniqueness is a grouped count;
-references are left-anti joins.
+reports ``(rule, table_name, violations)``.  NULL and CHECK counts are
+conditional counts in one aggregate per frame, unpivoted with ``stack``; key
+uniqueness is a grouped count; references are left-anti joins of distinct keys.
 """
 
 from __future__ import annotations
@@ -41,32 +40,39 @@ CHECKS = (
     ("calendar", "day", "day BETWEEN 1 AND 31"),
 )
 
+# Per source frame (see ``Star.audit_frames``): the columns that must not be NULL.
+# Keys and dates are counted in the tables they come from, before any join could
+# drop the rows; only derived columns are counted in the built table.
 NOT_NULL = (
-    ("customers", ("customer_id", "company_name", "industry", "state")),
-    ("products", ("product_id", "product_name", "category", "standard_cost", "list_price")),
-    ("salespeople", ("salesperson_id", "first_name", "last_name", "state", "region", "annual_target")),
-    ("sales", ("customer_id", "salesperson_id", "product_id", "sale_date", "quantity",
-               "unit_price", "revenue", "cost", "profit")),
-    ("pipeline", ("opportunity_id", "customer_id", "salesperson_id", "product_id", "stage",
-                  "probability", "expected_close_date", "expected_revenue")),
-    ("targets", ("salesperson_id", "year", "month", "monthly_target")),
+    ("customers", "customers_source", ("customer_id", "company_name", "industry", "state", "customer_size")),
+    ("products", "products", ("product_id", "product_name", "category", "standard_cost", "list_price")),
+    ("salespeople", "salespeople_source", ("salesperson_id", "first_name", "last_name", "state", "region")),
+    ("salespeople", "salespeople", ("annual_target",)),
+    ("sales", "sales_source", ("product_id", "salesperson_id", "quantity")),
+    ("sales", "sales_order_source", ("customer_id", "sale_date")),
+    ("sales", "sales", ("unit_price", "revenue", "cost", "profit")),
+    ("pipeline", "opportunities", ("opportunity_id", "customer_id", "stage", "probability", "expected_close_date",
+                                   "expected_revenue")),
+    ("pipeline", "pipeline", ("salesperson_id", "product_id")),
+    ("targets", "targets", ("salesperson_id", "year", "month", "monthly_target")),
+    ("calendar", "calendar", ("date", "year", "quarter", "month", "month_name", "week", "day", "financial_year")),
 )
 
-# (rule name, child table, child column, parent table, parent column) over the
-# base tables the star is built from: these are the references the sales and
-# pipeline facts rely on.
+# The declared references: (rule, child frame, child column, parent frame, parent column).
 FOREIGN_KEYS = (
-    ("sales.order", "lineitem", "l_orderkey", "orders", "o_orderkey"),
-    ("sales.product_id", "lineitem", "l_partkey", "part", "p_partkey"),
-    ("sales.salesperson_id", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
-    ("sales.customer_id", "orders", "o_custkey", "customer", "c_custkey"),
-    ("customers.state", "customer", "c_nationkey", "nation", "n_nationkey"),
-    ("salespeople.state", "supplier", "s_nationkey", "nation", "n_nationkey"),
+    ("sales.customer_id", "sales_order_source", "customer_id", "customers_source", "customer_id"),
+    ("sales.salesperson_id", "sales_source", "salesperson_id", "salespeople_source", "salesperson_id"),
+    ("sales.product_id", "sales_source", "product_id", "products", "product_id"),
+    ("pipeline.customer_id", "opportunities", "customer_id", "customers_source", "customer_id"),
+    ("pipeline.salesperson_id", "pipeline", "salesperson_id", "salespeople_source", "salesperson_id"),
+    ("pipeline.product_id", "pipeline", "product_id", "products", "product_id"),
+    ("targets.salesperson_id", "targets", "salesperson_id", "salespeople_source", "salesperson_id"),
 )
 
 
 def _star_table(star: Star, name: str) -> DataFrame:
-    return getattr(star, name)
+    frames = star.audit_frames()
+    return frames[name] if name in frames else getattr(star, name)
 
 
 def _result(rule: str, table: str, violations: Column) -> list[Column]:
@@ -78,38 +84,51 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+# A unique key of the pipeline or of sales needs none of their joins.
+_KEY_FRAMES = {"pipeline": "opportunities", "customers": "customers_source", "salespeople": "salespeople_source"}
+
+
 def audit_unique(star: Star) -> DataFrame:
     """Number of key values that occur more than once."""
     frames = []
     for table, cols in UNIQUE_KEYS:
-        dupes = (_star_table(star, table).groupBy(*cols).count()
+        dupes = (_star_table(star, _KEY_FRAMES.get(table, table)).groupBy(*cols).count()
                  .agg(F.count(F.when(F.col("count") > 1, F.lit(1))).alias("v")))
         frames.append(dupes.select(*_result(f"unique:{table}({','.join(cols)})", table, F.col("v"))))
     return _union(frames)
 
 
 def audit_fk(star: Star) -> DataFrame:
-    """Child rows whose non-NULL reference has no parent row."""
+    """Child rows whose non-NULL reference has no parent row.
+
+    Child keys are counted first (a hot key becomes one row), the distinct keys
+    anti-joined, and the counts of the orphans summed.  The references of one
+    child frame share its scan; so the pipeline is planned once.
+    """
+    links = [*FOREIGN_KEYS, *star.more_foreign_keys]
     frames = []
-    for rule, child, ccol, parent, pcol in FOREIGN_KEYS:
-        c = star.t(child).select(F.col(ccol).alias("_k")).where(F.col("_k").isNotNull())
-        p = star.t(parent).select(F.col(pcol).alias("_k"))
-        orphans = c.join(p, "_k", "left_anti").agg(F.count(F.lit(1)).alias("v"))
-        frames.append(orphans.select(*_result(f"fk:{rule}", child, F.col("v"))))
-    for col, parent, pcol in (("salesperson_id", star.salespeople_opening, "salesperson_id"),
-                              ("product_id", star.products, "product_id")):
-        refs = star.pipeline.select(F.col(col).alias("_k")).where(F.col("_k").isNotNull())
-        keys = parent.select(F.col(pcol).alias("_k"))
-        frames.append(refs.join(keys, "_k", "left_anti").agg(F.count(F.lit(1)).alias("v"))
-                      .select(*_result(f"fk:pipeline.{col}", "pipeline", F.col("v"))))
+    for child in dict.fromkeys(link[1] for link in links):
+        own = [link for link in links if link[1] == child]
+        pairs = F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(col).cast("long").alias("k"))
+                                    for rule, _, col, _, _ in own]))
+        keys = (_star_table(star, child).select(pairs.alias("x")).select("x.rule", "x.k").where("k IS NOT NULL")
+                .groupBy("rule", "k").agg(F.count(F.lit(1)).alias("n")))
+        parents = _union([_star_table(star, parent).select(F.lit(rule).alias("rule"), F.col(pcol).cast("long").alias("k"))
+                          for rule, _, _, parent, pcol in own])
+        orphans = keys.join(parents, ["rule", "k"], "left_anti")
+        sums = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("rule") == rule, F.col("n"))), F.lit(0)).alias(f"_r{i}")
+                             for i, (rule, *_) in enumerate(own)])
+        stack = ", ".join(f"'fk:{rule}', '{rule.split('.')[0]}', `_r{i}`" for i, (rule, *_) in enumerate(own))
+        frames.append(sums.selectExpr(f"stack({len(own)}, {stack}) AS (rule, table_name, violations)")
+                      .select("rule", "table_name", F.col("violations").cast("long").alias("violations")))
     return _union(frames)
 
 
-def _per_table(star: Star, rules: dict[str, list[tuple[str, Column]]]) -> DataFrame:
-    """One aggregate per table, unpivoted to one row per rule."""
+def _per_frame(star: Star, rules: dict[tuple[str, str], list[tuple[str, Column]]]) -> DataFrame:
+    """One aggregate per (table, frame), unpivoted to one row per rule."""
     frames = []
-    for table, items in rules.items():
-        df = _star_table(star, table)
+    for (table, frame), items in rules.items():
+        df = _star_table(star, frame)
         agg = df.agg(*[F.count(F.when(cond, F.lit(1))).alias(f"_r{i}") for i, (_, cond) in enumerate(items)])
         stack = ", ".join(f"'{name}', `_r{i}`" for i, (name, _) in enumerate(items))
         frames.append(agg.selectExpr(f"stack({len(items)}, {stack}) AS (rule, violations)")
@@ -120,15 +139,14 @@ def _per_table(star: Star, rules: dict[str, list[tuple[str, Column]]]) -> DataFr
 
 def audit_check(star: Star) -> DataFrame:
     """D3: rows where a CHECK condition is false (NULL passes, as in SQL)."""
-    rules: dict[str, list[tuple[str, Column]]] = {}
+    rules: dict[tuple[str, str], list[tuple[str, Column]]] = {}
     for table, col, cond in CHECKS:
-        rules.setdefault(table, []).append((f"check:{table}.{col}", ~F.expr(cond)))
-    return _per_table(star, rules)
+        frame = "opportunities" if table == "pipeline" else table
+        rules.setdefault((table, frame), []).append((f"check:{table}.{col}", ~F.expr(cond)))
+    return _per_frame(star, rules)
 
 
 def audit_not_null(star: Star) -> DataFrame:
     """NULLs in NOT NULL columns, one row per column."""
-    rules: dict[str, list[tuple[str, Column]]] = {}
-    for table, cols in NOT_NULL:
-        rules[table] = [(f"not_null:{table}.{c}", F.col(c).isNull()) for c in cols]
-    return _per_table(star, rules)
+    return _per_frame(star, {(table, frame): [(f"not_null:{table}.{c}", F.col(c).isNull()) for c in cols]
+                             for table, frame, cols in NOT_NULL})

@@ -1,91 +1,46 @@
 """Distributed k-th pick (B8) and territory assignment with a fallback.
 
 A SQL generator would number a dimension with ``ROW_NUMBER() OVER
-(PARTITION BY grp ORDER BY key)`` and join each fact row to the row whose
-number equals ``1 + floor(draw * count)``.  In Spark that window puts a whole
-group into one task, and without ``PARTITION BY`` the whole table, so the
-numbering is built from bounded pieces instead:
-
-1. cut the key range into at most ``target_buckets`` equal-width buckets
-   (width from one min/max/count aggregate);
-2. count rows per (group, bucket) -- a table of at most groups x buckets rows;
+(PARTITION BY grp)`` and join each fact row to the row whose number equals
+``1 + floor(random() * count)``.  In Spark that window puts a whole group into
+one task, and without ``PARTITION BY`` the whole table, so the numbering is
+built from bounded pieces instead.  The order is free as long as it is fixed;
+ours is by a hash of the key (then the key), which makes equal slices of the
+hash range hold about equally many rows however the keys are spread:
+
+1. a row's bucket is the top bits of its key's hash;
+2. count rows per (group, bucket): at most groups x ``buckets`` rows;
 3. running sums over that small table give each bucket's offset;
-4. ``row_number`` within (group, bucket) -- at most ``width`` keys per task
-   group because keys are unique -- plus the offset is the position.
+4. ``row_number`` within (group, bucket) plus the offset is the position.
 
-The pick itself is then an equi-join on (group, position); AQE broadcasts the
-dimension side when it turns out small and splits skewed fact partitions when
-one group is hot.
-
-Small dimensions: the same min/max/count job yields the exact row count.  At
-or below ``SMALL_DIMENSION_ROWS`` a plain ``row_number`` window is cheaper
-(one stage instead of three), and the ranked dimension -- a proven few MB --
-is broadcast into the fact stage, so the facts are not shuffled at all.
+The pick itself is an equi-join on (group, position); Catalyst broadcasts the
+dimension side when its size allows and AQE splits skewed fact partitions when
+one group is hot.  There is one path for every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotalake.functions.draws import kth_of
+from quotalake.functions.draws import DRAW_BITS, POSITION, key_draw, kth_of
 
 POS = "pos"
 GROUP_SIZE = "group_size"
-
-# Row bound under which a ranked dimension (a key, a group label and two
-# longs per row, a few MB) is numbered in one window stage and broadcast.
-SMALL_DIMENSION_ROWS = 250_000
-
-
-def _is_small(bounds: "KeyBounds | None", small_rows: int = SMALL_DIMENSION_ROWS) -> bool:
-    return bounds is not None and bounds.rows <= small_rows
-
-
-@dataclass(frozen=True)
-class KeyBounds:
-    lo: int
-    hi: int
-    rows: int
-
-    def width(self, target_buckets: int) -> int:
-        span = self.hi - self.lo + 1
-        return max(1, -(-span // max(1, target_buckets)))
-
-
-def key_bounds(dim: DataFrame, key: str) -> KeyBounds | None:
-    """One aggregate job: min, max and row count of an integral key."""
-    row = dim.agg(F.min(key).alias("lo"), F.max(key).alias("hi"),
-                  F.count(F.lit(1)).alias("n")).first()
-    if row is None or row["lo"] is None:
-        return None
-    return KeyBounds(int(row["lo"]), int(row["hi"]), int(row["n"]))
+BUCKETS = 4096
 
 
 def attach_positions(dim: DataFrame, key: str, groups: Sequence[str] = (),
-                     target_buckets: int = 4096,
-                     bounds: KeyBounds | None = None,
-                     small_rows: int = SMALL_DIMENSION_ROWS) -> DataFrame:
-    """Add ``pos`` (1-based rank of ``key`` within ``groups``) and ``group_size``.
+                     buckets: int = BUCKETS) -> DataFrame:
+    """Add ``pos`` (1-based rank by key hash, then key, within ``groups``) and ``group_size``.
 
     Keys must be unique within a group (audited by ``audit_unique``).
     """
     groups = list(groups)
-    bounds = bounds if bounds is not None else key_bounds(dim, key)
-    if bounds is None:
-        return (dim.withColumn(POS, F.lit(None).cast("long"))
-                .withColumn(GROUP_SIZE, F.lit(None).cast("long")))
-    if _is_small(bounds, small_rows):
-        by_group = Window.partitionBy(*groups)
-        return (dim.withColumn(POS, F.row_number().over(by_group.orderBy(F.col(key))).cast("long"))
-                .withColumn(GROUP_SIZE, F.count(F.lit(1)).over(by_group)))
-    width = bounds.width(target_buckets)
-    bucket = F.floor((F.col(key).cast("long") - F.lit(bounds.lo)) / F.lit(width)).cast("long")
-    with_bucket = dim.withColumn("_bucket", bucket)
-
+    with_bucket = (dim.withColumn("_hash", key_draw(F.col(key), POSITION))
+                   .withColumn("_bucket", F.expr(f"_hash div {-(-(1 << DRAW_BITS) // buckets)}L")))
     counts = with_bucket.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     by_group = Window.partitionBy(*groups)
     running = by_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -94,82 +49,62 @@ def attach_positions(dim: DataFrame, key: str, groups: Sequence[str] = (),
         F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"),
         F.sum("_n").over(by_group).alias(GROUP_SIZE),
     )
-    local = F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy(F.col(key)))
+    local = F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy("_hash", F.col(key)))
     return (with_bucket.withColumn("_local", local)
             .join(offsets, [*groups, "_bucket"], "inner")
             .withColumn(POS, (F.col("_before") + F.col("_local")).cast("long"))
-            .drop("_bucket", "_local", "_before"))
+            .drop("_bucket", "_hash", "_local", "_before"))
 
 
-def kth_pick(facts: DataFrame, draw_col: str, dim: DataFrame, dim_key: str,
-             out_col: str, groups: Sequence[tuple[str, str]] = (),
-             target_buckets: int = 4096, small_rows: int = SMALL_DIMENSION_ROWS) -> DataFrame:
-    """Pick the ``1 + floor(draw/1000 * n)``-th dimension row (by key) per fact row.
+def kth_pick(facts: DataFrame, draw_col: str, size: Column, dim: DataFrame, dim_key: str,
+             out_col: str, groups: Sequence[tuple[str, str]] = (), buckets: int = BUCKETS) -> DataFrame:
+    """Pick the ``1 + draw mod size``-th dimension row per fact row.
 
     ``groups`` pairs a fact column with a dimension column; the pick is made
     among dimension rows of the same group (B10 when the group is a category).
-    Fact rows whose group has no dimension rows get NULL.
+    ``size`` is the group's row count as a fact-side expression (a column that
+    came with an earlier join, or a literal), so the facts are shuffled for the
+    pick alone.  Fact rows whose size is 0 or NULL get NULL.
     """
-    fact_cols = [f for f, _ in groups]
     dim_cols = [d for _, d in groups]
-    slim = dim.select(*dim_cols, dim_key)
-    bounds = key_bounds(slim, dim_key)
-    ranked = attach_positions(slim, dim_key, dim_cols, target_buckets, bounds, small_rows)
-    small = _is_small(bounds, small_rows)
-    if small:
-        ranked = F.broadcast(ranked)
-    if dim_cols:
-        sizes = ranked.select(*[F.col(d).alias(f"_g{i}") for i, d in enumerate(dim_cols)],
-                              F.col(GROUP_SIZE).alias("_size")).distinct()
-        sizes = F.broadcast(sizes) if small else sizes
-        cond = [facts[f] == sizes[f"_g{i}"] for i, f in enumerate(fact_cols)]
-        with_size = facts.join(sizes, cond, "left").drop(*[f"_g{i}" for i in range(len(dim_cols))])
-    else:
-        with_size = facts.withColumn("_size", F.lit(bounds.rows if bounds else None).cast("long"))
-    with_k = with_size.withColumn("_k", kth_of(F.col(draw_col), F.col("_size")))
+    ranked = attach_positions(dim.select(*dim_cols, dim_key), dim_key, dim_cols, buckets)
+    with_k = facts.withColumn("_k", kth_of(F.col(draw_col), size))
     picks = ranked.select(*[F.col(d).alias(f"_g{i}") for i, d in enumerate(dim_cols)],
                           F.col(POS).alias("_pos"), F.col(dim_key).alias(out_col))
-    picks = F.broadcast(picks) if small else picks
-    cond = [with_k[f] == picks[f"_g{i}"] for i, f in enumerate(fact_cols)]
+    cond = [with_k[f] == picks[f"_g{i}"] for i, (f, _) in enumerate(groups)]
     cond.append(with_k["_k"] == picks["_pos"])
     return (with_k.join(picks, cond, "left")
-            .drop("_size", "_k", "_pos", *[f"_g{i}" for i in range(len(dim_cols))]))
+            .drop("_k", "_pos", *[f"_g{i}" for i in range(len(dim_cols))]))
+
+
+def group_sizes(dim: DataFrame, group: str, size_col: str) -> DataFrame:
+    """One row per group with its row count."""
+    return dim.groupBy(group).agg(F.count(F.lit(1)).alias(size_col))
 
 
 def assign_territory(facts: DataFrame, fact_state: str, draw_col: str,
                      reps: DataFrame, rep_key: str, rep_state: str,
-                     out_col: str = "salesperson_id",
-                     target_buckets: int = 4096,
-                     small_rows: int = SMALL_DIMENSION_ROWS) -> DataFrame:
+                     state_reps: Column, all_reps: Column,
+                     out_col: str = "salesperson_id", buckets: int = BUCKETS) -> DataFrame:
     """K-th rep of the fact's state; if the state has no rep, k-th rep overall.
 
     Equivalent to a LEFT lateral pick in the state plus a COALESCE with a pick
-    over all reps.  Each fact row is routed to exactly one of the two rankings
-    and joined once, on an equi-key (fallback flag, state, position), so the
-    fact table is shuffled a single time and no nested-loop join appears.
+    over all reps.  ``state_reps`` and ``all_reps`` are the two pool sizes as
+    fact-side expressions (0 or NULL: no rep in the state).  Each fact row is
+    routed to exactly one of the two rankings and joined once, on an equi-key
+    (fallback flag, state, position), so no nested-loop join appears.
     """
     pool = reps.select(F.col(rep_key).alias("_rep"), F.col(rep_state).alias("_state"))
-    bounds = key_bounds(pool, "_rep")
-    by_state = attach_positions(pool, "_rep", ["_state"], target_buckets, bounds, small_rows)
-    overall = attach_positions(pool.select("_rep"), "_rep", [], target_buckets, bounds, small_rows)
-    total = bounds.rows if bounds is not None else 0
-
-    small = _is_small(bounds, small_rows)
-    state_sizes = by_state.select(F.col("_state").alias("_s_state"),
-                                  F.col(GROUP_SIZE).alias("_s_size")).distinct()
-    state_sizes = F.broadcast(state_sizes) if small else state_sizes
-    routed = (facts.join(state_sizes, facts[fact_state] == state_sizes["_s_state"], "left")
-              .withColumn("_fallback", F.col("_s_size").isNull())
+    by_state = attach_positions(pool.where("_state IS NOT NULL"), "_rep", ["_state"], buckets)
+    overall = attach_positions(pool.select("_rep"), "_rep", [], buckets)
+    fallback = F.col(fact_state).isNull() | (F.coalesce(state_reps, F.lit(0)) == 0)
+    routed = (facts.withColumn("_fallback", fallback)
               .withColumn("_jstate", F.when(F.col("_fallback"), F.lit("")).otherwise(F.col(fact_state)))
-              .withColumn("_k", F.when(F.col("_fallback"), kth_of(F.col(draw_col), F.lit(total)))
-                          .otherwise(kth_of(F.col(draw_col), F.col("_s_size"))))
-              .drop("_s_state", "_s_size"))
-
+              .withColumn("_k", kth_of(F.col(draw_col), F.when(F.col("_fallback"), all_reps).otherwise(state_reps))))
     targets = (by_state.select(F.lit(False).alias("_t_fallback"), F.col("_state").alias("_t_state"),
                                F.col(POS).alias("_t_pos"), F.col("_rep").alias(out_col))
                .unionByName(overall.select(F.lit(True).alias("_t_fallback"), F.lit("").alias("_t_state"),
                                            F.col(POS).alias("_t_pos"), F.col("_rep").alias(out_col))))
-    targets = F.broadcast(targets) if small else targets
     cond = [routed["_fallback"] == targets["_t_fallback"],
             routed["_jstate"] == targets["_t_state"],
             routed["_k"] == targets["_t_pos"]]

@@ -25,7 +25,7 @@ from quotalake.functions.exact import (
     unscale,
 )
 from quotalake.functions.text import full_name, title_case
-from quotalake.operators.build import CLOSED_LOST, CLOSED_WON, STAGES, build_targets
+from quotalake.operators.build import CLOSED_LOST, CLOSED_WON, STAGES
 from quotalake.sources.star import Star
 
 # Profit tiers of the product report.
@@ -33,9 +33,13 @@ TIER_HIGH = "High"
 TIER_MEDIUM = "Medium"
 TIER_LOW = "Low"
 
+# A calendar of more days (some 270 years; a date far out) is joined by a shuffle.
+MAX_BROADCAST_DAYS = 100_000
+
 
 def _margin(rev_c: str = "rev_c", prof_c: str = "prof_c"):
-    return pct(F.col(prof_c), F.col(rev_c), 2).cast("decimal(8,2)")
+    # As wide as a DECIMAL goes: a tiny revenue beside a large loss is no error.
+    return pct(F.col(prof_c), F.col(rev_c), 2)
 
 
 def _money(c: str, name: str):
@@ -51,10 +55,7 @@ def _avg(c: str, n: str, name: str):
 
 def overall_performance(star: Star) -> DataFrame:
     """Q1: total revenue, total profit, margin % (NULL when revenue is 0)."""
-    # The sum of the per-rep totals: exact, and one partial aggregate per rep
-    # (or a scan of the written per-rep table) instead of another pass per row.
-    return (star.sales_totals("salesperson_id")
-            .agg(F.sum("rev_c").alias("rev_c"), F.sum("prof_c").alias("prof_c"))
+    return (star.grand_totals()
             .select(_money("rev_c", "total_revenue"), _money("prof_c", "total_profit"),
                     _margin().alias("margin_pct")))
 
@@ -65,10 +66,12 @@ def vw_revenue_by_month(star: Star) -> DataFrame:
     """V1: revenue per calendar (year, month, month_name).
 
     Sales are first summed per day (partial aggregation, at most one group per
-    day), then joined to the calendar, whose row count is known from its range
-    and so is broadcast; the final aggregation has one group per month.
+    day), then joined to the calendar, which is broadcast if its row count is
+    known to be small; the final aggregation has one group per month.
     """
-    cal = F.broadcast(star.calendar.select("date", "year", "month", "month_name"))
+    cal = star.calendar.select("date", "year", "month", "month_name")
+    if star.calendar_rows is not None and star.calendar_rows <= MAX_BROADCAST_DAYS:
+        cal = F.broadcast(cal)
     daily = star.sales_totals("sale_date").select("sale_date", "rev_c")
     return (daily.join(cal, daily["sale_date"] == cal["date"], "inner")
             .groupBy("year", "month", "month_name")
@@ -152,15 +155,16 @@ def revenue_by_product(star: Star) -> DataFrame:
 # --- Q5 / V4 ----------------------------------------------------------------
 
 def vw_salesperson_performance(star: Star) -> DataFrame:
-    """V4: per rep with sales: title-cased name, totals, mean deal size, count.
+    """V4: per rep with sales: title-cased name, hire date, totals, mean deal size, count.
 
-    The reference also lists ``hire_date``; the driver tables carry none.
+    ``hire_date`` is there if the source has it (the driver tables do not).
     """
     per_rep = star.sales_totals("salesperson_id")
-    reps = star.salespeople_opening.select("salesperson_id", "first_name", "last_name")
+    hired = [c for c in ("hire_date",) if c in star.salespeople_opening.columns]
+    reps = star.salespeople_opening.select("salesperson_id", "first_name", "last_name", *hired)
     return (per_rep.join(reps, "salesperson_id", "inner")
             .select("salesperson_id",
-                    title_case(full_name(F.col("first_name"), F.col("last_name"))).alias("full_name"),
+                    title_case(full_name(F.col("first_name"), F.col("last_name"))).alias("full_name"), *hired,
                     _money("rev_c", "total_revenue"), _money("prof_c", "total_profit"),
                     _avg("rev_c", "sales_count", "avg_deal_size"), "sales_count"))
 
@@ -172,29 +176,14 @@ def salesperson_performance(star: Star) -> DataFrame:
 
 # --- Q6 / V5 ----------------------------------------------------------------
 
-def _reps_with_names(star: Star) -> DataFrame:
-    return star.salespeople.select(
-        "salesperson_id", "annual_cents",
-        full_name(F.col("first_name"), F.col("last_name")).alias("full_name"))
-
-
 def _target_months(star: Star, from_year: int | None = None) -> DataFrame:
     """Every (rep, month) target with the rep's name and actual revenue (0 if none).
 
-    Targets are generated from the rep rows themselves (B2), so the rep's name
-    rides along instead of being joined back.  The left join keeps months
-    without sales.
+    The left join keeps months without sales.  The actuals are the same plan
+    that the rescale rolls up, so the fact is aggregated once.
     """
-    targets = _targets_with_names(_reps_with_names(star), star)
-    if from_year is not None:
-        targets = targets.where(F.col("year") >= F.lit(from_year))
-    actuals = star.monthly_actuals if from_year is None else star.monthly_actuals_since(from_year)
-    return (targets.join(actuals, ["salesperson_id", "year", "month"], "left")
-            .withColumn("actual_cents", F.coalesce(F.col("actual_cents"), F.lit(0).cast("long"))))
-
-
-def _targets_with_names(reps: DataFrame, star: Star) -> DataFrame:
-    return build_targets(reps, *star.calendar_range, carry=["full_name"])
+    return (star.target_rows(from_year).join(star.monthly_actuals, ["salesperson_id", "year", "month"], "left")
+            .withColumn("actual_cents", F.coalesce(F.col("actual_cents"), F.lit(0).cast("decimal(30,0)"))))
 
 
 def vw_actual_vs_target(star: Star) -> DataFrame:
@@ -205,7 +194,7 @@ def vw_actual_vs_target(star: Star) -> DataFrame:
         _money("actual_cents", "actual_revenue"),
         money_from_cents(F.col("actual_cents") - F.col("target_cents"), 24).alias("variance"),
         pct(F.col("actual_cents"), F.col("target_cents"), 1)
-        .cast("decimal(20,1)").alias("pct_of_target"))
+        .alias("pct_of_target"))
 
 
 def actual_vs_target(star: Star) -> DataFrame:
@@ -228,24 +217,20 @@ def vw_top_customers(star: Star) -> DataFrame:
 def top_customers(star: Star, n: int | None = None) -> DataFrame:
     """Q7: the n largest customers by revenue (ties broken by customer id).
 
-    With ``trust_foreign_keys`` (every sale's customer exists, audited by
-    ``audit_fk``) the top n are taken from the per-customer totals first -- a
-    distributed top-k -- and only those n rows, a bound given by ``n``, are
-    broadcast into the join with the customer table, instead of joining every
-    customer's total first.
+    The top n are taken from the totals of known customers (a semi-join on the
+    key, then a distributed top-k), and only these n rows, a bound given by
+    ``n``, are broadcast into the join that fetches the attributes.
     """
     n = star.config.top_customers if n is None else n
-    order = [F.desc_nulls_first("total_revenue"), F.asc("customer_id")]
-    if not star.config.trust_foreign_keys:
-        return vw_top_customers(star).orderBy(*order).limit(n)
-    top = (star.sales_totals("customer_id")
+    known = star.customers.select("customer_id")
+    top = (star.sales_totals("customer_id").join(known, "customer_id", "left_semi")
            .orderBy(F.desc_nulls_first("rev_c"), F.asc("customer_id")).limit(n))
     cust = star.customers.select("customer_id", "company_name", "industry", "state")
     return (cust.join(F.broadcast(top), "customer_id", "inner")
             .select("customer_id", "company_name", "industry", "state",
                     _money("rev_c", "total_revenue"), _money("prof_c", "total_profit"),
                     F.col("sales_count").alias("num_purchases"))
-            .orderBy(*order))
+            .orderBy(F.desc_nulls_first("total_revenue"), F.asc("customer_id")))
 
 
 # --- Q8 / V7 ----------------------------------------------------------------
@@ -257,7 +242,7 @@ def vw_pipeline_by_stage(star: Star) -> DataFrame:
     fact, then the exact weighted sum ``sum(p * E) / 100`` over those few
     groups in DECIMAL -- no per-row DECIMAL multiplication.
     """
-    per_prob = (star.pipeline.groupBy("stage", "probability")
+    per_prob = (star.opportunities.groupBy("stage", "probability")
                 .agg(F.count("opportunity_id").alias("n"),
                      sum_cents(F.col("expected_revenue_cents")).alias("e_c")))
     hundredths = as_int(F.col("probability") * F.lit(100))
@@ -294,20 +279,21 @@ def _won_closed(df: DataFrame) -> dict:
 
 
 def _win_rate():
-    return pct(F.col("deals_won"), F.col("total_closed"), 1).cast("decimal(20,1)")
+    return pct(F.col("deals_won"), F.col("total_closed"), 1)
 
 
 def win_rate_overall(star: Star) -> DataFrame:
-    """Deals won, lost, closed and win % over the whole pipeline."""
-    aggs = _won_closed(star.pipeline)
-    return (star.pipeline.agg(*[v.alias(k) for k, v in aggs.items()])
+    """Deals won, lost, closed and win % over all opportunities."""
+    aggs = _won_closed(star.opportunities)
+    return (star.opportunities.agg(*[v.alias(k) for k, v in aggs.items()])
             .select("deals_won", "deals_lost", "total_closed", _win_rate().alias("win_rate_pct")))
 
 
 def vw_win_rate_by_salesperson(star: Star) -> DataFrame:
     """V8: per rep with opportunities: won, closed, win % (NULL if none closed)."""
-    aggs = _won_closed(star.pipeline)
-    per_rep = star.pipeline.groupBy("salesperson_id").agg(
+    deals = star.opportunities_with_rep
+    aggs = _won_closed(deals)
+    per_rep = deals.groupBy("salesperson_id").agg(
         aggs["deals_won"].alias("deals_won"), aggs["total_closed"].alias("total_closed"))
     reps = star.salespeople_opening.select("salesperson_id", "first_name", "last_name")
     return (per_rep.join(reps, "salesperson_id", "inner")
@@ -356,8 +342,7 @@ def vw_target_miss_rate(star: Star, from_year: int | None = None) -> DataFrame:
     return (t.groupBy("salesperson_id", "full_name")
             .agg(missed.alias("months_missed"), F.count("month").alias("total_months"))
             .select("salesperson_id", "full_name", "months_missed", "total_months",
-                    pct(F.col("months_missed"), F.col("total_months"), 1)
-                    .cast("decimal(20,1)").alias("pct_months_missed")))
+                    pct(F.col("months_missed"), F.col("total_months"), 1).alias("pct_months_missed")))
 
 
 def target_miss_rate(star: Star, from_year: int | None = None) -> DataFrame:

@@ -14,14 +14,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
+from quotalake.functions.draws import CUSTOMER, key_draw
 from quotalake.operators import audits, reports
-from quotalake.operators.build import target_validation
+from quotalake.operators.build import target_validation, value_opportunity
+from quotalake.operators.ranking import kth_pick
 from quotalake.session import apply_defaults
 from quotalake.sources.star import Star, StarConfig
 
 def _without_cents(df: DataFrame) -> DataFrame:
     """The public columns of a star table (the BIGINT-cents carriers dropped)."""
-    return df.drop(*[c for c in df.columns if c.endswith("_cents")])
+    return df.drop(*[c for c in df.columns if c.endswith("_cents")], "order_id", "line_number")
+
+
+def _value_opportunities(star: Star) -> DataFrame:
+    """B11 over every line item as an opportunity line: list price x quantity, undiscounted."""
+    li = star.t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    p = star.products.select("product_id", "list_price")
+    quantity = F.col("l_quantity").cast("int")
+    return (li.join(p, li["l_partkey"] == p["product_id"])
+            .select(F.col("l_orderkey").alias("opportunity_id"), F.col("l_linenumber").alias("line_number"),
+                    "product_id", quantity.alias("quantity"),
+                    value_opportunity(F.col("list_price"), quantity).alias("expected_revenue")))
+
+
+def _pick_customers(star: Star) -> DataFrame:
+    """Ungrouped B8: one customer picked for every order."""
+    orders = star.t("orders").select(F.col("o_orderkey").alias("opportunity_id"))
+    drawn = orders.withColumn("_draw", key_draw("opportunity_id", CUSTOMER))
+    return (kth_pick(drawn, "_draw", F.lit(star.customers.count()), star.customers, "customer_id", "picked_customer_id")
+            .select("opportunity_id", "picked_customer_id"))
 
 
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {
@@ -58,6 +79,8 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "target_validation": lambda star: target_validation(
         star.salespeople, star.rep_revenue, star.target_years),
     "assign_territory": lambda star: _without_cents(star.pipeline),
+    "value_opportunity": _value_opportunities,
+    "pick_customer": _pick_customers,
     # integrity audits
     "audit_unique": audits.audit_unique,
     "audit_fk": audits.audit_fk,

@@ -1,31 +1,28 @@
-"""Independent SQL definitions of every registered query, for DuckDB.
-
-Written from the same specification as the DataFrame operators, not
-generated from them.  DuckDB divides DECIMALs in DOUBLE, so every rounded
-ratio is computed on integer units (cents, counts) with an explicit
-half-away-from-zero integer quotient, and money leaves as DOUBLE, exactly as
-the Spark side is cast for the comparison.
+"""SQL definitions of every registered query, for DuckDB.
+
+Written from the same specification as the DataFrame operators, not generated
+from them: weights, labels, thresholds and audit rules are spelled out here and
+nothing is imported from the package.  DuckDB divides DECIMALs in DOUBLE, so
+every rounded ratio is computed on integer units (cents, counts) with an
+explicit half-away-from-zero integer quotient, and money leaves as DOUBLE,
+exactly as the Spark side is cast for the comparison.
 """
 
 from __future__ import annotations
 
-from quotalake.operators.build import (
-    CUSTOMER_SIZE_WEIGHTS,
-    CUSTOMER_SIZES,
-    STAGE_PROBABILITY,
-    STAGE_WEIGHTS,
-    STAGES,
-)
-from quotalake.functions.draws import (
-    PRIME_CATEGORY,
-    PRIME_CUSTOMER_SIZE,
-    PRIME_PRODUCT,
-    PRIME_STAGE,
-    PRIME_TERRITORY,
-)
-from quotalake.sources.star import StarConfig
-
-CFG = StarConfig()
+# Fixed values of the specification, stated here a second time on purpose.
+STAGES = ("Prospecting", "Qualification", "Proposal", "Negotiation", "Closed Won", "Closed Lost")
+STAGE_PROBABILITY = (10, 25, 50, 75, 100, 0)
+STAGE_WEIGHTS = (300, 250, 200, 150, 60, 40)
+CUSTOMER_SIZES = ("Small", "Medium", "Large", "Enterprise")
+CUSTOMER_SIZE_WEIGHTS = (400, 300, 200, 100)
+CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+CATEGORY_WEIGHTS = (320, 250, 180, 150, 50, 50)
+TARGET_SHARE_PCT = 90
+LEAD_YEARS = 1
+TIER_HIGH = 8000
+TIER_MEDIUM = 5000
+TOP_CUSTOMERS = 20
 
 
 def _hu(num: str, den: str) -> str:
@@ -48,8 +45,9 @@ def _money(expr: str) -> str:
     return f"CAST({expr} AS DOUBLE)"
 
 
-def _draw(key: str, prime: int) -> str:
-    return f"((((({key}) % 1000) + 1000) % 1000) * {prime} % 1000)"
+def _draw(key: str, name: str) -> str:
+    """The leading 60 bits of md5(key:name)."""
+    return f"CAST('0x' || left(md5(CAST({key} AS VARCHAR) || ':{name}'), 15) AS BIGINT)"
 
 
 def _case(draw: str, weights, labels, quote: bool = True) -> str:
@@ -57,7 +55,7 @@ def _case(draw: str, weights, labels, quote: bool = True) -> str:
     for w, label in zip(weights[:-1], labels[:-1]):
         bound += w
         lit = f"'{label}'" if quote else str(label)
-        parts.append(f"WHEN {draw} < {bound} THEN {lit}")
+        parts.append(f"WHEN {draw} % 1000 < {bound} THEN {lit}")
     last = f"'{labels[-1]}'" if quote else str(labels[-1])
     return "CASE " + " ".join(parts) + f" ELSE {last} END"
 
@@ -80,19 +78,19 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "customers": ((), f"""
         SELECT c_custkey AS customer_id, c_name AS company_name, c_mktsegment AS industry,
                n_name AS state,
-               {_case(_draw('c_custkey', PRIME_CUSTOMER_SIZE), CUSTOMER_SIZE_WEIGHTS, CUSTOMER_SIZES)}
+               {_case(_draw('c_custkey', 'customer_size'), CUSTOMER_SIZE_WEIGHTS, CUSTOMER_SIZES)}
                    AS customer_size
         FROM customer JOIN nation ON c_nationkey = n_nationkey"""),
     "reps0": ((), """
         SELECT s_suppkey AS salesperson_id, split_part(s_name, '#', 1) AS first_name,
                split_part(s_name, '#', 2) AS last_name, n_name AS state, r_name AS region,
-               CAST(greatest(s_acctbal, 0.0) AS DECIMAL(14,2)) AS annual_target, n_nationkey
+               CAST(greatest(s_acctbal, 0.0) AS DECIMAL(14,2)) AS annual_target
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
                       JOIN region ON n_regionkey = r_regionkey"""),
     "lines": (("products",), """
         SELECT l_orderkey, l_suppkey AS salesperson_id, product_id,
                CAST(l_quantity AS INTEGER) AS quantity,
-               CAST(round(l_discount * 100.0) AS DECIMAL(5,2)) AS discount_percent,
+               CAST(CAST(round(l_discount * 10000.0) AS DECIMAL(7,0)) * 0.01 AS DECIMAL(5,2)) AS discount_percent,
                list_price, standard_cost
         FROM lineitem JOIN products ON l_partkey = product_id"""),
     "priced": (("lines",), """
@@ -119,14 +117,14 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM monthly_actuals GROUP BY 1"""),
     "reps": (("reps0", "rep_revenue", "span"), f"""
         SELECT r.salesperson_id, r.first_name, r.last_name, r.state, r.region,
-               coalesce({_hu(_c('rr.revenue_total') + f' * {CFG.target_share_pct}',
+               coalesce({_hu(_c('rr.revenue_total') + f' * {TARGET_SHARE_PCT}',
                              'CAST((sp.y1 - sp.y0 + 1) * 100 AS HUGEINT)')},
                         {_c('r.annual_target')}) AS annual_cents
         FROM reps0 r LEFT JOIN rep_revenue rr ON rr.salesperson_id = r.salesperson_id
         CROSS JOIN span sp"""),
     "months": (("span",), f"""
         SELECT CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month
-        FROM (SELECT unnest(generate_series(make_date(y0 - {CFG.lead_years}, 1, 1), make_date(y1, 12, 1),
+        FROM (SELECT unnest(generate_series(make_date(y0 - {LEAD_YEARS}, 1, 1), make_date(y1, 12, 1),
                                             INTERVAL 1 MONTH)) AS m FROM span)"""),
     "targets": (("reps", "months"), f"""
         SELECT r.salesperson_id, r.first_name || ' ' || r.last_name AS full_name, m.year, m.month,
@@ -143,37 +141,36 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(weekofyear(d) AS INTEGER) AS week, CAST(day(d) AS INTEGER) AS day,
                'FY' || CAST(year(d) + CASE WHEN month(d) >= 7 THEN 1 ELSE 0 END AS VARCHAR)
                    AS financial_year
-        FROM (SELECT CAST(unnest(generate_series(make_date(y0 - {CFG.lead_years}, 1, 1),
+        FROM (SELECT CAST(unnest(generate_series(make_date(y0 - {LEAD_YEARS}, 1, 1),
                                                  make_date(y1, 12, 31), INTERVAL 1 DAY)) AS DATE) AS d
               FROM span)"""),
-    "pool": (("reps0",), f"""
-        SELECT salesperson_id, state FROM reps0
-        WHERE ((n_nationkey % {CFG.pool_modulus}) + {CFG.pool_modulus}) % {CFG.pool_modulus}
-              <> {CFG.pool_excluded_residue}"""),
-    "pool_state": (("pool",), """
+    "pool_state": (("reps0",), f"""
         SELECT salesperson_id, state,
-               row_number() OVER (PARTITION BY state ORDER BY salesperson_id) AS rn,
+               row_number() OVER (PARTITION BY state ORDER BY {_draw('salesperson_id', 'position')}, salesperson_id)
+                   AS rn,
                count(*) OVER (PARTITION BY state) AS cnt
-        FROM pool"""),
-    "pool_all": (("pool",), """
-        SELECT salesperson_id, row_number() OVER (ORDER BY salesperson_id) AS rn,
+        FROM reps0"""),
+    "pool_all": (("reps0",), f"""
+        SELECT salesperson_id,
+               row_number() OVER (ORDER BY {_draw('salesperson_id', 'position')}, salesperson_id) AS rn,
                count(*) OVER () AS cnt
-        FROM pool"""),
+        FROM reps0"""),
     "opp": (("customers",), f"""
         SELECT o_orderkey AS opportunity_id, o_custkey AS customer_id,
-               {_case(_draw('o_orderkey', PRIME_STAGE), STAGE_WEIGHTS, STAGES)} AS stage,
-               CAST({_case(_draw('o_orderkey', PRIME_STAGE), STAGE_WEIGHTS, STAGE_PROBABILITY, quote=False)}
+               {_case(_draw('o_orderkey', 'stage'), STAGE_WEIGHTS, STAGES)} AS stage,
+               CAST({_case(_draw('o_orderkey', 'stage'), STAGE_WEIGHTS, STAGE_PROBABILITY, quote=False)}
                     AS DECIMAL(5,2)) AS probability,
                CAST(o_orderdate AS DATE) AS expected_close_date,
                CAST(o_totalprice AS DECIMAL(14,2)) AS expected_revenue,
-               {_draw('o_orderkey', PRIME_TERRITORY)} AS tdraw, c.state,
-               {_case(_draw('o_orderkey', PRIME_CATEGORY), CFG.category_weights, CFG.product_categories)}
+               {_draw('o_orderkey', 'territory')} AS tdraw, c.state,
+               {_case(_draw('o_orderkey', 'category'), CATEGORY_WEIGHTS, CATEGORIES)}
                    AS pcat,
-               {_draw('o_orderkey', PRIME_PRODUCT)} AS pdraw
-        FROM orders JOIN customers c ON o_custkey = c.customer_id"""),
-    "prod_rank": (("products",), """
+               {_draw('o_orderkey', 'product')} AS pdraw
+        FROM orders LEFT JOIN customers c ON o_custkey = c.customer_id"""),
+    "prod_rank": (("products",), f"""
         SELECT product_id, category,
-               row_number() OVER (PARTITION BY category ORDER BY product_id) AS rn,
+               row_number() OVER (PARTITION BY category ORDER BY {_draw('product_id', 'position')}, product_id)
+                   AS rn,
                count(*) OVER (PARTITION BY category) AS cnt
         FROM products"""),
     "pipeline": (("opp", "pool_state", "pool_all", "prod_rank"), """
@@ -182,10 +179,10 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                o.stage, o.probability, o.expected_close_date, o.expected_revenue
         FROM opp o
         LEFT JOIN (SELECT DISTINCT category, cnt FROM prod_rank) pc ON pc.category = o.pcat
-        LEFT JOIN prod_rank pr ON pr.category = o.pcat AND pr.rn = 1 + (o.pdraw * pc.cnt) // 1000
+        LEFT JOIN prod_rank pr ON pr.category = o.pcat AND pr.rn = 1 + o.pdraw % pc.cnt
         LEFT JOIN (SELECT DISTINCT state, cnt FROM pool_state) sc ON sc.state = o.state
-        LEFT JOIN pool_state m ON m.state = o.state AND m.rn = 1 + (o.tdraw * sc.cnt) // 1000
-        LEFT JOIN pool_all f ON f.rn = 1 + (o.tdraw * f.cnt) // 1000"""),
+        LEFT JOIN pool_state m ON m.state = o.state AND m.rn = 1 + o.tdraw % sc.cnt
+        LEFT JOIN pool_all f ON f.rn = 1 + o.tdraw % f.cnt"""),
     "state_revenue": (("sales", "customers"), """
         SELECT cu.state, sum(s.revenue) AS total_revenue, sum(s.profit) AS total_profit,
                count(*) AS sales_count
@@ -311,13 +308,13 @@ ORACLE_SQL: dict[str, str] = {
     "vw_revenue_by_state": _STATE,
     "revenue_by_product": _with("product_summary") + f"""
         , ps AS (SELECT {_PRODUCT_COLS} FROM product_summary)
-        SELECT *, CASE WHEN avg_profit >= {CFG.tier_high} THEN 'High'
-                       WHEN avg_profit >= {CFG.tier_medium} THEN 'Medium' ELSE 'Low' END AS profit_tier
+        SELECT *, CASE WHEN avg_profit >= {TIER_HIGH} THEN 'High'
+                       WHEN avg_profit >= {TIER_MEDIUM} THEN 'Medium' ELSE 'Low' END AS profit_tier
         FROM ps""",
     "vw_revenue_by_product": _with("product_summary") + f"""
         SELECT {_PRODUCT_COLS},
-               CASE WHEN total_profit >= {CFG.tier_high} * sales_count THEN 'High'
-                    WHEN total_profit >= {CFG.tier_medium} * sales_count THEN 'Medium' ELSE 'Low' END
+               CASE WHEN total_profit >= {TIER_HIGH} * sales_count THEN 'High'
+                    WHEN total_profit >= {TIER_MEDIUM} * sales_count THEN 'Medium' ELSE 'Low' END
                    AS profit_tier
         FROM product_summary""",
     "salesperson_performance": _REP_PERF,
@@ -325,7 +322,7 @@ ORACLE_SQL: dict[str, str] = {
     "actual_vs_target": _ACTUAL_VS_TARGET,
     "vw_actual_vs_target": _ACTUAL_VS_TARGET,
     "top_customers": f"""SELECT * FROM ({_CUSTOMERS_ALL})
-        ORDER BY total_revenue DESC, customer_id LIMIT {CFG.top_customers}""",
+        ORDER BY total_revenue DESC, customer_id LIMIT {TOP_CUSTOMERS}""",
     "vw_top_customers": _CUSTOMERS_ALL,
     "pipeline_by_stage": _STAGE,
     "vw_pipeline_by_stage": _STAGE,
@@ -377,52 +374,126 @@ ORACLE_SQL: dict[str, str] = {
 
 
 # --- integrity audits -------------------------------------------------------
+#
+# Rules by hand, as (rule, table, SQL).  Keys, references and NULLs of source
+# columns are counted in the source tables.
+
+def _count(rule: str, table: str, condition: str, source: str) -> str:
+    return (f"SELECT '{rule}' AS rule, '{table}' AS table_name, "
+            f"CAST(count(*) FILTER (WHERE {condition}) AS BIGINT) AS violations FROM {source}")
+
+
+def _dupes(rule: str, table: str, source: str, cols: str) -> str:
+    return (f"SELECT '{rule}' AS rule, '{table}' AS table_name, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) "
+            f"AS violations FROM (SELECT count(*) AS n FROM {source} GROUP BY {cols})")
+
 
-def _audit_sql() -> dict[str, str]:
-    from quotalake.operators.audits import CHECKS, FOREIGN_KEYS, NOT_NULL, UNIQUE_KEYS
-
-    tables = {
-        "customers": "customers", "products": "products", "pipeline": "pipeline",
-        "calendar": "calendar", "sales": "sales",
-        "salespeople": "salespeople_t", "targets": "targets_t",
-    }
-    extra = """
-        , salespeople_t AS (SELECT salesperson_id, first_name, last_name, state, region,
-                                   CAST(annual_cents AS DOUBLE) / 100 AS annual_target FROM reps)
-        , targets_t AS (SELECT salesperson_id, year, month,
-                               CAST(target_cents AS DOUBLE) / 100 AS monthly_target FROM targets)
-    """
-    head = _with("customers", "products", "pipeline", "calendar", "sales", "reps", "targets") + extra
-
-    unique = " UNION ALL ".join(
-        f"""SELECT 'unique:{t}({','.join(cols)})' AS rule, '{t}' AS table_name,
-                   CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS violations
-            FROM (SELECT count(*) AS n FROM {tables[t]} GROUP BY {', '.join(cols)})"""
-        for t, cols in UNIQUE_KEYS)
-    fks = [f"""SELECT 'fk:{rule}' AS rule, '{child}' AS table_name,
-                      CAST(count(*) AS BIGINT) AS violations
-               FROM {child} c WHERE c.{ccol} IS NOT NULL
-                 AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{ccol})"""
-           for rule, child, ccol, parent, pcol in FOREIGN_KEYS]
-    for col, parent in (("salesperson_id", "reps0"), ("product_id", "products")):
-        fks.append(f"""SELECT 'fk:pipeline.{col}' AS rule, 'pipeline' AS table_name,
-                             CAST(count(*) AS BIGINT) AS violations
-                      FROM pipeline c WHERE c.{col} IS NOT NULL
-                        AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{col} = c.{col})""")
-    checks = " UNION ALL ".join(
-        f"""SELECT 'check:{t}.{col}' AS rule, '{t}' AS table_name,
-                   CAST(count(*) FILTER (WHERE NOT ({cond})) AS BIGINT) AS violations FROM {tables[t]}"""
-        for t, col, cond in CHECKS)
-    nulls = " UNION ALL ".join(
-        f"""SELECT 'not_null:{t}.{c}' AS rule, '{t}' AS table_name,
-                   CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {tables[t]}"""
-        for t, cols in NOT_NULL for c in cols)
-    return {
-        "audit_unique": head + unique,
-        "audit_fk": _with("pipeline", "reps0", "products") + " UNION ALL ".join(fks),
-        "audit_check": head + checks,
-        "audit_not_null": head + nulls,
-    }
-
-
-ORACLE_SQL.update(_audit_sql())
+def _orphans(rule: str, child: str, col: str, parent: str, pcol: str) -> str:
+    return (f"SELECT 'fk:{rule}' AS rule, '{rule.split('.')[0]}' AS table_name, CAST(count(*) AS BIGINT) AS violations "
+            f"FROM {child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
+
+
+_AUDIT_TABLES = _with("customers", "products", "pipeline", "calendar", "sales", "reps", "targets") + """
+    , salespeople_t AS (SELECT *, CAST(annual_cents AS DOUBLE) / 100 AS annual_target FROM reps)
+    , targets_t AS (SELECT *, CAST(target_cents AS DOUBLE) / 100 AS monthly_target FROM targets)
+"""
+
+_UNIQUE = [
+    _dupes("unique:customers(customer_id)", "customers", "customer", "c_custkey"),
+    _dupes("unique:products(product_id)", "products", "part", "p_partkey"),
+    _dupes("unique:products(product_name)", "products", "part", "p_name"),
+    _dupes("unique:salespeople(salesperson_id)", "salespeople", "supplier", "s_suppkey"),
+    _dupes("unique:pipeline(opportunity_id)", "pipeline", "orders", "o_orderkey"),
+    _dupes("unique:calendar(date)", "calendar", "calendar", "date"),
+    _dupes("unique:targets(salesperson_id,year,month)", "targets", "targets_t", "salesperson_id, year, month"),
+]
+
+_FOREIGN = [
+    _orphans("sales.customer_id", "orders", "o_custkey", "customer", "c_custkey"),
+    _orphans("sales.salesperson_id", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    _orphans("sales.product_id", "lineitem", "l_partkey", "part", "p_partkey"),
+    _orphans("pipeline.customer_id", "orders", "o_custkey", "customer", "c_custkey"),
+    _orphans("pipeline.salesperson_id", "pipeline", "salesperson_id", "supplier", "s_suppkey"),
+    _orphans("pipeline.product_id", "pipeline", "product_id", "part", "p_partkey"),
+    _orphans("targets.salesperson_id", "targets_t", "salesperson_id", "supplier", "s_suppkey"),
+    _orphans("sales.order_id", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    _orphans("customers.state", "customer", "c_nationkey", "nation", "n_nationkey"),
+    _orphans("salespeople.state", "supplier", "s_nationkey", "nation", "n_nationkey"),
+]
+
+_CHECK = [
+    _count("check:products.standard_cost", "products", "NOT standard_cost >= 0", "products"),
+    _count("check:products.list_price", "products", "NOT list_price >= 0", "products"),
+    _count("check:salespeople.annual_target", "salespeople", "NOT annual_target >= 0", "salespeople_t"),
+    _count("check:pipeline.probability", "pipeline", "NOT probability BETWEEN 0 AND 100", "pipeline"),
+    _count("check:pipeline.expected_revenue", "pipeline", "NOT expected_revenue >= 0", "pipeline"),
+    _count("check:targets.month", "targets", "NOT month BETWEEN 1 AND 12", "targets_t"),
+    _count("check:targets.monthly_target", "targets", "NOT monthly_target >= 0", "targets_t"),
+    _count("check:calendar.quarter", "calendar", "NOT quarter BETWEEN 1 AND 4", "calendar"),
+    _count("check:calendar.month", "calendar", "NOT month BETWEEN 1 AND 12", "calendar"),
+    _count("check:calendar.week", "calendar", "NOT week BETWEEN 1 AND 53", "calendar"),
+    _count("check:calendar.day", "calendar", "NOT day BETWEEN 1 AND 31", "calendar"),
+]
+
+_NULLS = [_count(f"not_null:{table}.{col}", table, f"{expr} IS NULL", source) for table, col, expr, source in (
+    ("customers", "customer_id", "c_custkey", "customer"),
+    ("customers", "company_name", "c_name", "customer"),
+    ("customers", "industry", "c_mktsegment", "customer"),
+    ("customers", "state", "c_nationkey", "customer"),
+    ("customers", "customer_size", "c_custkey", "customer"),
+    ("products", "product_id", "p_partkey", "part"),
+    ("products", "product_name", "p_name", "part"),
+    ("products", "category", "p_type", "part"),
+    ("products", "standard_cost", "standard_cost", "products"),
+    ("products", "list_price", "p_retailprice", "part"),
+    ("salespeople", "salesperson_id", "s_suppkey", "supplier"),
+    ("salespeople", "first_name", "s_name", "supplier"),
+    ("salespeople", "last_name", "s_name", "supplier"),
+    ("salespeople", "state", "s_nationkey", "supplier"),
+    ("salespeople", "region", "s_nationkey", "supplier"),
+    ("salespeople", "annual_target", "annual_target", "salespeople_t"),
+    ("sales", "product_id", "l_partkey", "lineitem"),
+    ("sales", "salesperson_id", "l_suppkey", "lineitem"),
+    ("sales", "quantity", "l_quantity", "lineitem"),
+    ("sales", "customer_id", "o_custkey", "orders"),
+    ("sales", "sale_date", "o_orderdate", "orders"),
+    ("sales", "unit_price", "unit_price", "sales"),
+    ("sales", "revenue", "revenue", "sales"),
+    ("sales", "cost", "cost", "sales"),
+    ("sales", "profit", "profit", "sales"),
+    ("pipeline", "opportunity_id", "o_orderkey", "orders"),
+    ("pipeline", "customer_id", "o_custkey", "orders"),
+    ("pipeline", "stage", "stage", "pipeline"),
+    ("pipeline", "probability", "probability", "pipeline"),
+    ("pipeline", "expected_close_date", "o_orderdate", "orders"),
+    ("pipeline", "expected_revenue", "o_totalprice", "orders"),
+    ("pipeline", "salesperson_id", "salesperson_id", "pipeline"),
+    ("pipeline", "product_id", "product_id", "pipeline"),
+    ("targets", "salesperson_id", "salesperson_id", "targets_t"),
+    ("targets", "year", "year", "targets_t"),
+    ("targets", "month", "month", "targets_t"),
+    ("targets", "monthly_target", "monthly_target", "targets_t"),
+    *(("calendar", c, c, "calendar") for c in ("date", "year", "quarter", "month", "month_name", "week", "day",
+                                               "financial_year")),
+)]
+
+ORACLE_SQL |= {
+    "audit_unique": _AUDIT_TABLES + " UNION ALL ".join(_UNIQUE),
+    "audit_fk": _AUDIT_TABLES + " UNION ALL ".join(_FOREIGN),
+    "audit_check": _AUDIT_TABLES + " UNION ALL ".join(_CHECK),
+    "audit_not_null": _AUDIT_TABLES + " UNION ALL ".join(_NULLS),
+    # Every line item valued at its product's list price, undiscounted
+    "value_opportunity": _with("products") + f"""
+        SELECT l_orderkey AS opportunity_id, l_linenumber AS line_number, product_id,
+               CAST(l_quantity AS INTEGER) AS quantity,
+               {_money('round(list_price * CAST(l_quantity AS INTEGER), 2)')} AS expected_revenue
+        FROM lineitem JOIN products ON l_partkey = product_id""",
+    # ungrouped B8: one customer picked per order
+    "pick_customer": _with("customers") + f"""
+        , ranked AS (SELECT customer_id, row_number() OVER (
+                         ORDER BY {_draw('customer_id', 'position')}, customer_id) AS rn,
+                     count(*) OVER () AS cnt FROM customers)
+        SELECT o_orderkey AS opportunity_id, r.customer_id AS picked_customer_id
+        FROM orders LEFT JOIN ranked r ON r.rn = 1 + {_draw('o_orderkey', 'customer')} % r.cnt""",
+}

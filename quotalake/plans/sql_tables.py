@@ -2,14 +2,16 @@
 
 ``register_tables(star)`` publishes ``customers``, ``products``,
 ``salespeople``, ``sales``, ``pipeline``, ``targets`` and ``calendar`` as temp
-views with the reference's column names, so report SQL written against that
-schema (FILTER clauses, INITCAP, EXTRACT, NULLIF, ``AVG() OVER ()``) runs in
-``spark.sql`` unchanged, on the same lazy plans the DataFrame reports use.
+views with the reference's column names, so SQL against that schema (FILTER
+clauses, INITCAP, EXTRACT, NULLIF, ``AVG() OVER ()``) runs in ``spark.sql`` on
+the same lazy plans the DataFrame reports use.  One thing must be rewritten:
+Spark wants every selected column that is not aggregated in the GROUP BY, also
+where it depends on a grouped key.
 
 Two columns have no source in the driver tables: ``sales.sale_id`` is a
-deterministic row tag (a hash of the row; the source line items have no
-unique key, so it is fit for ``COUNT`` but is not a key) and
-``salespeople.hire_date`` / ``manager`` are NULL.  Reads of these views are
+deterministic row tag, a hash of order, line number and row; line items that
+repeat in all of these share it, so ``COUNT(DISTINCT sale_id)`` misses such
+repeats.  ``salespeople.hire_date`` / ``manager`` are NULL.  Reads of these views are
 recomputed each time, like the reference's plain views.
 """
 
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quotalake.sources.star import Star
 
-_SALES_ROW = ("customer_id", "salesperson_id", "product_id", "sale_date", "quantity",
+_SALES_ROW = ("order_id", "line_number", "customer_id", "salesperson_id", "product_id", "sale_date", "quantity",
               "discount_percent", "revenue_cents", "cost_cents")
 
 

@@ -41,7 +41,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    shared_scratch(spark)
     return spark
 
 
@@ -50,29 +50,26 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     for key, value in _DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
+    if spark.conf.get("spark.sql.ansi.enabled").lower() != "true":
+        raise ValueError("spark.sql.ansi.enabled must be true: sums in BIGINT cents would wrap silently")
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (or the session tells nothing else)."""
+    return spark.conf.get("spark.master", "").split("[")[0] == "local"
 
-    The cluster names a shared folder there; it is only filled in with a fresh
-    scratch folder when unset, which is the case in local tests.
+
+def shared_scratch(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir`` for intermediate tables.
+
+    Only a local session gets a fresh scratch folder where none is named; on a
+    cluster executors would each write to a disk of their own, so it raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="quotalake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    try:
-        spark.sparkContext.setCheckpointDir(configured)
-    except Exception:  # Spark Connect sessions have no SparkContext; the conf suffices
-        pass
-    return configured
-
-
-def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
-    """Cores available to the session (``fallback`` where no SparkContext is exposed)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return fallback
+    return configured.rstrip("/")

@@ -12,10 +12,12 @@ Role mapping (fixed, see README):
   p_retailprice as DECIMAL(10,2), standard_cost = list_price * (56 + 4*(p_size % 6)) %.
 * sales       = lineitem join orders join products: rep l_suppkey, customer
   o_custkey, sale_date = date(o_orderdate), quantity l_quantity, discount %
-  = round(l_discount * 100), priced by B5.
+  = l_discount * 100 to hundredths of a percent, priced by B5.
 * pipeline    = orders: id o_orderkey, stage/probability from a key draw (B7),
-  expected revenue o_totalprice, close date = date(o_orderdate), rep by the
-  territory rule (B9) over the reps of nations whose key % 5 <> 4.
+  expected revenue o_totalprice, close date = date(o_orderdate), product by a
+  weighted category (B6) and a pick within it (B10), rep by the territory rule
+  (B9) over all reps.  An order without a known customer stays, with the
+  fallback rep.
 * calendar    = every day from 1 January of the year before the first order to
   31 December of the last order's year (B1); the leading year has no sales.
 * targets     = B3 rescale (sales / years spanned by the orders, 90 %) then B2.
@@ -40,15 +42,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotalake.functions.draws import (
-    PRIME_CATEGORY,
-    PRIME_CUSTOMER_SIZE,
-    PRIME_PRODUCT,
-    PRIME_STAGE,
-    PRIME_TERRITORY,
-    key_draw,
-    weighted_choice,
-)
+from quotalake.functions import draws
+from quotalake.functions.draws import key_draw, weighted_choice
 from quotalake.functions.exact import (
     money_cents,
     money_from_cents,
@@ -56,9 +51,10 @@ from quotalake.functions.exact import (
     sum_cents,
     to_money,
 )
+from quotalake.functions.text import full_name
 from quotalake.operators import build
-from quotalake.operators.ranking import assign_territory, kth_pick
-from quotalake.sources.tables import ParquetTables
+from quotalake.operators.ranking import assign_territory, group_sizes, kth_pick
+from quotalake.sources.tables import ParquetTables, SpreadTables
 
 
 SALES_CENTS = ("unit_price_cents", "revenue_cents", "cost_cents", "profit_cents")
@@ -75,19 +71,19 @@ def with_money_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def totals_by(sales: DataFrame, key: str) -> DataFrame:
+def totals_by(sales: DataFrame, *keys: str) -> DataFrame:
     """Revenue and profit cents and sale count per key.
 
     The first-level aggregate every report starts from; map-side partial
     aggregation collapses a hot key before the shuffle.
     """
-    return sales.groupBy(key).agg(sum_cents(F.col("revenue_cents")).alias("rev_c"),
-                                  sum_cents(F.col("profit_cents")).alias("prof_c"),
-                                  F.count(F.lit(1)).alias("sales_count"))
+    return sales.groupBy(*keys).agg(sum_cents(F.col("revenue_cents")).alias("rev_c"),
+                                    sum_cents(F.col("profit_cents")).alias("prof_c"),
+                                    F.count(F.lit(1)).alias("sales_count"))
 
 
-def monthly_actuals_of(sales: DataFrame) -> DataFrame:
-    """Revenue cents per rep and calendar month of the sale date.
+def rep_months_of(sales: DataFrame) -> DataFrame:
+    """Totals per rep and calendar month of the sale date.
 
     The month keys are made non-nullable (a sale without a date lands in
     month 0, which matches no target month but still counts in the rep's
@@ -96,17 +92,22 @@ def monthly_actuals_of(sales: DataFrame) -> DataFrame:
     being identical, and Spark aggregates the fact twice instead of reusing
     one exchange.
     """
-    return (sales.groupBy("salesperson_id",
-                          F.coalesce(F.year("sale_date"), F.lit(0)).alias("year"),
-                          F.coalesce(F.month("sale_date"), F.lit(0)).alias("month"))
-            .agg(sum_cents(F.col("revenue_cents")).alias("actual_cents")))
+    dated = sales.select("salesperson_id",
+                         F.coalesce(F.year("sale_date"), F.lit(0)).alias("year"),
+                         F.coalesce(F.month("sale_date"), F.lit(0)).alias("month"),
+                         "revenue_cents", "profit_cents")
+    return totals_by(dated, "salesperson_id", "year", "month")
+
+
+def rolled_up(totals: DataFrame, *keys: str) -> DataFrame:
+    """Coarser totals from finer ones."""
+    return (totals.groupBy(*keys)
+            .agg(F.sum("rev_c").alias("rev_c"), F.sum("prof_c").alias("prof_c"),
+                 F.sum("sales_count").alias("sales_count")))
 
 
-# Keys of the first-level totals, and whether they need the order join.
-TOTALS_KEYS = {"customer_id": True, "product_id": False, "salesperson_id": False, "sale_date": True}
-# The totals ``materialize`` writes.  Per-day totals are left out: at most one
-# row per day, they are cheap to recompute and cost more to write than they save.
-MATERIALIZED_TOTALS = ("customer_id", "product_id", "salesperson_id")
+# The totals ``materialize`` writes; per-rep totals roll up from the rep-months.
+MATERIALIZED_TOTALS = ("customer_id", "product_id", "sale_date")
 
 
 @dataclass(frozen=True)
@@ -121,18 +122,12 @@ class StarConfig:
     tier_high: int = 8000
     tier_medium: int = 5000
     top_customers: int = 20
-    # Reps of nations with n_nationkey % pool_modulus == pool_excluded_residue
-    # are left out of the territory pool, so some states have no rep.
-    pool_modulus: int = 5
-    pool_excluded_residue: int = 4
-    # Skip the order join for reports that need no order column, trusting the
-    # line-item -> order foreign key (checked by audit_fk).
-    trust_foreign_keys: bool = False
     rank_buckets: int = 4096
     # Category split of opportunities (B6) before the product pick within the
-    # category (B10), per mille.  Fixed values for the driver's part types.
+    # category (B10), per mille.  Fixed values: the driver's part types and the
+    # reference's 32/25/18/15/10 split, the last share halved over two types.
     product_categories: tuple[str, ...] = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-    category_weights: tuple[int, ...] = (167, 167, 167, 167, 166, 166)
+    category_weights: tuple[int, ...] = (320, 250, 180, 150, 50, 50)
 
 
 class Star:
@@ -151,20 +146,22 @@ class Star:
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, base_dir: str,
-                     config: StarConfig | None = None) -> "Star":
+                     config: StarConfig | None = None, spread: int | None = None) -> "Star":
         """Star over ``<base_dir>/<table>.parquet``.
 
-        Fact scans with fewer input splits than the session has cores are
-        spread over the cores (``SpreadTables``); large inputs are untouched.
+        ``spread``: hash-partition the fact scans into that many partitions (for
+        small facts stored as a single row group, which one task would read).
         """
-        from quotalake.session import default_parallelism
-        from quotalake.sources.tables import SpreadTables
-
-        return cls(spark, SpreadTables(ParquetTables(spark, base_dir), default_parallelism(spark)), config)
+        source = ParquetTables(spark, base_dir)
+        return cls(spark, SpreadTables(source, spread) if spread else source, config)
 
     def t(self, name: str) -> DataFrame:
         return self.source.table(name)
 
+    def raw(self, name: str) -> DataFrame:
+        """The table as stored, for scans that aggregate right away."""
+        return getattr(self.source, "raw", self.source.table)(name)
+
     # --- dimensions -----------------------------------------------------
 
     @cached_property
@@ -179,7 +176,7 @@ class Star:
                         F.col("c_name").alias("company_name"),
                         F.col("c_mktsegment").alias("industry"),
                         "state",
-                        build.customer_size(key_draw("c_custkey", PRIME_CUSTOMER_SIZE)).alias("customer_size")))
+                        build.customer_size(key_draw("c_custkey", draws.CUSTOMER_SIZE)).alias("customer_size")))
 
     @cached_property
     def products(self) -> DataFrame:
@@ -207,41 +204,35 @@ class Star:
                         F.split_part(F.col("s_name"), F.lit("#"), F.lit(1)).alias("first_name"),
                         F.split_part(F.col("s_name"), F.lit("#"), F.lit(2)).alias("last_name"),
                         "state", "region",
-                        to_money(F.greatest(F.col("s_acctbal"), F.lit(0.0))).alias("annual_target"),
-                        "n_nationkey"))
+                        to_money(F.greatest(F.col("s_acctbal"), F.lit(0.0))).alias("annual_target")))
 
     @cached_property
+    def rep_months(self) -> DataFrame:
+        """Totals (exact cents) per rep and month of the sale date."""
+        return rep_months_of(self.sales)
+
+    @property
     def monthly_actuals(self) -> DataFrame:
-        """Revenue (BIGINT cents summed exactly) per rep and month of the sale date."""
-        return monthly_actuals_of(self.sales)
+        """Revenue cents per rep and month of the sale date."""
+        return self.rep_months.select("salesperson_id", "year", "month", F.col("rev_c").alias("actual_cents"))
 
     def sales_totals(self, key: str) -> DataFrame:
-        """Per-customer / product / rep totals (``rev_c``, ``prof_c``, ``sales_count``)."""
+        """Per-customer / product / rep / day totals (``rev_c``, ``prof_c``, ``sales_count``)."""
         cache = self.__dict__.setdefault("_totals", {})
         if key not in cache:
-            needs_order = TOTALS_KEYS.get(key, True)
-            cache[key] = totals_by(self.sales if needs_order else self.sales_for_reps, key)
+            cache[key] = totals_by(self.sales, key)
         return cache[key]
 
-    def monthly_actuals_since(self, from_year: int) -> DataFrame:
-        """Monthly actuals from 1 January of ``from_year`` on.
-
-        The bound is a plain ``sale_date >=`` predicate, which Parquet can use
-        (``PushedFilters``, row-group statistics), instead of a filter on
-        ``year(sale_date)``, which it cannot.
-        """
-        since = self.sales.where(F.col("sale_date") >= F.lit(dt.date(from_year, 1, 1)))
-        return (since.groupBy("salesperson_id",
-                              F.year("sale_date").alias("year"),
-                              F.month("sale_date").alias("month"))
-                .agg(sum_cents(F.col("revenue_cents")).alias("actual_cents")))
+    def grand_totals(self) -> DataFrame:
+        """Totals over all sales: one partial row per task, nothing shuffled by key."""
+        return totals_by(self.sales)
 
     @cached_property
     def rep_revenue(self) -> DataFrame:
-        """Total revenue cents per rep, rolled up from the monthly actuals.
+        """Total revenue cents per rep, rolled up from the rep-months.
 
-        Deriving it from ``monthly_actuals`` lets a report that needs both
-        (actual vs target) reuse one shuffle of the sales fact.
+        Deriving it from ``rep_months`` lets a report that needs both (actual
+        vs target) reuse one shuffle of the sales fact.
         """
         return (self.monthly_actuals.groupBy("salesperson_id")
                 .agg(sum_cents(F.col("actual_cents")).alias("revenue_cents")))
@@ -249,24 +240,16 @@ class Star:
     @cached_property
     def salespeople(self) -> DataFrame:
         """Reps with the rescaled annual target."""
-        return build.rescale_targets(self.salespeople_opening.drop("n_nationkey"),
+        return build.rescale_targets(self.salespeople_opening,
                                      self.rep_revenue, self.target_years,
                                      self.config.target_share_pct)
 
-    @cached_property
-    def territory_pool(self) -> DataFrame:
-        c = self.config
-        return (self.salespeople_opening
-                .where(F.pmod(F.col("n_nationkey"), F.lit(c.pool_modulus)) != F.lit(c.pool_excluded_residue))
-                .select("salesperson_id", "state"))
-
     # --- data-derived parameters -------------------------------------------
 
     @cached_property
     def order_years(self) -> tuple[int, int]:
         """First and last calendar year of the order dates (one aggregate job)."""
-        orders = getattr(self.source, "raw", self.source.table)("orders")
-        row = orders.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
+        row = self.raw("orders").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
         if row is None or row["lo"] is None:
             raise ValueError("orders has no dates; set calendar_start/calendar_end/target_years explicitly")
         return row["lo"].year, row["hi"].year
@@ -307,6 +290,21 @@ class Star:
         return build.build_targets(self.salespeople.select("salesperson_id", "annual_cents"),
                                    *self.calendar_range)
 
+    def target_rows(self, from_year: int | None = None) -> DataFrame:
+        """Targets with the rep's name: salesperson_id, full_name, year, month, target_cents, monthly_target.
+
+        Generated from the rep rows (B2), so the name rides along.  ``from_year``
+        moves the start of the generated months; a filter on the year instead
+        would reach the actuals through the join and keep Spark from reusing
+        the aggregate that also feeds the rescale.
+        """
+        reps = self.salespeople.select("salesperson_id", "annual_cents",
+                                       full_name(F.col("first_name"), F.col("last_name")).alias("full_name"))
+        start, end = self.calendar_range
+        if from_year is not None:
+            start = max(start, dt.date(from_year, 1, 1))
+        return build.build_targets(reps, start, end, carry=["full_name"])
+
     # --- facts ------------------------------------------------------------
 
     @cached_property
@@ -316,19 +314,19 @@ class Star:
         Money is carried as BIGINT cents (``*_cents``); the DECIMAL columns
         are derived from them and only computed when a query selects them.
         """
-        li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount")
+        li = self.t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount")
         p = self.products.select("product_id", "list_cents", "cost_cents")
         joined = li.join(p, li["l_partkey"] == p["product_id"], "inner")
-        disc_pct = round_half_up_double(F.col("l_discount") * F.lit(100.0))
+        hundredths = round_half_up_double(F.col("l_discount") * F.lit(10000.0)).cast("long")
         lines = joined.select(
-            "l_orderkey", F.col("l_suppkey").alias("salesperson_id"), "product_id",
+            F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"), F.col("l_suppkey").alias("salesperson_id"), "product_id",
             F.col("l_quantity").cast("int").alias("quantity"),
-            disc_pct.alias("_disc_pct"), "list_cents", "cost_cents")
+            hundredths.alias("_disc"), "list_cents", "cost_cents")
         priced = build.price_sales(F.col("list_cents"), F.col("cost_cents"), F.col("quantity"),
-                                   (F.col("_disc_pct") * F.lit(100)).cast("long"))
+                                   F.col("_disc"))
         return with_money_columns(lines.select(
-            "l_orderkey", "salesperson_id", "product_id", "quantity",
-            F.col("_disc_pct").cast("decimal(5,2)").alias("discount_percent"),
+            "order_id", "line_number", "salesperson_id", "product_id", "quantity",
+            money_from_cents(F.col("_disc"), 5).alias("discount_percent"),
             *[v.alias(k) for k, v in priced.items()]))
 
     @cached_property
@@ -337,41 +335,93 @@ class Star:
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         lines = self.sales_lines
         return with_money_columns(
-            lines.join(o, lines["l_orderkey"] == o["o_orderkey"], "inner")
-            .select(F.col("o_custkey").alias("customer_id"), "salesperson_id", "product_id",
+            lines.join(o, lines["order_id"] == o["o_orderkey"], "inner")
+            .select("order_id", "line_number", F.col("o_custkey").alias("customer_id"), "salesperson_id", "product_id",
                     F.to_date(F.col("o_orderdate")).alias("sale_date"),
                     "quantity", "discount_percent", *SALES_CENTS))
 
-    @property
-    def sales_for_reps(self) -> DataFrame:
-        """Sales for reports that need no customer or date column."""
-        return self.sales_lines if self.config.trust_foreign_keys else self.sales
+    @cached_property
+    def opportunities(self) -> DataFrame:
+        """Orders as opportunities: stage, probability, value and date, without any join."""
+        o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+        stage, prob = build.stage_and_probability(key_draw("o_orderkey", draws.STAGE))
+        return o.select(F.col("o_orderkey").alias("opportunity_id"),
+                        F.col("o_custkey").alias("customer_id"),
+                        stage.alias("stage"), prob.alias("probability"),
+                        F.to_date("o_orderdate").alias("expected_close_date"),
+                        money_cents(to_money(F.col("o_totalprice"))).alias("expected_revenue_cents"),
+                        money_from_cents(money_cents(to_money(F.col("o_totalprice"))), 14).alias("expected_revenue"))
+
+    @cached_property
+    def _customer_territory(self) -> DataFrame:
+        """Customer key with its state and the two rep pool sizes (attached to the few states)."""
+        reps = self.salespeople_opening.select("salesperson_id", "state")
+        sizes = group_sizes(reps.where("state IS NOT NULL"), "state", "_state_reps")
+        states = self.nations.join(sizes, "state", "left").select("n_nationkey", "state", "_state_reps")
+        c = self.t("customer").select("c_custkey", "c_nationkey")
+        return (c.join(states, c["c_nationkey"] == states["n_nationkey"], "inner")
+                .select(F.col("c_custkey").alias("_cid"), F.col("state").alias("_cstate"), "_state_reps"))
+
+    @cached_property
+    def opportunities_with_rep(self) -> DataFrame:
+        """Opportunities with their salesperson."""
+        cust = self._customer_territory
+        opp = self.opportunities.withColumn("_draw", key_draw("opportunity_id", draws.TERRITORY))
+        with_state = opp.join(cust, opp["customer_id"] == cust["_cid"], "left").drop("_cid")
+        all_reps = self.raw("supplier").count()  # one number
+        return assign_territory(with_state, "_cstate", "_draw", self.salespeople_opening, "salesperson_id", "state",
+                                F.col("_state_reps"), F.lit(all_reps), "salesperson_id",
+                                self.config.rank_buckets).drop("_cstate", "_state_reps", "_draw")
 
     @cached_property
     def pipeline(self) -> DataFrame:
-        o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-        stage, prob = build.stage_and_probability(key_draw("o_orderkey", PRIME_STAGE))
-        opp = o.select(F.col("o_orderkey").alias("opportunity_id"),
-                       F.col("o_custkey").alias("customer_id"),
-                       stage.alias("stage"), prob.alias("probability"),
-                       F.to_date("o_orderdate").alias("expected_close_date"),
-                       money_cents(to_money(F.col("o_totalprice"))).alias("expected_revenue_cents"),
-                       key_draw("o_orderkey", PRIME_TERRITORY).alias("_draw"))
-        cust = self.customers.select(F.col("customer_id").alias("_cid"), F.col("state").alias("_cstate"))
-        with_state = opp.join(cust, opp["customer_id"] == cust["_cid"], "inner").drop("_cid")
+        """Opportunities with salesperson and product (B6 category, B10 pick within it)."""
         c = self.config
-        with_cat = (with_state
-                    .withColumn("_cat", weighted_choice(key_draw("opportunity_id", PRIME_CATEGORY),
+        products = self.products.select("product_id", "category")
+        sizes = {r["category"]: r["n"] for r in group_sizes(
+            products.where(F.col("category").isin(*c.product_categories)), "category", "n").collect()}
+        size = F.lit(None).cast("long")  # at most one branch per configured category
+        for name, n in sizes.items():
+            size = F.when(F.col("_cat") == F.lit(name), F.lit(n)).otherwise(size)
+        with_cat = (self.opportunities_with_rep
+                    .withColumn("_cat", weighted_choice(key_draw("opportunity_id", draws.CATEGORY),
                                                         c.category_weights, c.product_categories))
-                    .withColumn("_pdraw", key_draw("opportunity_id", PRIME_PRODUCT)))
-        with_product = kth_pick(with_cat, "_pdraw", self.products.select("product_id", "category"),
-                                "product_id", "product_id", [("_cat", "category")], c.rank_buckets)
-        assigned = assign_territory(with_product, "_cstate", "_draw", self.territory_pool,
-                                    "salesperson_id", "state", "salesperson_id", c.rank_buckets)
-        return assigned.select("opportunity_id", "customer_id", "salesperson_id", "product_id", "stage",
-                               "probability", "expected_close_date",
-                               money_from_cents(F.col("expected_revenue_cents"), 14).alias("expected_revenue"),
-                               "expected_revenue_cents")
+                    .withColumn("_pdraw", key_draw("opportunity_id", draws.PRODUCT)))
+        with_product = kth_pick(with_cat, "_pdraw", size, products, "product_id", "product_id",
+                                [("_cat", "category")], c.rank_buckets)
+        return with_product.select("opportunity_id", "customer_id", "salesperson_id", "product_id", "stage",
+                                   "probability", "expected_close_date", "expected_revenue",
+                                   "expected_revenue_cents")
+
+    # --- audits ---------------------------------------------------------------
+
+    #: References of the source tables beside the declared ones.
+    more_foreign_keys = (
+        ("sales.order_id", "sales_source", "order_id", "sales_order_source", "order_id"),
+        ("customers.state", "customers_source", "nation_key", "nations", "n_nationkey"),
+        ("salespeople.state", "salespeople_source", "nation_key", "nations", "n_nationkey"),
+    )
+
+    def audit_frames(self) -> dict[str, DataFrame]:
+        """The source tables under the star's column names, before any join."""
+        first, last = (F.split_part(F.col("s_name"), F.lit("#"), F.lit(i)) for i in (1, 2))
+        return {
+            "customers_source": self.raw("customer").select(
+                F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("company_name"),
+                F.col("c_mktsegment").alias("industry"), F.col("c_nationkey").alias("state"),
+                F.col("c_nationkey").alias("nation_key"),
+                build.customer_size(key_draw("c_custkey", draws.CUSTOMER_SIZE)).alias("customer_size")),
+            "salespeople_source": self.raw("supplier").select(
+                F.col("s_suppkey").alias("salesperson_id"), first.alias("first_name"), last.alias("last_name"),
+                F.col("s_nationkey").alias("state"), F.col("s_nationkey").alias("region"),
+                F.col("s_nationkey").alias("nation_key")),
+            "sales_source": self.raw("lineitem").select(
+                F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+                F.col("l_suppkey").alias("salesperson_id"), F.col("l_quantity").alias("quantity")),
+            "sales_order_source": self.raw("orders").select(
+                F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+                F.col("o_orderdate").alias("sale_date")),
+        }
 
     # --- materialization ----------------------------------------------------
 
@@ -385,28 +435,23 @@ class Star:
         Writing a table also cuts the lineage, so a lost executor costs a
         re-read, not a re-join.
 
-        ``partitions``: if given, every table is written as that many files.
-        Otherwise a small input (fewer line-item splits than the session has
-        cores, e.g. one row group) is spread over the cores at the scan, by
-        order key, so the joins and the pricing run in parallel and the output
-        has one file per core; a large input is written as the joins produce it.
+        ``partitions``: if given, every table is written as that many files;
+        otherwise as the joins produce it (``spread`` of ``from_parquet``
+        decides how many partitions a small fact scan has).
         """
-        from quotalake.session import default_parallelism, ensure_checkpoint_dir
-        from quotalake.sources.tables import SpreadTables
+        from quotalake.session import shared_scratch
 
-        base = path or f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/quotalake-star-{uuid.uuid4().hex}"
-        source = self.source if isinstance(self.source, SpreadTables) else \
-            SpreadTables(self.source, default_parallelism(self.spark))
-        builder = Star(self.spark, source, self.config)
+        base = path or f"{shared_scratch(self.spark)}/quotalake-star-{uuid.uuid4().hex}"
+        builder = self
         # Plans are built inside the writer threads: building the pipeline runs
         # its own small bounds jobs, which then overlap with the other writes.
         frames = {
             "customers": lambda: builder.customers,
             "products": lambda: builder.products,
             "salespeople_opening": lambda: builder.salespeople_opening,
-            "pipeline": lambda: builder.pipeline.drop("expected_revenue"),
+            "pipeline": lambda: builder.pipeline.drop("expected_revenue"),  # carried as cents
         }
-        sales_plan = builder.sales.select("customer_id", "salesperson_id", "product_id", "sale_date",
+        sales_plan = builder.sales.select("order_id", "line_number", "customer_id", "salesperson_id", "product_id", "sale_date",
                                           "quantity", "discount_percent", *SALES_CENTS)
 
         def write(name: str, df: DataFrame) -> None:
@@ -416,7 +461,7 @@ class Star:
             # The aggregates read the sales table just written, not the joins again.
             write("sales", sales_plan)
             sales = with_money_columns(self.spark.read.parquet(f"{base}/sales"))
-            aggregates = {"monthly_actuals": monthly_actuals_of(sales),
+            aggregates = {"rep_months": rep_months_of(sales),
                           **{f"totals_{key}": totals_by(sales, key) for key in MATERIALIZED_TOTALS}}
             with ThreadPoolExecutor(max_workers=len(aggregates)) as inner:
                 for f in [inner.submit(write, n, df) for n, df in aggregates.items()]:
@@ -464,24 +509,30 @@ class MaterializedStar(Star):
         return self.sales
 
     @cached_property
-    def monthly_actuals(self) -> DataFrame:
-        return self._read("monthly_actuals")
-
-    @cached_property
-    def rep_revenue(self) -> DataFrame:
-        """Per-rep revenue from the written per-rep totals (the same sums)."""
-        return self.sales_totals("salesperson_id").select("salesperson_id", F.col("rev_c").alias("revenue_cents"))
+    def rep_months(self) -> DataFrame:
+        return self._read("rep_months")
 
-    def monthly_actuals_since(self, from_year: int) -> DataFrame:
-        return self.monthly_actuals.where(F.col("year") >= F.lit(from_year))
+    def grand_totals(self) -> DataFrame:
+        return rolled_up(self._read("totals_sale_date"))
 
     def sales_totals(self, key: str) -> DataFrame:
-        if key in MATERIALIZED_TOTALS:
-            cache = self.__dict__.setdefault("_totals", {})
-            if key not in cache:
+        cache = self.__dict__.setdefault("_totals", {})
+        if key not in cache:
+            if key in MATERIALIZED_TOTALS:
                 cache[key] = self._read(f"totals_{key}")
-            return cache[key]
-        return super().sales_totals(key)
+            elif key == "salesperson_id":
+                cache[key] = rolled_up(self.rep_months, key)
+            else:
+                cache[key] = totals_by(self.sales, key)
+        return cache[key]
+
+    @property
+    def opportunities(self) -> DataFrame:
+        return self.pipeline
+
+    @property
+    def opportunities_with_rep(self) -> DataFrame:
+        return self.pipeline
 
     @cached_property
     def pipeline(self) -> DataFrame:

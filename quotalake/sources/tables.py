@@ -43,41 +43,29 @@ class ParquetTables:
 
 
 class SpreadTables:
-    """Wraps a source so that small fact scans use every core.
+    """Wraps a source so that fact scans are hash-partitioned on their join key.
 
     A Parquet file is split by row group, so a small fact table stored as one
     row group is read by a single task and every operator fused into that scan
-    stage (joins, pricing) runs single-threaded.  When a fact scan has fewer
-    input partitions than ``min_partitions`` it is hash-partitioned on its
-    join key; large inputs already have enough splits and are passed through
-    untouched.  Counting a bare scan's partitions plans it without running a
-    job.
+    stage (joins, pricing) runs single-threaded.  The caller asks for this with
+    a partition count; large inputs do not need it.
     """
 
     FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
-    def __init__(self, inner, min_partitions: int):
+    def __init__(self, inner, partitions: int):
         self.inner = inner
-        self.min_partitions = min_partitions
+        self.partitions = partitions
 
     def table(self, name: str) -> DataFrame:
         df = self.inner.table(name)
         key = self.FACT_KEYS.get(name)
-        if key and self._input_partitions(df) < self.min_partitions:
-            df = df.repartition(self.min_partitions, key)
-        return df
+        return df.repartition(self.partitions, key) if key else df
 
     def raw(self, name: str) -> DataFrame:
         """The table as stored, for scans that aggregate right away (min/max, counts)."""
         return self.inner.table(name)
 
-    @staticmethod
-    def _input_partitions(df: DataFrame) -> int:
-        try:
-            return df.rdd.getNumPartitions()
-        except Exception:  # no RDD view (Spark Connect): leave the scan as it is
-            return 1 << 30
-
 
 class CatalogTables:
     """Tables already registered in the session catalog (``db.name`` or bare names)."""

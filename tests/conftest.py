@@ -42,4 +42,6 @@ def star_with(spark, config: StarConfig | None = None, tables=None, **frames) ->
         if name == "sales":
             df = with_money_columns(df)
         star.__dict__[name] = df
+        if name == "pipeline":
+            star.__dict__["opportunities"] = star.__dict__["opportunities_with_rep"] = df
     return star

@@ -71,13 +71,29 @@ def test_weighted_choice_rejects_bad_weights():
         weighted_choice(F.lit(1), [500, 400], ["a", "b"])
 
 
-def test_key_draw_range_and_kth(spark):
-    df = spark.range(0, 5000).select(key_draw("id", 104729).alias("d"))
-    lo, hi = df.agg(F.min("d"), F.max("d")).first()
-    assert 0 <= lo and hi <= 999
-    picks = spark.createDataFrame([(0, 7), (999, 7), (500, 2), (999, 1)], "d int, n long") \
+def test_key_draw_is_the_leading_md5_bits(spark):
+    import hashlib
+
+    rows = spark.range(0, 500).select("id", key_draw("id", "stage").alias("d")).collect()
+    assert all(r.d == int(hashlib.md5(f"{r.id}:stage".encode()).hexdigest()[:15], 16) for r in rows)
+    null = spark.sql("SELECT CAST(NULL AS BIGINT) AS k").select(key_draw("k", "stage").alias("d")).first()
+    assert null.d is None
+
+
+def test_kth_of(spark):
+    picks = spark.createDataFrame([(0, 7), (6, 7), (7, 7), (1 << 59, 10), (5, 0), (5, None)], "d long, n long") \
         .select(kth_of(F.col("d"), F.col("n")).alias("k")).collect()
-    assert [r.k for r in picks] == [1, 7, 2, 1]
+    assert [r.k for r in picks] == [1, 7, 1, 1 + (1 << 59) % 10, None, None]
+
+
+def test_draws_are_independent(spark):
+    df = spark.range(0, 20_000).select(*[F.pmod(key_draw("id", n), F.lit(10)).alias(n)
+                                         for n in ("stage", "territory", "product")])
+    for other in ("territory", "product"):
+        cells = df.groupBy("stage", other).count().collect()
+        assert len(cells) == 100                       # every combination occurs
+        chi2 = sum((r["count"] - 200) ** 2 / 200 for r in cells)
+        assert chi2 < 160                              # 99 degrees of freedom
 
 
 def test_calendar_attributes(spark):

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 from pyspark.sql import functions as F
 
-from quotalake.operators.ranking import POS, GROUP_SIZE, assign_territory, attach_positions, kth_pick
+from quotalake.operators.ranking import GROUP_SIZE, POS, assign_territory, attach_positions, group_sizes, kth_pick
+
+
+def _order(key):
+    return int(hashlib.md5(f"{key}:position".encode()).hexdigest()[:15], 16), key
 
 
 def _brute_positions(rows):
@@ -15,7 +20,7 @@ def _brute_positions(rows):
         by_group.setdefault(g, []).append(k)
     out = {}
     for g, keys in by_group.items():
-        for i, k in enumerate(sorted(keys), start=1):
+        for i, k in enumerate(sorted(keys, key=_order), start=1):
             out[(g, k)] = (i, len(keys))
     return out
 
@@ -25,62 +30,68 @@ def test_attach_positions_matches_row_number(spark):
     keys = rnd.sample(range(0, 100_000), 3000)
     rows = [(rnd.choice("ABCDE") if k % 11 else "A", k) for k in keys]   # "A" is a hot group
     df = spark.createDataFrame(rows, "g string, k long")
-    for buckets, small_rows in ((1, 0), (7, 0), (64, 0), (4096, 0), (64, 10 ** 6)):
-        got = {(r.g, r.k): (r[POS], r[GROUP_SIZE])
-               for r in attach_positions(df, "k", ["g"], target_buckets=buckets,
-                                         small_rows=small_rows).collect()}
+    for buckets in (1, 7, 64, 4096):
+        got = {(r.g, r.k): (r[POS], r[GROUP_SIZE]) for r in attach_positions(df, "k", ["g"], buckets).collect()}
         assert got == _brute_positions(rows)
-    for small_rows in (0, 10 ** 6):
-        got_all = {r.k: r[POS] for r in attach_positions(df, "k", [], target_buckets=16,
-                                                         small_rows=small_rows).collect()}
-        assert got_all == {k: i for i, k in enumerate(sorted(keys), start=1)}
+    got_all = {r.k: r[POS] for r in attach_positions(df, "k", [], 16).collect()}
+    assert got_all == {k: i for i, k in enumerate(sorted(keys, key=_order), start=1)}
+
+
+def test_one_outlier_key_does_not_fill_a_bucket(spark):
+    # Equal slices of the key range would put 20,000 of 20,001 keys into one bucket.
+    from quotalake.functions.draws import DRAW_BITS, key_draw
+
+    df = spark.range(0, 20_000).union(spark.createDataFrame([(1 << 62,)], "id long"))
+    slice_of = F.expr(f"h div {(1 << DRAW_BITS) // 64}L")
+    most = (df.select(key_draw("id", "position").alias("h")).groupBy(slice_of.alias("b")).count()
+            .agg(F.max("count")).first()[0])
+    assert most < 2 * 20_001 / 64
+    ranked = attach_positions(df, "id", [], 64)
+    assert ranked.agg(F.max(POS), F.countDistinct(POS)).first() == (20_001, 20_001)
 
 
 def _pick(draw, n):
-    return 1 + (draw * n) // 1000
+    return 1 + draw % n
 
 
 def test_assign_territory_matches_reference_rule(spark):
     rnd = random.Random(11)
     reps = [(rid, rnd.choice(["N1", "N2", "N3"])) for rid in rnd.sample(range(1, 5000), 40)]
-    facts = [(i, rnd.choice(["N1", "N2", "N3", "N4", "N5"]), rnd.randrange(1000)) for i in range(2000)]
+    facts = [(i, rnd.choice(["N1", "N2", "N3", "N4", "N5", None]), rnd.randrange(1 << 60)) for i in range(2000)]
     reps_df = spark.createDataFrame(reps, "rep long, st string")
-    facts_df = spark.createDataFrame(facts, "id long, state string, draw int")
-    runs = [{r.id: r.salesperson_id for r in
-             assign_territory(facts_df, "state", "draw", reps_df, "rep", "st", target_buckets=8,
-                              small_rows=small_rows).collect()}
-            for small_rows in (0, 10 ** 6)]          # bucketed path and broadcast path
-    assert runs[0] == runs[1]
-    got = runs[0]
-
-    pool = sorted(r for r, _ in reps)
+    facts_df = spark.createDataFrame(facts, "id long, state string, draw long")
+    sized = facts_df.join(group_sizes(reps_df, "st", "n").withColumnRenamed("st", "state"), "state", "left")
+    got = {r.id: r.salesperson_id for r in
+           assign_territory(sized, "state", "draw", reps_df, "rep", "st", F.col("n"), F.lit(len(reps)),
+                            buckets=8).collect()}
+
+    pool = sorted((r for r, _ in reps), key=_order)
     by_state = {}
     for r, s in reps:
         by_state.setdefault(s, []).append(r)
     want = {}
     for i, state, draw in facts:
-        local = sorted(by_state.get(state, []))
+        local = sorted(by_state.get(state, []), key=_order)
         want[i] = local[_pick(draw, len(local)) - 1] if local else pool[_pick(draw, len(pool)) - 1]
     assert got == want
-    # every fact row kept (the LEFT-lateral fix), and the fallback really ran
+    # every fact row kept, and the fallback really ran (states without a rep, and no state)
     assert len(got) == len(facts)
-    assert any(s in ("N4", "N5") for _, s, _ in facts)
+    assert any(s in ("N4", "N5") for _, s, _ in facts) and any(s is None for _, s, _ in facts)
 
 
 def test_kth_pick_within_group_and_overall(spark):
     items = [(k, "x" if k % 2 else "y") for k in range(10, 40)]
     dim = spark.createDataFrame(items, "item long, cat string")
-    facts = spark.createDataFrame([(1, "x", 0), (2, "x", 999), (3, "y", 500), (4, "z", 10)],
-                                  "id long, cat string, d int")
-    got = {r.id: r.pick for r in kth_pick(facts, "d", dim, "item", "pick", [("cat", "cat")],
-                                          small_rows=0).collect()}
-    assert got == {r.id: r.pick for r in kth_pick(facts, "d", dim, "item", "pick", [("cat", "cat")]).collect()}
-    xs = sorted(k for k, c in items if c == "x")
-    ys = sorted(k for k, c in items if c == "y")
+    facts = spark.createDataFrame([(1, "x", 0), (2, "x", 14), (3, "y", 500), (4, "z", 10)],
+                                  "id long, cat string, d long")
+    size = F.when(F.col("cat").isin("x", "y"), F.lit(15))
+    got = {r.id: r.pick for r in kth_pick(facts, "d", size, dim, "item", "pick", [("cat", "cat")]).collect()}
+    xs = sorted((k for k, c in items if c == "x"), key=_order)
+    ys = sorted((k for k, c in items if c == "y"), key=_order)
     assert got == {1: xs[0], 2: xs[-1], 3: ys[_pick(500, len(ys)) - 1], 4: None}
-    overall = {r.id: r.pick for r in kth_pick(facts, "d", dim, "item", "pick").collect()}
-    allk = sorted(k for k, _ in items)
-    assert overall[2] == allk[-1] and overall[1] == allk[0]
+    overall = {r.id: r.pick for r in kth_pick(facts, "d", F.lit(30), dim, "item", "pick").collect()}
+    allk = sorted((k for k, _ in items), key=_order)
+    assert overall == {1: allk[0], 2: allk[14], 3: allk[500 % 30], 4: allk[10]}
 
 
 def test_positions_survive_a_hot_group_without_single_task_window(spark):
@@ -88,7 +99,7 @@ def test_positions_survive_a_hot_group_without_single_task_window(spark):
     # never over the whole group.
     df = spark.range(0, 20_000).select(F.when(F.col("id") % 10 == 0, "cold").otherwise("hot").alias("g"),
                                        F.col("id").alias("k"))
-    ranked = attach_positions(df, "k", ["g"], target_buckets=64, small_rows=0)
+    ranked = attach_positions(df, "k", ["g"], 64)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "_bucket" in plan
     hot = ranked.where("g = 'hot'").agg(F.max(POS), F.countDistinct(POS)).first()

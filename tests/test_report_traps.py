@@ -42,6 +42,11 @@ def test_margin_is_null_when_revenue_is_zero(spark):
     assert r.total_revenue == Decimal("0.00") and r.margin_pct is None
 
 
+def test_margin_of_a_tiny_revenue_is_no_error(spark):
+    star = star_with(spark, sales=spark.createDataFrame([sale(1, 1, 1, D(1995, 1, 1), 1, -900_000_000_000)], SALES_SCHEMA))
+    assert reports.overall_performance(star).first().margin_pct == Decimal("-90000000000000.00")
+
+
 def test_margin_half_up(spark):
     # profit / revenue = 1 / 8 = 12.5 % exactly; 1/3 -> 33.33 %
     star = star_with(spark, sales=spark.createDataFrame(
