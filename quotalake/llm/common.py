@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quotalake.session import ensure_checkpoint_dir
+from quotalake.session import shared_scratch
 
 #: Bytes of text that are tokenised together; bounds the numpy temporaries.
 SLICE_BYTES = 4 << 20
@@ -29,7 +29,7 @@ _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 def scratch_path(spark: SparkSession) -> str:
     """A fresh folder name below the shared ``spark.checkpoint.dir``."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quotalake-{uuid.uuid4().hex}"
+    return f"{shared_scratch(spark)}/quotalake-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, codec: str = "zstd") -> DataFrame:
