@@ -11,9 +11,10 @@ Pass 2 adds it to each document's own start, which fixes its pieces without any
 exchange of rows.  Only the last sequence is padded.
 
 Token ids come from the tokenizer file itself.  A text is split at ASCII white
-space, where its pre-tokenizer always splits and its normaliser never joins, so
-the ids of a word do not depend on its neighbours and are cached (at most
-``CACHE_WORDS`` of them, then the cache starts anew).
+space, where its pre-tokenizer always splits and its normaliser never joins, and
+before the marks that end a word; so the ids of a part do not depend on its
+neighbours and are kept in a table by the part's 64-bit hash (at most about
+``CACHE_WORDS`` parts, then the table starts anew).
 
 Cases: a null or empty text is the end id alone.  A very long text is cut at
 every sequence boundary.  Repeated rows are packed each by itself.  Extra
@@ -22,8 +23,10 @@ columns are ignored.  An empty table gives no pieces.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,61 +38,119 @@ from quotalake.llm import common as C
 
 SEQUENCE = 2048
 END_ID = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 2_000_000
 MAX_BROADCAST_PARTS = 1 << 20
 
 
+# Bytes as the byte-level alphabet writes them: printable Latin-1 as itself, the rest from 256 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_REST = [b for b in range(256) if b not in set(_PRINTABLE)]
+_ALPHABET = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(_REST)}
+_LATIN1 = [_ALPHABET[b] for b in range(256)]
+# Lower-case words that the normaliser and pre-tokenizer leave whole.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+_LETTER = C.byte_class((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)).astype(bool)
+_ASCII_LETTER = C.byte_class((0x41, 0x5A), (0x61, 0x7A)).astype(bool)
+_NO_TAIL = C.byte_class((0x30, 0x39), (0x27, 0x27)).astype(bool)  # digits, apostrophe
+
+
+def units(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, C.Tokens]:
+    """(bytes lower-cased in A-Z, parts of the texts whose ids do not depend on each other).
+
+    A part is a run without ASCII white space; marks that end it behind a letter
+    are a part by themselves, which the pre-tokenizer would split off as well.
+    Texts with a special token's "<|" keep their case and their runs whole.
+    """
+    lowered = C.ascii_lower(data)
+    special = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))
+    rows = np.unique(np.searchsorted(offsets, special, side="right") - 1)
+    for r in rows.tolist():
+        lowered[offsets[r]:offsets[r + 1]] = data[offsets[r]:offsets[r + 1]]
+    runs = C.tokenise(offsets, lowered, C.NOT_SPACE)
+    if not len(runs.start):
+        return lowered, runs
+    letter = _LETTER[lowered]
+    last = np.maximum.accumulate(np.where(letter, np.arange(len(lowered)), -1))[runs.end - 1]
+    other = np.concatenate([[0], np.cumsum(_NO_TAIL[lowered])])
+    before = lowered[np.maximum(last - 1, 0)]
+    at = lowered[np.maximum(last, 0)]
+    known = _ASCII_LETTER[at] | ((before == 0xC3) & (at >= 0x80) & (at != 0x97) & (at != 0xB7))
+    split = ((last >= runs.start) & (last < runs.end - 1) & known & (other[runs.end] == other[last + 1])
+             & ~np.isin(runs.row, rows))
+    cut = last[split] + 1
+    start = np.concatenate([runs.start, cut])
+    end = np.concatenate([np.where(split, last + 1, runs.end), runs.end[split]])
+    row = np.concatenate([runs.row, runs.row[split]])
+    order = np.argsort(start, kind="stable")
+    start, end, row = start[order], end[order], row[order]
+    return lowered, C.Tokens(start, end, row, C.hash_ranges(lowered, start, end))
+
+
 class _Encoder:
-    """Token ids of texts by way of a cache of words."""
+    """Token ids of texts by way of a table of the ids of known parts, by their 64-bit hash."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ids = np.empty(1 << 20, np.uint32)
-        self.start = np.zeros(1 << 16, np.int64)  # of word i: ids[start[i]:start[i + 1]]
-        self.used = 0
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.keys = np.empty(0, np.uint64)  # sorted
+        self.slot = np.empty(0, np.int64)  # of keys[i]: ids[start[slot]:start[slot + 1]]
+        self.start = np.zeros(1, np.int64)
+        self.ids = np.empty(0, np.uint32)
+
+    def _encode_parts(self, parts: list[bytes]) -> list[list[int]]:
+        model, out, others = self.tokenizer.model, [], []
+        for i, part in enumerate(parts):
+            word = part.decode("utf-8", "replace").lower()
+            if _PLAIN.fullmatch(word):
+                mapped = word if word.isascii() else "".join([_LATIN1[b] for b in word.encode()])
+                out.append([t.id for t in model.tokenize(mapped)])
+            else:
+                out.append([])
+                others.append(i)
+        if others:
+            encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+            texts = [parts[i].decode("utf-8", "replace") for i in others]
+            for i, encoding in zip(others, encode(texts, add_special_tokens=False)):
+                out[i] = encoding.ids
+        return out
+
+    def encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(tokens per text, all ids in order), end ids not included."""
-        # bytes.lower() is ASCII only and lower-casing is the normaliser's own step
-        split = [t.encode().lower().split() if not any(s in t.lower() for s in self.special) else t.encode().split()
-                 for t in texts]
-        flat = [w for words in split for w in words]
-        if len(self.index) > CACHE_WORDS:
+        n = len(offsets) - 1
+        lowered, tokens = units(offsets, data)
+        if not len(tokens.start):
+            return np.zeros(n, np.int64), np.empty(0, np.uint32)
+        if len(self.keys) > CACHE_WORDS:
             self.clear()
-        new = [w for w in dict.fromkeys(flat) if w not in self.index]
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
-        first = self.start[at]
-        size = self.start[at + 1] - first
-        total = int(size.sum())
+        distinct, first, inverse = np.unique(tokens.hash, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == distinct[inside]
+        if not known.all():
+            where = first[~known]
+            found = self._encode_parts([lowered[a:b].tobytes() for a, b in zip(tokens.start[where].tolist(),
+                                                                               tokens.end[where].tolist())])
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
+            new_slot = len(self.start) - 1 + np.arange(len(found))
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+            keys = np.concatenate([self.keys, distinct[~known]])
+            order = np.argsort(keys, kind="stable")
+            self.keys, self.slot = keys[order], np.concatenate([self.slot, new_slot])[order]
+            at = np.searchsorted(self.keys, distinct)
+        slot = self.slot[at][inverse]
+        begin = self.start[slot]
+        size = self.start[slot + 1] - begin
         done = np.cumsum(size)
-        ids = self.ids[np.repeat(first - (done - size), size) + np.arange(total)]
-        words_of = np.fromiter(map(len, split), np.int64, len(split))
-        cut = np.concatenate([[0], np.cumsum(words_of)])
-        ends = np.concatenate([[0], done])[cut]
-        return np.diff(ends), ids
-
-    def _learn(self, new: list[bytes]) -> None:
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for word, encoding in zip(new, encode([w.decode() for w in new], add_special_tokens=False)):
-            ids = encoding.ids
-            i = len(self.index)
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty(len(self.ids) + len(ids), np.uint32)])
-            if i + 2 > len(self.start):
-                self.start = np.concatenate([self.start, np.zeros(len(self.start), np.int64)])
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.start[i + 1] = self.used
-            self.index[word] = i
+        ids = self.ids[np.repeat(begin - (done - size), size) + np.arange(int(done[-1]))]
+        ends = np.concatenate([[0], done])
+        return np.diff(ends[np.searchsorted(tokens.row, np.arange(n + 1))]), ids
 
 
 _encoders: dict[str, _Encoder] = {}
@@ -109,7 +170,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
         encoder, part, at = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
             for batch in C.byte_slices(whole):
-                counts, ids = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+                counts, ids = encoder.encode(*C.text_buffer(batch.column("text")))
                 n = counts + 1
                 stop = np.cumsum(n)
                 out = np.full(int(stop[-1]), end_id, np.uint32)
