@@ -112,5 +112,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {fn.__name__: ready(fn) for fn in _ALL}
 
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+#: DuckDB SQL of the queries that SQL can express: every window of every text, joined as text.
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate": f"""
+        WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+        item AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+        win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n,
+                       array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+                FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM item WHERE len(w) > 0)),
+        docwin AS (SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+                   FROM (SELECT rid, w, n, unnest(range(1, CAST(len(w) - n + 2 AS BIGINT))) AS i
+                         FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+        hit AS (SELECT rid, i, n, win FROM docwin SEMI JOIN win USING (n, win)),
+        cover AS (SELECT rid, count(DISTINCT p) AS n_hit
+                  FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
+        found AS (SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+                  FROM (SELECT DISTINCT h.rid, CAST(win.item_id AS VARCHAR) AS id
+                        FROM (SELECT DISTINCT rid, n, win FROM hit) h JOIN win USING (n, win)) GROUP BY rid)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc LEFT JOIN cover USING (rid) LEFT JOIN found USING (rid)""",
+}
