@@ -1,0 +1,142 @@
+"""PII: base spans by plain regexes, revealing terms by direct counting."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quotalake.llm import pii as P
+from quotalake.llm import queries
+
+from .conftest import ODD
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def plain(text):
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))]
+    for kind, regex in (("card", CARD), ("phone", PHONE)):
+        for m in regex.finditer(text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if (16 <= len(digits) <= 19 and luhn(digits)) if kind == "card" else 8 <= len(digits) <= 15:
+                out.append((kind, *m.span()))
+    return out
+
+
+@given(st.text("a@.-_%+9 01é", max_size=40))
+@settings(max_examples=3000, deadline=None)
+def test_base_spans_match_plain_regexes(text):
+    assert P.base_spans(text) == plain(text)
+
+
+@given(st.lists(st.sampled_from(["4111 1111 1111 1111", "4111-1111-1111-1112", "1.2.3.4", "256.1.1.1", "0001.2.3.255", "+49 (30) 123-456",
+                                 "+1", "a.b@c.de", "x@y", "@", "@z.com", " ", ",", "7", "+", ".", "mail", "1.2.3.4.5"]), max_size=9))
+@settings(max_examples=2000, deadline=None)
+def test_base_spans_on_joined_pieces(pieces):
+    text = "".join(pieces)
+    assert P.base_spans(text) == plain(text)
+
+
+def test_long_runs_stay_linear():
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1" + "(" * 300_000, "a@" * 100_000, "9 " * 150_000, "a.b-" * 80_000 + "@"):
+        P.base_spans(text)
+
+
+def revealing(texts, generalise=P.GENERALISE, least=P.MIN_CONTEXTS):
+    term = re.compile("[A-Za-z\x80-\U0010ffff]+")
+    words, pairs, contexts, entities = Counter(), Counter(), {}, Counter()
+    for t in texts:
+        words.update(m.group().encode().lower() for m in term.finditer(t))
+        spans = plain(t)
+        for kind, a, b in spans:
+            entity = f"{kind}:{t[a:b].lower()}"
+            entities[entity] += 1
+            near = [m for m in term.finditer(t) if m.end() <= a][-5:] + [m for m in term.finditer(t) if m.start() >= b][:5]
+            near = [m.group().encode().lower() for m in near if not any(x < m.end() and m.start() < y for _, x, y in spans)]
+            for w in near:
+                if len(w) >= P.MIN_TERM:
+                    pairs[entity, w] += 1
+                    contexts.setdefault((entity, w), set()).add(tuple(near))
+    n, out = sum(words.values()), {}
+    for (entity, w), c in pairs.items():
+        ic = math.log2(n / (entities[entity] * 10))
+        pmi = math.log2(c * n / (words[w] * entities[entity] * 10))
+        if len(contexts[entity, w]) >= least and ic > 0 and pmi >= generalise * ic:
+            out[entity, w.decode()] = "remove" if pmi >= P.REMOVE * ic else "generalise"
+    return out
+
+
+def corpus():
+    rnd = random.Random(2)
+    filler = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        w = [rnd.choice(filler) for _ in range(60)]
+        if i % 10 == 0:
+            w[20:20] = [rnd.choice(filler), "Zorblatt", "ann.b@mail.org", rnd.choice(filler)]
+        if i % 15 == 1:
+            w[10:10] = ["wab", "10.0.0.7", rnd.choice(filler)]
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, "copied neighbour cc@mail.org copied text") for i in range(30)]
+    return rows
+
+
+def test_revealing_terms_match_direct_counting(docs):
+    rows = corpus()
+    df = docs(rows)
+    found = P.find_base(df)
+    got = {(r.entity, r.term): r.action for r in P.revealing_terms(df, P.C.materialise(found)).collect()}
+    want = revealing([t for _, t in rows])
+    assert got == want and want[("email:ann.b@mail.org", "zorblatt")] == "remove"
+    assert not any(e == "email:cc@mail.org" for e, _ in got)  # copies of one context are no evidence
+
+
+def test_terms_become_spans_and_texts_are_sanitised(docs):
+    odd = [(d and d + 1000, t) for d, t in ODD]
+    rows = [*corpus(), *odd, (300, "mail x@y.org or +49 30 1234567, card 4111 1111 1111 1111 at 8.8.8.8")]
+    df = docs(rows)
+    private = {r.doc_id: r for r in P.find_private(df).collect() if r.doc_id is not None}
+    text = dict(rows)[10]
+    at = text.index("Zorblatt")
+    assert [tuple(t) for t in private[10].terms] == [(at, at + 8, "remove")]
+    clean = P.sanitise(df)
+    assert clean.columns == df.columns and clean.count() == len(rows)
+    out = {r.doc_id: r.text for r in clean.collect()}
+    assert "Zorblatt" not in out[10] and "[EMAIL]" in out[10] and out[11] == dict(rows)[11].replace("10.0.0.7", "[IP]")
+    assert out[300] == "mail [EMAIL] or [PHONE], card [CARD] at [IP]"
+    assert out[1001] is None and out[1002] == "" and out[1005] in ("x", "y z")
+
+
+def test_query_on_whole_table(spark, sf_docs):
+    import hashlib
+
+    texts = {r.doc_id: r.text or "" for r in sf_docs.collect()}
+    rows = queries.op4_private_data(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = plain(texts[r.doc_id])
+        base = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest() and r.spans.startswith(base)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, _, _ in spans) for x in P.KINDS]
+
+
+def test_empty_tables(docs):
+    assert P.find_private(docs([])).count() == 0 and P.sanitise(docs([])).count() == 0
+    assert [r.base for r in P.find_private(docs([(1, None), (2, "")])).collect()] == ["", ""]
