@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quotalake.session import shared_scratch
 
 #: Bytes of text that are tokenised together; bounds the numpy temporaries.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -143,7 +143,7 @@ def _power_table(base: np.uint64, n: int, name: str) -> np.ndarray:
         with np.errstate(over="ignore"):
             have = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, base, np.uint64)]),
                               dtype=np.uint64)
-        if size > 4 * SLICE_BYTES:  # one very long text: do not keep its table
+        if size > 8 * SLICE_BYTES:  # one very long text: do not keep its table
             return have
         _powers[name] = have
     return have

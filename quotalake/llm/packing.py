@@ -38,7 +38,8 @@ from quotalake.llm import common as C
 
 SEQUENCE = 2048
 END_ID = 1
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 600_000
+SLICE_BYTES = 2 << 20
 MAX_BROADCAST_PARTS = 1 << 20
 
 
@@ -169,7 +170,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for batch in C.byte_slices(whole):
+            for batch in C.byte_slices(whole, limit=SLICE_BYTES):
                 counts, ids = encoder.encode(*C.text_buffer(batch.column("text")))
                 n = counts + 1
                 stop = np.cumsum(n)
