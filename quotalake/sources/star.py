@@ -368,7 +368,7 @@ class Star:
         cust = self._customer_territory
         opp = self.opportunities.withColumn("_draw", key_draw("opportunity_id", draws.TERRITORY))
         with_state = opp.join(cust, opp["customer_id"] == cust["_cid"], "left").drop("_cid")
-        all_reps = self.raw("supplier").count()  # one number
+        all_reps = self.salespeople_opening.count()  # one number
         return assign_territory(with_state, "_cstate", "_draw", self.salespeople_opening, "salesperson_id", "state",
                                 F.col("_state_reps"), F.lit(all_reps), "salesperson_id",
                                 self.config.rank_buckets).drop("_cstate", "_state_reps", "_draw")
