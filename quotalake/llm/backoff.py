@@ -14,7 +14,7 @@ arrays so that a row carries many of them:
 1. Documents are packed into blocks of about ``C.SLICE_BYTES`` of text, written
    once, compressed.
 2. Every block sends each of its distinct n-grams (all orders, as 64-bit hashes)
-   once, with its count, to the count-table partition that the hash names.
+   once, with its count, to the count-table partition that its hash names.
    A frequent n-gram thus sends one entry per block, not one per occurrence.
 3. Each partition adds up its part of the count table and answers every block
    in the order of its request.
@@ -46,6 +46,7 @@ ORDER = 2
 ALPHA = 0.4
 PART_BYTES = 512 << 10
 MAX_PARTS = 1 << 20
+HASH_BYTES = 6
 
 
 def block_table(docs: DataFrame) -> DataFrame:
@@ -88,7 +89,7 @@ class _Grams:
                 every.append(C.mix64(h + np.uint64(n)))
         joined = np.concatenate(every)
         grams, inverse, counts = np.unique(joined, return_inverse=True, return_counts=True)
-        part = (grams % np.uint64(parts)).astype(np.int64)
+        part = (C.mix64(grams) % np.uint64(parts)).astype(np.int64)
         sort = np.argsort(part, kind="stable")
         place = np.empty(len(sort), np.int64)
         place[sort] = np.arange(len(sort))
@@ -98,7 +99,12 @@ class _Grams:
 
 
 def requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
-    """(part, block, grams, counts): the distinct n-grams that a block asks a partition for."""
+    """(part, block, grams, counts): the distinct n-grams that a block asks a partition for.
+
+    ``grams`` holds ``HASH_BYTES`` bytes of each hash: the partition is drawn from
+    all of its bits, so within one, with some hundred thousand n-grams, 48 bits
+    leave a chance of about 1 in 10**5 that any two of them meet.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,27 +113,30 @@ def requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
                 if not len(g.grams):
                     continue
                 start = np.concatenate([[0], np.flatnonzero(np.diff(g.part)) + 1])
-                offsets = pa.array(np.append(start, len(g.part)).astype(np.int32))
+                edges = np.append(start, len(g.part)).astype(np.int32)
+                offsets = pa.array(edges)
+                short = g.grams.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(g.part[start]), pa.array(np.full(len(start), block.as_py())),
-                     pa.ListArray.from_arrays(offsets, pa.array(g.grams.view(np.int64))),
+                     pa.Array.from_buffers(pa.binary(), len(start), [
+                         None, pa.array(edges * HASH_BYTES).buffers()[1], pa.py_buffer(short)]),
                      pa.ListArray.from_arrays(offsets, pa.array(g.counts.astype(np.int32)))],
                     names=["part", "block", "grams", "counts"])
 
     return blocks.select("block", "size", "blob").mapInArrow(
-        run, "part long, block long, grams array<long>, counts array<int>")
+        run, "part long, block long, grams binary, counts array<int>")
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """Add up one partition of the count table and answer each of its requests."""
-    table = table.combine_chunks()
-    asked = table.column("grams").combine_chunks()
-    asked = asked.chunk(0) if isinstance(asked, pa.ChunkedArray) else asked
-    counts = table.column("counts").combine_chunks()
-    counts = counts.chunk(0) if isinstance(counts, pa.ChunkedArray) else counts
-    _, inverse = np.unique(asked.flatten().to_numpy(), return_inverse=True)
-    totals = np.bincount(inverse, weights=counts.flatten().to_numpy()).astype(np.int64)[inverse]
-    offsets = np.concatenate([[0], np.cumsum(asked.value_lengths().to_numpy())]).astype(np.int32)
+    raw = b"".join(table.column("grams").to_pylist())
+    asked = np.zeros((len(raw) // HASH_BYTES, 8), np.uint8)
+    asked[:, :HASH_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, HASH_BYTES)
+    counts = np.concatenate([x.flatten().to_numpy() for x in table.column("counts").chunks])
+    size = np.concatenate([x.value_lengths().to_numpy() for x in table.column("counts").chunks])
+    _, inverse = np.unique(asked.view(np.uint64).ravel(), return_inverse=True)
+    totals = np.bincount(inverse, weights=counts).astype(np.int64)[inverse]
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
     return pa.table({"part": table.column("part"), "block": table.column("block"),
                      "totals": pa.ListArray.from_arrays(pa.array(offsets), pa.array(totals))})
 
