@@ -11,7 +11,7 @@ document's score is the mean of log S over its words.
 Counts are relational, with the n-grams of a block of documents packed into
 arrays so that a row carries many of them:
 
-1. Documents are packed into blocks of about ``C.SLICE_BYTES`` of text, written
+1. Documents are packed into blocks of about ``BLOCK_BYTES`` of text, written
    once, compressed.
 2. Every block sends each of its distinct n-grams (all orders, as 64-bit hashes)
    once, with its count, to the count-table partition that its hash names.
@@ -47,6 +47,7 @@ ALPHA = 0.4
 PART_BYTES = 512 << 10
 MAX_PARTS = 1 << 20
 HASH_BYTES = 6
+BLOCK_BYTES = 4 << 20
 
 
 def block_table(docs: DataFrame) -> DataFrame:
@@ -55,9 +56,10 @@ def block_table(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack, block = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId() << 32
         for whole in batches:
-            for batch in C.byte_slices(whole):
+            for batch in C.byte_slices(whole, limit=BLOCK_BYTES):
                 offsets, data = C.text_buffer(batch.column("text"))
-                words = len(C.tokenise(offsets, data, C.ALNUM).row)
+                words = sum(len(C.tokenise(offsets[a:b + 1] - offsets[a], data[offsets[a]:offsets[b]], C.ALNUM).row)
+                            for a, b in _slices(offsets))
                 n = batch.num_rows
                 one = np.array([0, n], np.int32)
                 ids = batch.column("doc_id")
@@ -73,20 +75,36 @@ def block_table(docs: DataFrame) -> DataFrame:
         run, f"block long, doc_id array<{kind}>, size array<long>, blob binary, bytes long, words long")
 
 
+def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``C.SLICE_BYTES`` of text (a longer text stays alone)."""
+    row, n = 0, len(offsets) - 1
+    while row < n:
+        stop = int(np.searchsorted(offsets, offsets[row] + C.SLICE_BYTES, side="right")) - 1
+        stop = min(max(stop, row + 1), n)
+        yield row, stop
+        row = stop
+
+
 class _Grams:
     """The n-grams of a block: their distinct hashes by partition, and each word's own."""
 
     def __init__(self, size: np.ndarray, blob: bytes, order: int, parts: int):
         offsets = np.concatenate([[0], np.cumsum(size)])
         data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-        tokens = C.tokenise(offsets, C.ascii_lower(data), C.ALNUM)
-        self.row = tokens.row
-        self.first, every = [], []
-        for n in range(1, order + 1):
-            first, h = C.ngrams(tokens, n)
-            self.first.append(first)
-            with np.errstate(over="ignore"):
-                every.append(C.mix64(h + np.uint64(n)))
+        rows, firsts, hashes, words = [], [[] for _ in range(order)], [[] for _ in range(order)], 0
+        for a, b in _slices(offsets):  # bounds the temporaries of tokenising
+            tokens = C.tokenise(offsets[a:b + 1] - offsets[a], C.ascii_lower(data[offsets[a]:offsets[b]]), C.ALNUM)
+            rows.append(tokens.row + a)
+            for n in range(1, order + 1):
+                first, h = C.ngrams(tokens, n)
+                firsts[n - 1].append(first + words)
+                with np.errstate(over="ignore"):
+                    hashes[n - 1].append(C.mix64(h + np.uint64(n)))
+            words += len(tokens.row)
+        none = np.empty(0, np.int64)
+        self.row = np.concatenate([none, *rows])
+        self.first = [np.concatenate([none, *x]) for x in firsts]
+        every = [np.concatenate([none.view(np.uint64), *x]) for x in hashes]
         joined = np.concatenate(every)
         grams, inverse, counts = np.unique(joined, return_inverse=True, return_counts=True)
         part = (C.mix64(grams) % np.uint64(parts)).astype(np.int64)
@@ -160,7 +178,7 @@ def _score_block(blocks: pa.Table, answers: pa.Table, order: int, parts: int, al
             own = counts[inverse]
         known.append(total[g.of[k]] - own)
     outside = np.maximum(words - n_words[g.row] * leave_out, 1)
-    single = known[0] if order else np.empty(0)
+    single = known[0]
     with np.errstate(divide="ignore"):
         logs = np.where(single > 0, np.log(np.maximum(single, 1) / outside) + (order - 1) * np.log(alpha),
                         order * np.log(alpha) - np.log(outside))
@@ -171,6 +189,7 @@ def _score_block(blocks: pa.Table, answers: pa.Table, order: int, parts: int, al
         first = g.first[k][ok]
         logs[first + k] = np.log(known[k][ok] / context[first]) + (order - 1 - k) * np.log(alpha)
     sums = np.bincount(g.row, weights=logs, minlength=n)
+    pa.default_memory_pool().release_unused()
     mean = np.divide(sums, n_words, out=np.full(n, np.nan), where=n_words > 0)
     return pa.table({"doc_id": blocks.column("doc_id").chunk(0)[0].values, "n_words": pa.array(n_words),
                      "log_score": pa.array(sums), "mean_log_score": pa.array(mean, mask=n_words == 0)})
