@@ -14,7 +14,9 @@ share the segment itself or the segment with one bit masked out.
 4. Members of a signature are verified by exact bit distance, in blocks of at
    most ``BLOCK``: a larger signature is spread over all pairs of its blocks, so
    no task holds a whole group, nothing is dropped, and only a spanning forest
-   of each block's links is returned, never all pairs.
+   of each block's links is returned, never all pairs.  A signature of more than
+   ``MAX_BLOCKS`` blocks is cut again, by the same rule, in the bits that its
+   members may still differ in, until few different fingerprints can be left.
 5. Linked fingerprints are joined to components; a document's component is the
    smallest doc_id among all of its fingerprint's component.
 
@@ -42,6 +44,7 @@ SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 BLOCK = 8192
+MAX_BLOCKS = 16
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -80,19 +83,31 @@ def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.mapInArrow(run, ", ".join([*kinds, "fingerprint long"]))
 
 
-def signatures(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(sig, fp, bit): every segment of ``fp`` whole (bit null) and with each bit masked out."""
+def signatures(rows: DataFrame, max_bits: int = MAX_BITS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per segment of ``rest`` whole (bit null) and with each of its bits masked out.
+
+    ``rows`` has sig, fp and the ``width`` low bits of ``rest`` that members of
+    ``sig`` may still differ in.  Returns fp, ``carry``, the new sig, bit and segment.
+    """
+    n = max_bits // 2 + 1
+    lo, hi = f"int(width * s div {n})", f"int(width * (s + 1) div {n})"
+    mask = f"if({hi} - {lo} = 64, -1L, shiftleft(1L, least({hi} - {lo}, 62)) - 1)"
+    value = f"(shiftrightunsigned(rest, {lo}) & {mask})"
+    variants = (f"transform(sequence(-1, {hi} - {lo} - 1), i -> named_struct("
+                f"'sig', xxhash64(sig, s, i, if(i < 0, {value}, {value} & ~shiftleft(1L, greatest(i, 0)))), "
+                f"'bit', if(i < 0, null, int(shiftrightunsigned({value}, greatest(i, 0)) & 1)), 'segment', s))")
+    return (rows.select("fp", *carry,
+                        F.explode(F.expr(f"flatten(transform(sequence(0, {n - 1}), s -> {variants}))")).alias("v"))
+            .select("fp", *carry, "v.sig", "v.bit", "v.segment"))
+
+
+def _refined(members: DataFrame, max_bits: int) -> DataFrame:
+    """Rows of a signature without the segment that its members share."""
     n = max_bits // 2 + 1
-    edges = [64 * i // n for i in range(n + 1)]
-    rows = []
-    for s, (lo, hi) in enumerate(zip(edges, edges[1:])):
-        value = f"(shiftrightunsigned(fp, {lo}) & {(1 << (hi - lo)) - 1}L)" if hi - lo < 64 else "fp"
-        rows.append(f"array(named_struct('sig', xxhash64({s}, -1, {value}), 'bit', cast(null as int)))")
-        rows.append(f"transform(sequence(0, {hi - lo - 1}), i -> named_struct("
-                    f"'sig', xxhash64({s}, i, {value} & ~shiftleft(1L, i)), "
-                    f"'bit', int(shiftrightunsigned({value}, i) & 1)))")
-    return (prints.select("fp", F.explode(F.expr(f"concat({', '.join(rows)})")).alias("v"))
-            .select("fp", "v.sig", "v.bit"))
+    lo, hi = f"int(width * segment div {n})", f"int(width * (segment + 1) div {n})"
+    above = f"if({hi} >= width, 0L, shiftleft(shiftrightunsigned(rest, {hi}), {lo}))"
+    return members.select("sig", "fp", F.expr(f"{above} | (rest & (shiftleft(1L, {lo}) - 1))").alias("rest"),
+                          F.expr(f"width - ({hi} - {lo})").alias("width"))
 
 
 def _forest(members: np.ndarray, max_bits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -157,19 +172,42 @@ def _block_links(max_bits: int):
     return run
 
 
-def near_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+def near_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK,
+               max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """(a, b): links between distinct fingerprints (column ``fp``) that connect all that are near."""
-    rows = signatures(prints, max_bits)
-    shared = (rows.groupBy("sig")
-              .agg(F.count(F.lit(1)).alias("n"), F.min("bit").alias("lo"), F.max("bit").alias("hi"))
-              .where("n > 1 AND (lo IS NULL OR lo < hi)")
-              .select("sig", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks")))
+    # the table of prints is small and each row becomes many: spread it first
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    start = prints.select("fp").repartition(parts)
+    rows = start.select(F.lit(0).cast("long").alias("sig"), "fp", F.col("fp").alias("rest"), F.lit(64).alias("width"))
+    links, carry = None, ()
+    while True:
+        signed = signatures(rows, max_bits, carry)
+        shared = C.materialise(
+            signed.groupBy("sig")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("bit").alias("lo"), F.max("bit").alias("hi"))
+            .where("n > 1 AND (lo IS NULL OR lo < hi)")
+            .select("sig", F.ceil(F.col("n") / F.lit(block)).cast("long").alias("blocks")))
+        found = _verified(signed.join(shared.where(F.col("blocks") <= max_blocks), "sig"), max_bits)
+        links = found if links is None else links.unionByName(found)
+        large = shared.where(F.col("blocks") > max_blocks).select("sig")
+        if not large.limit(1).count():
+            return links.distinct()
+        # Members of a large signature are cut anew in the bits that they may still differ in.
+        # Each round fixes more bits, so that soon only few different fingerprints are left.
+        members = signed.join(large, "sig")
+        if not carry:
+            members = members.withColumns({"rest": F.col("fp"), "width": F.lit(64)})
+        rows, carry = C.materialise(_refined(members, max_bits)), ("rest", "width")
+
+
+def _verified(members: DataFrame, max_bits: int) -> DataFrame:
+    """Links inside each signature, over all pairs of its blocks."""
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    members = (rows.join(shared, "sig").select("sig", "fp", own.alias("own"), "blocks")
-               .select("sig", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-               .select("sig", "fp", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2")))
-    return (members.repartition("sig", "b1", "b2").sortWithinPartitions("sig", "b1", "b2")
-            .mapInArrow(_block_links(max_bits), "a long, b long").distinct())
+    pairs = (members.select("sig", "fp", own.alias("own"), "blocks")
+             .select("sig", "fp", "own", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("other"))
+             .select("sig", "fp", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2")))
+    return (pairs.repartition("sig", "b1", "b2").sortWithinPartitions("sig", "b1", "b2")
+            .mapInArrow(_block_links(max_bits), "a long, b long"))
 
 
 def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:

@@ -71,8 +71,10 @@ def test_whole_table(sf_docs):
     assert got(sf_docs) == components(rows)
 
 
-@pytest.mark.parametrize("bits,block", [(3, 8192), (3, 5), (1, 4), (2, 3), (4, 6), (5, 8192)])
-def test_links_connect_exactly_the_near_fingerprints(spark, docs, bits, block):
+@pytest.mark.parametrize("bits,block,blocks", [(3, 8192, 16), (3, 5, 100), (1, 4, 2), (2, 3, 100), (4, 6, 100),
+                                               (5, 8192, 16), (3, 4, 2), (2, 8, 1), (4, 8, 2)])
+def test_links_connect_exactly_the_near_fingerprints(spark, docs, bits, block, blocks):
+    """Also with signatures that are spread over blocks, and cut again where they have too many."""
     rnd = random.Random(bits * 100 + block)
     values = set()
     for _ in range(6):
@@ -85,7 +87,7 @@ def test_links_connect_exactly_the_near_fingerprints(spark, docs, bits, block):
     values |= {rnd.getrandbits(64) for _ in range(50)} | {0, (1 << 64) - 1, 1 << 63}
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     prints = spark.createDataFrame([(v,) for v in signed], "fp long").repartition(4)
-    links = [(r.a & (1 << 64) - 1, r.b & (1 << 64) - 1) for r in S.near_links(prints, bits, block).collect()]
+    links = [(r.a & (1 << 64) - 1, r.b & (1 << 64) - 1) for r in S.near_links(prints, bits, block, blocks).collect()]
     assert all(0 < (a ^ b).bit_count() <= bits for a, b in links)
     parent = {v: v for v in values}
 
