@@ -54,7 +54,8 @@ NOT_NULL = (
     ("pipeline", "opportunities", ("opportunity_id", "customer_id", "stage", "probability", "expected_close_date",
                                    "expected_revenue")),
     ("pipeline", "pipeline", ("salesperson_id", "product_id")),
-    ("targets", "targets", ("salesperson_id", "year", "month", "monthly_target")),
+    ("targets", "target_keys", ("salesperson_id", "year", "month")),
+    ("targets", "targets", ("monthly_target",)),
     ("calendar", "calendar", ("date", "year", "quarter", "month", "month_name", "week", "day", "financial_year")),
 )
 
@@ -66,7 +67,7 @@ FOREIGN_KEYS = (
     ("pipeline.customer_id", "opportunities", "customer_id", "customers_source", "customer_id"),
     ("pipeline.salesperson_id", "pipeline", "salesperson_id", "salespeople_source", "salesperson_id"),
     ("pipeline.product_id", "pipeline", "product_id", "products", "product_id"),
-    ("targets.salesperson_id", "targets", "salesperson_id", "salespeople_source", "salesperson_id"),
+    ("targets.salesperson_id", "target_keys", "salesperson_id", "salespeople_source", "salesperson_id"),
 )
 
 
@@ -85,7 +86,8 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 # A unique key of the pipeline or of sales needs none of their joins.
-_KEY_FRAMES = {"pipeline": "opportunities", "customers": "customers_source", "salespeople": "salespeople_source"}
+_KEY_FRAMES = {"pipeline": "opportunities", "customers": "customers_source", "salespeople": "salespeople_source",
+               "targets": "target_keys"}
 
 
 def audit_unique(star: Star) -> DataFrame:
@@ -109,15 +111,15 @@ def audit_fk(star: Star) -> DataFrame:
     frames = []
     for child in dict.fromkeys(link[1] for link in links):
         own = [link for link in links if link[1] == child]
-        pairs = F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(col).cast("long").alias("k"))
-                                    for rule, _, col, _, _ in own]))
+        pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(col).cast("long").alias("k"))
+                                    for i, (_, _, col, _, _) in enumerate(own)]))
         keys = (_star_table(star, child).select(pairs.alias("x")).select("x.rule", "x.k").where("k IS NOT NULL")
                 .groupBy("rule", "k").agg(F.count(F.lit(1)).alias("n")))
-        parents = _union([_star_table(star, parent).select(F.lit(rule).alias("rule"), F.col(pcol).cast("long").alias("k"))
-                          for rule, _, _, parent, pcol in own])
+        parents = _union([_star_table(star, parent).select(F.lit(i).alias("rule"), F.col(pcol).cast("long").alias("k"))
+                          for i, (_, _, _, parent, pcol) in enumerate(own)])
         orphans = keys.join(parents, ["rule", "k"], "left_anti")
-        sums = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("rule") == rule, F.col("n"))), F.lit(0)).alias(f"_r{i}")
-                             for i, (rule, *_) in enumerate(own)])
+        sums = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("n"))), F.lit(0)).alias(f"_r{i}")
+                             for i in range(len(own))])
         stack = ", ".join(f"'fk:{rule}', '{rule.split('.')[0]}', `_r{i}`" for i, (rule, *_) in enumerate(own))
         frames.append(sums.selectExpr(f"stack({len(own)}, {stack}) AS (rule, table_name, violations)")
                       .select("rule", "table_name", F.col("violations").cast("long").alias("violations")))

@@ -103,7 +103,7 @@ class NativeStar(Star):
 
     def audit_frames(self) -> dict[str, DataFrame]:
         return {"customers_source": self.customers, "salespeople_source": self.salespeople_opening,
-                "salespeople": self.salespeople_opening, "sales_source": self.sales, "sales_order_source": self.sales}
+                "salespeople": self.salespeople_opening, "sales_source": self.sales, "sales_order_source": self.sales, "target_keys": self.targets}
 
     def materialize(self, path: str | None = None, partitions: int | None = None):
         raise TypeError("the tables are stored already")

@@ -421,6 +421,10 @@ class Star:
             "sales_order_source": self.raw("orders").select(
                 F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
                 F.col("o_orderdate").alias("sale_date")),
+            # the keys of the generated targets, without the rescale that needs all sales
+            "target_keys": build.build_targets(
+                self.salespeople_opening.withColumn("annual_cents", money_cents(F.col("annual_target"))),
+                *self.calendar_range),
         }
 
     # --- materialization ----------------------------------------------------
