@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A word starts after any character that is not a letter or digit (SQL INITCAP).
-_WORD_CHAR = r"[\p{L}\p{N}]"
+# Runs of letters and digits, and what lies between them (SQL INITCAP's words).
+_PIECES = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
 
 
 def full_name(first: Column, last: Column) -> Column:
@@ -19,15 +19,9 @@ def title_case(s: Column) -> Column:
 
     Unlike Spark's ``initcap`` (which only breaks on spaces), a word starts
     after any non-alphanumeric character: ``o'brien-smith`` -> ``O'Brien-Smith``.
-    Built from higher-order array functions over the characters, so it stays a
-    JVM expression (no Python UDF).
+    One regex pass cuts the string into words and the rest; then only the few
+    pieces are touched, all in JVM expressions.
     """
-    chars = F.split(s, "")
-    cased = F.transform(
-        chars,
-        # element_at is 1-based: position i holds the character before c; the
-        # index is clamped so the first character never asks for position 0
-        lambda c, i: F.when((i == 0) | ~F.element_at(chars, F.greatest(i, F.lit(1))).rlike(_WORD_CHAR),
-                            F.upper(c))
-        .otherwise(F.lower(c)))
-    return F.when(s.isNull(), F.lit(None).cast("string")).otherwise(F.array_join(cased, ""))
+    pieces = F.regexp_extract_all(s, F.lit(_PIECES), F.lit(0))
+    return F.array_join(F.transform(
+        pieces, lambda p: F.concat(F.upper(F.left(p, F.lit(1))), F.lower(F.substr(p, F.lit(2))))), "")
