@@ -47,6 +47,7 @@ ALPHA = 0.4
 PART_BYTES = 512 << 10
 MAX_PARTS = 1 << 20
 HASH_BYTES = 6
+SMALL = (1 << 16) - 1
 BLOCK_BYTES = 4 << 20
 
 
@@ -154,9 +155,34 @@ def _answer(table: pa.Table) -> pa.Table:
     size = np.concatenate([x.value_lengths().to_numpy() for x in table.column("counts").chunks])
     _, inverse = np.unique(asked.view(np.uint64).ravel(), return_inverse=True)
     totals = np.bincount(inverse, weights=counts).astype(np.int64)[inverse]
-    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-    return pa.table({"part": table.column("part"), "block": table.column("block"),
-                     "totals": pa.ListArray.from_arrays(pa.array(offsets), pa.array(totals))})
+    return _packed(table.column("part"), table.column("block"), totals, size)
+
+
+def _packed(part: pa.ChunkedArray, block: pa.ChunkedArray, totals: np.ndarray, size: np.ndarray) -> pa.Table:
+    """Totals of each request as two-byte numbers; ``at`` and ``big`` hold those that do not fit."""
+    edges = np.concatenate([[0], np.cumsum(size)])
+    small = np.minimum(totals, SMALL).astype("<u2").tobytes()
+    place = np.flatnonzero(totals >= SMALL)
+    row = np.searchsorted(edges, place, side="right") - 1
+    cuts = pa.array(np.searchsorted(row, np.arange(len(size) + 1)).astype(np.int32))
+    return pa.table({
+        "part": part, "block": block,
+        "small": pa.Array.from_buffers(pa.binary(), len(size), [
+            None, pa.array((2 * edges).astype(np.int32)).buffers()[1], pa.py_buffer(small)]),
+        "at": pa.ListArray.from_arrays(cuts, pa.array((place - edges[row]).astype(np.int32))),
+        "big": pa.ListArray.from_arrays(cuts, pa.array(totals[place]))})
+
+
+def _unpacked(answers: pa.Table) -> np.ndarray:
+    """All totals of the rows in order."""
+    none = np.empty(0, np.int64)
+    blobs = answers.column("small").to_pylist()
+    total = np.frombuffer(b"".join(blobs), "<u2").astype(np.int64)
+    start = np.cumsum([0, *map(len, blobs)])[:-1] // 2
+    count = np.concatenate([none, *[x.value_lengths().to_numpy() for x in answers.column("at").chunks]])
+    at, big = (np.concatenate([none, *[x.flatten().to_numpy() for x in answers.column(c).chunks]]) for c in ("at", "big"))
+    total[np.repeat(start, count) + at] = big
+    return total
 
 
 def _score_block(blocks: pa.Table, answers: pa.Table, order: int, parts: int, alpha: float, words: int,
@@ -165,8 +191,7 @@ def _score_block(blocks: pa.Table, answers: pa.Table, order: int, parts: int, al
     size = np.array(row["size"][0], np.int64)
     g = _Grams(size, row["blob"][0], order, parts)
     n = len(size)
-    answers = answers.sort_by("part")
-    total = np.concatenate([np.empty(0, np.int64), *[x.values.to_numpy() for x in answers.column("totals")]])
+    total = _unpacked(answers.sort_by("part"))
     n_words = np.bincount(g.row, minlength=n)
     # occurrences within the document itself, for every n-gram of it
     known, logs = [], np.zeros(len(g.row))
@@ -202,7 +227,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_out:
     parts = min(max(64, -(-(size or 0) // PART_BYTES)), MAX_PARTS)
     total = words or 0
     answers = (requests(blocks, order, parts).groupBy("part")
-               .applyInArrow(_answer, "part long, block long, totals array<long>"))
+               .applyInArrow(_answer, "part long, block long, small binary, at array<int>, big array<long>"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:

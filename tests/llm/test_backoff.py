@@ -6,6 +6,8 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from quotalake.llm import backoff as B
@@ -69,3 +71,13 @@ def test_null_score_and_empty_table(docs):
     r = {x.doc_id: x for x in B.score(docs([(1, None), (2, "a"), (3, "a")])).collect()}
     assert r[1].mean_log_score is None and r[1].n_words == 0 and r[2].mean_log_score is not None
     assert B.score(docs([])).count() == 0
+
+
+def test_large_totals_survive_packing():
+    totals = np.array([1, 2, 65534, 65535, 65536, 10**12, 3, 70_000], np.int64)
+    size = np.array([3, 0, 4, 1])
+    table = B._packed(pa.chunked_array([[0, 1, 2, 3]]), pa.chunked_array([[9, 9, 9, 9]]), totals, size)
+    assert B._unpacked(table).tolist() == totals.tolist()
+    moved = B._unpacked(table.take([2, 0, 1, 3]))
+    assert moved.tolist() == [65535, 65536, 10**12, 3, 1, 2, 65534, 70_000]
+    assert B._unpacked(table.slice(0, 0)).tolist() == []
