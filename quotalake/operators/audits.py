@@ -72,7 +72,7 @@ FOREIGN_KEYS = (
 
 
 def _star_table(star: Star, name: str) -> DataFrame:
-    frames = star.audit_frames()
+    frames = star.audit_frames
     return frames[name] if name in frames else getattr(star, name)
 
 
@@ -104,26 +104,29 @@ def audit_fk(star: Star) -> DataFrame:
     """Child rows whose non-NULL reference has no parent row.
 
     Child keys are counted first (a hot key becomes one row), the distinct keys
-    anti-joined, and the counts of the orphans summed.  The references of one
-    child frame share its scan; so the pipeline is planned once.
+    anti-joined, and the counts of the orphans summed.  A source table is read
+    one key column at a time; the pipeline, which takes joins to build, is
+    built once for all of its references.
     """
     links = [*FOREIGN_KEYS, *star.more_foreign_keys]
-    frames = []
-    for child in dict.fromkeys(link[1] for link in links):
-        own = [link for link in links if link[1] == child]
-        pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(col).cast("long").alias("k"))
-                                    for i, (_, _, col, _, _) in enumerate(own)]))
-        keys = (_star_table(star, child).select(pairs.alias("x")).select("x.rule", "x.k").where("k IS NOT NULL")
-                .groupBy("rule", "k").agg(F.count(F.lit(1)).alias("n")))
-        parents = _union([_star_table(star, parent).select(F.lit(i).alias("rule"), F.col(pcol).cast("long").alias("k"))
-                          for i, (_, _, _, parent, pcol) in enumerate(own)])
-        orphans = keys.join(parents, ["rule", "k"], "left_anti")
-        sums = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("n"))), F.lit(0)).alias(f"_r{i}")
-                             for i in range(len(own))])
-        stack = ", ".join(f"'fk:{rule}', '{rule.split('.')[0]}', `_r{i}`" for i, (rule, *_) in enumerate(own))
-        frames.append(sums.selectExpr(f"stack({len(own)}, {stack}) AS (rule, table_name, violations)")
-                      .select("rule", "table_name", F.col("violations").cast("long").alias("violations")))
-    return _union(frames)
+    frames = [_orphans(star, [link]) for link in links if link[1] != "pipeline"]
+    return _union([*frames, _orphans(star, [link for link in links if link[1] == "pipeline"])])
+
+
+def _orphans(star: Star, links: list[tuple[str, ...]]) -> DataFrame:
+    """One row per reference of one child frame."""
+    child = _star_table(star, links[0][1])
+    pairs = [F.struct(F.lit(i).alias("rule"), F.col(link[2]).cast("long").alias("k")) for i, link in enumerate(links)]
+    pair = F.explode(F.array(*pairs)) if len(pairs) > 1 else pairs[0]
+    keys = (child.select(pair.alias("x")).select("x.rule", "x.k").where("k IS NOT NULL")
+            .groupBy("rule", "k").agg(F.count(F.lit(1)).alias("n")))
+    parents = _union([_star_table(star, parent).select(F.lit(i).alias("rule"), F.col(col).cast("long").alias("k"))
+                      for i, (_, _, _, parent, col) in enumerate(links)])
+    sums = keys.join(parents, ["rule", "k"], "left_anti").agg(
+        *[F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("n"))), F.lit(0)).alias(f"_r{i}") for i in range(len(links))])
+    stack = ", ".join(f"'fk:{rule}', '{rule.split('.')[0]}', `_r{i}`" for i, (rule, *_) in enumerate(links))
+    return (sums.selectExpr(f"stack({len(links)}, {stack}) AS (rule, table_name, violations)")
+            .select("rule", "table_name", F.col("violations").cast("long").alias("violations")))
 
 
 def _per_frame(star: Star, rules: dict[tuple[str, str], list[tuple[str, Column]]]) -> DataFrame:

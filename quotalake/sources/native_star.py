@@ -101,6 +101,7 @@ class NativeStar(Star):
 
     more_foreign_keys = ()
 
+    @cached_property
     def audit_frames(self) -> dict[str, DataFrame]:
         return {"customers_source": self.customers, "salespeople_source": self.salespeople_opening,
                 "salespeople": self.salespeople_opening, "sales_source": self.sales, "sales_order_source": self.sales, "target_keys": self.targets}

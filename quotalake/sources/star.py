@@ -402,6 +402,7 @@ class Star:
         ("salespeople.state", "salespeople_source", "nation_key", "nations", "n_nationkey"),
     )
 
+    @cached_property
     def audit_frames(self) -> dict[str, DataFrame]:
         """The source tables under the star's column names, before any join."""
         first, last = (F.split_part(F.col("s_name"), F.lit("#"), F.lit(i)) for i in (1, 2))
