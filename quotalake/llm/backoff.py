@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from quotalake.llm import common as C
 
-ORDER = 2
+ORDER = 3
 ALPHA = 0.4
 PART_BYTES = 512 << 10
 MAX_PARTS = 1 << 20

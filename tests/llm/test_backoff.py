@@ -81,3 +81,10 @@ def test_large_totals_survive_packing():
     moved = B._unpacked(table.take([2, 0, 1, 3]))
     assert moved.tolist() == [65535, 65536, 10**12, 3, 1, 2, 65534, 70_000]
     assert B._unpacked(table.slice(0, 0)).tolist() == []
+
+
+def test_registered_score_has_two_words_of_context(docs):
+    rows = [(1, "a b c d"), (2, "a b c d"), (3, "x b c y"), (4, "b c d a b"), (5, "c d a b c")]
+    got = {r.doc_id: r.log_score for r in B.score(docs(rows)).collect()}
+    for (d, _), (_, want) in zip(rows, brute([t for _, t in rows], 3)):
+        assert abs(got[d] - want) < 1e-9
