@@ -12,10 +12,13 @@ information content:
     IC(e)     = log2(N / (n_e * 2 * CONTEXT)),
 
 with n_te the co-occurrences, n_t and n_e all occurrences of term and entity
-and N the corpus words.  A term with PMI >= ``GENERALISE`` * IC is generalised
-where it stands beside the entity, and with PMI >= ``REMOVE`` * IC removed, if
-the two share at least ``MIN_CONTEXTS`` different contexts (so that copies of
-one text are no evidence).  Its places are added as spans of kind ``term``.
+and N the corpus words.  A term with PMI >= ``GENERALISE`` * IC is generalised,
+and with PMI >= ``REMOVE`` * IC removed, if the two share at least
+``MIN_CONTEXTS`` different contexts (so that copies of one text are no
+evidence).  It goes wherever it stands, in documents without the entity too, but
+for places inside base spans; of several entities the strongest action counts.
+The documents are scanned again for these terms, by a bitmap of fixed size and
+an equality join; their places are added as spans of kind ``term``.
 
 Corpus counts cover every document.  They are kept for the words that may be a
 candidate term, chosen by a bitmap of fixed size, so what is shuffled is at
@@ -120,14 +123,14 @@ def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
                  if not any(x < m.end() and m.start() < y for _, x, y in spans)]
         context = xxhash.xxh64_intdigest(b" ".join(t for t, _, _ in terms), 0) - (1 << 63)
         out += [{"entity": f"{kind}:{text[a:b].lower()}", "context": context, "term": t.decode("utf-8", "replace"),
-                 "term_hash": C.hash_bytes(t) - (1 << 63), "start": s, "stop": e}
-                for t, s, e in terms if len(t) >= MIN_TERM]
+                 "term_hash": C.hash_bytes(t) - (1 << 63)}
+                for t, _, _ in terms if len(t) >= MIN_TERM]
     return out
 
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("entity", pa.string())]))
 _CONTEXTS = pa.list_(pa.struct([("entity", pa.string()), ("context", pa.int64()), ("term", pa.string()),
-                                ("term_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())]))
+                                ("term_hash", pa.int64())]))
 
 
 def find_base(docs: DataFrame) -> DataFrame:
@@ -156,7 +159,7 @@ def find_base(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"], docs["text"], F.xxhash64(docs["text"]).alias("text_hash")).mapInArrow(
         run, f"row long, doc_id {kind}, text_hash long, base string, "
         "spans array<struct<kind:string,start:int,stop:int,entity:string>>, "
-        "contexts array<struct<entity:string,context:long,term:string,term_hash:long,start:int,stop:int>>")
+        "contexts array<struct<entity:string,context:long,term:string,term_hash:long>>")
 
 
 def corpus_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -182,40 +185,84 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
 
 
+def _wanted(terms: DataFrame) -> np.ndarray:
+    """The hash buckets of ``terms``."""
+    buckets = (terms.select(F.shiftrightunsigned(F.col("term_hash").bitwiseXOR(F.lit(-(1 << 63))), 64 - BITMAP_BITS)
+                            .alias("b")).distinct().collect())  # at most 2 ** BITMAP_BITS
+    wanted = np.zeros(1 << BITMAP_BITS, bool)
+    wanted[[r.b for r in buckets]] = True
+    return wanted
+
+
 def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE,
                     min_contexts: int = MIN_CONTEXTS) -> DataFrame:
-    """(entity, term, pmi, ic, action) of the terms above the disclosure threshold."""
+    """(entity, term, term_hash, pmi, ic, action) of the terms above the disclosure threshold."""
     entities = found.select(F.explode("spans").alias("s")).groupBy("s.entity").agg(F.count(F.lit(1)).alias("n_e"))
     candidates = C.materialise(
         found.select(F.explode("contexts").alias("c")).select("c.*")
         .groupBy("entity", "term", "term_hash", "context").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term", "term_hash").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("support"))
         .where(F.col("support") >= min_contexts))
-    buckets = (candidates.select(F.shiftrightunsigned(F.col("term_hash").bitwiseXOR(F.lit(-(1 << 63))), 64 - BITMAP_BITS)
-                                 .alias("b")).distinct().collect())  # at most 2 ** BITMAP_BITS
-    wanted = np.zeros(1 << BITMAP_BITS, bool)
-    wanted[[r.b for r in buckets]] = True
-    counts = C.materialise(corpus_counts(docs, wanted))
+    counts = C.materialise(corpus_counts(docs, _wanted(candidates)))
     total = (counts.where("term_hash IS NULL").first() or [None, 0])[1]
     pmi = F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e") * F.lit(2.0 * CONTEXT)))
     ic = F.log2(F.lit(float(total)) / (F.col("n_e") * F.lit(2.0 * CONTEXT)))
     return (candidates.join(counts.select("term_hash", F.col("n").alias("n_t")), "term_hash")
             .join(entities, "entity")
-            .select("entity", "term", pmi.alias("pmi"), ic.alias("ic"))
+            .select("entity", "term", "term_hash", pmi.alias("pmi"), ic.alias("ic"))
             .where((F.col("ic") > 0) & (F.col("pmi") >= generalise * F.col("ic")))
             .withColumn("action", F.when(F.col("pmi") >= remove * F.col("ic"), "remove").otherwise("generalise")))
 
 
+def term_places(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """(id_hash, text_hash, term, start, stop): the words in ``wanted`` buckets outside of base spans."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in C.byte_slices(whole):
+                offsets, data = C.text_buffer(batch.column("text"))
+                lowered = C.ascii_lower(data)
+                words = C.tokenise(offsets, lowered, _TERM_BYTES)
+                hit = np.flatnonzero(wanted[_bucket(words.hash)])
+                if not len(hit):
+                    continue
+                row, begin, end = words.row[hit], words.start[hit], words.end[hit]
+                letters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before a byte
+                start, stop = letters[begin] - letters[offsets[row]], letters[end] - letters[offsets[row]]
+                free = np.ones(len(hit), bool)
+                for r in np.unique(row).tolist():
+                    text = batch.column("text")[r].as_py()
+                    spans = base_spans(text)
+                    if spans:
+                        inside = np.zeros(len(text) + 1, np.int64)
+                        for _, x, y in spans:
+                            inside[x + 1:y + 1] = 1
+                        inside, mine = np.cumsum(inside), row == r
+                        free[mine] = inside[stop[mine]] == inside[start[mine]]
+                row, start, stop, begin, end = (x[free] for x in (row, start, stop, begin, end))
+                terms = [lowered[x:y].tobytes().decode("utf-8", "replace") for x, y in zip(begin.tolist(), end.tolist())]
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id_hash").take(take), batch.column("text_hash").take(take), pa.array(terms, pa.string()),
+                     pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))],
+                    names=["id_hash", "text_hash", "term", "start", "stop"])
+
+    return docs.select(F.xxhash64(docs["doc_id"]).alias("id_hash"), F.xxhash64(docs["text"]).alias("text_hash"), docs["text"]
+                       ).mapInArrow(run, "id_hash long, text_hash long, term string, start int, stop int")
+
+
 def find_private(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, base, spans, terms) of every row; terms: array of (start, stop, action)."""
     found = C.materialise(find_base(docs))
-    flagged = revealing_terms(docs, found)
-    places = (found.select("row", F.explode("contexts").alias("c")).select("row", "c.entity", "c.term", "c.start", "c.stop")
-              .join(flagged.select("entity", "term", "action"), ["entity", "term"])
-              .groupBy("row", "start", "stop").agg(F.max("action").alias("action"))
-              .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "action"))).alias("terms")))
+    flagged = C.materialise(revealing_terms(docs, found).groupBy("term", "term_hash").agg(F.max("action").alias("action")))
     none = F.expr("cast(array() as array<struct<start:int,stop:int,action:string>>)")
-    return (found.join(places, "row", "left")
+    wanted = _wanted(flagged)
+    if not wanted.any():
+        return found.select("doc_id", "text_hash", "base", "spans", none.alias("terms"))
+    places = (term_places(docs, wanted).join(flagged.select("term", "action"), "term")
+              .groupBy("id_hash", "text_hash")
+              .agg(F.sort_array(F.collect_set(F.struct("start", "stop", "action"))).alias("terms")))
+    return (found.withColumn("id_hash", F.xxhash64("doc_id")).join(places, ["id_hash", "text_hash"], "left")
             .select("doc_id", "text_hash", "base", "spans", F.coalesce("terms", none).alias("terms")))
 
 

@@ -140,3 +140,21 @@ def test_query_on_whole_table(spark, sf_docs):
 def test_empty_tables(docs):
     assert P.find_private(docs([])).count() == 0 and P.sanitise(docs([])).count() == 0
     assert [r.base for r in P.find_private(docs([(1, None), (2, "")])).collect()] == ["", ""]
+
+
+def test_flagged_terms_go_wherever_they_stand(docs):
+    far = "è " + " ".join(f"far{chr(97 + i)}" for i in range(20))
+    rows = [(i, f"{t} {far} ZORBLATT, {far}" if i == 10 else t) for i, t in corpus()]
+    rows += [(500, f"{far} zorblatt"), (501, "write to zorblatt@else.org"), (501, "zorblattx zorblat"), (None, "é Zorblatt é")]
+    df = docs(rows)
+    flagged = {t for (_, t), _ in revealing([t for _, t in rows]).items()}
+    assert "zorblatt" in flagged
+    got = sorted((r.doc_id or -1, sorted((t.start, t.stop) for t in r.terms)) for r in P.find_private(df).collect())
+    want = []
+    for d, t in rows:
+        spans = plain(t)
+        want.append((d or -1, [m.span() for m in P._TERM.finditer(t) if m.group().encode().lower().decode() in flagged
+                               and not any(x < m.end() and m.start() < y for _, x, y in spans)]))
+    assert got == sorted(want)
+    clean = [(r.text or "").lower() for r in P.sanitise(df).collect()]
+    assert not any(re.search(r"\bzorblatt\b", t) for t in clean)
