@@ -57,13 +57,17 @@ _NO_TAIL = C.byte_class((0x30, 0x39), (0x27, 0x27)).astype(bool)  # digits, apos
 
 
 def units(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, C.Tokens]:
-    """(bytes lower-cased in A-Z, parts of the texts whose ids do not depend on each other).
+    """(bytes lower-cased in A-Z (see below), parts of the texts whose ids do not depend on each other).
 
     A part is a run without ASCII white space; marks that end it behind a letter
     are a part by themselves, which the pre-tokenizer would split off as well.
-    Texts with a special token's "<|" keep their case and their runs whole.
+    Texts with a special token's "<|" keep their case and their runs whole.  So does
+    a letter before a non-ASCII byte: the normaliser composes marks with it before
+    it lower-cases, and some marks compose with the small letter only.
     """
     lowered = C.ascii_lower(data)
+    marked = np.flatnonzero(data[1:] >= 0x80)
+    lowered[marked] = data[marked]
     special = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))
     rows = np.unique(np.searchsorted(offsets, special, side="right") - 1)
     for r in rows.tolist():

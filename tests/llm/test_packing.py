@@ -93,3 +93,12 @@ def test_any_text_gets_the_tokenizers_own_ids(texts):
 
 def test_empty_table(docs):
     assert P.pack(docs([]), PATH).count() == 0
+
+
+def test_capitals_before_combining_marks():
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    texts = [f"a{x}{m}b {x}{m}" for x in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for m in marks]
+    texts += [f"{x}̣{m}" for x in "HJTWY" for m in marks] + ["J̌", "W̊E", "H", "̱"]
+    counts, ids = _encode(P._Encoder(PATH), texts)
+    want = [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
