@@ -11,6 +11,7 @@ from quotalake.llm import common as C
 from quotalake.llm import (
     backoff,
     decontaminate,
+    fim,
     langid,
     licenses,
     linededup,
@@ -95,9 +96,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.concat_ws(",", "labels").alias("labels"), "score")
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fim.restore(fim.transform(_table(spark, sf_dir, "documents")))
+    return done.select("doc_id", F.col("n_lines").alias("n"), "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
 _ALL = [op1_quality_rules, op2_decontaminate, op3_language_profiles, op4_private_data, op5_stupid_backoff,
         op6_histogram_shards, op7_line_dedup, op8_simhash, op9_concat_and_cut,
-        op10_license_scan]
+        op10_license_scan, op12_fill_in_middle]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -136,4 +143,22 @@ ORACLE_SQL: dict[str, str] = {
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN cover USING (rid) LEFT JOIN found USING (rid)""",
+    "op12_fill_in_middle": r"""
+        WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+                            regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+                            sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        drawn AS (SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS x,
+                         CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS y,
+                         t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') AS plain,
+                         CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 AS spm FROM doc),
+        cut AS (SELECT *, array_to_string(u[1:least(x, y)], '') AS p,
+                       array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+                       array_to_string(u[greatest(x, y) + 1:], '') AS s FROM drawn)
+        SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+               CASE WHEN NOT plain THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+               CASE WHEN NOT plain THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+               sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || s || '<P>' || p || '<M>' || m
+                           ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM cut""",
 }
