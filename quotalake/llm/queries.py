@@ -20,6 +20,7 @@ from quotalake.llm import (
     quality,
     sharding,
     simhash,
+    warc,
 )
 
 
@@ -96,6 +97,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.concat_ws(",", "labels").alias("labels"), "score")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    path = C.scratch_path(spark)
+    warc.write(pages, path)
+    records = warc.read(spark, path, payloads=False)
+    kind = pages.schema["page_id"].dataType
+    sound = F.when(F.col("problem").isNull(), F.col("record_type")).otherwise(F.raise_error(F.col("problem")))
+    return records.select(F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
+                          sound.alias("record_type"), F.col("refers_to").cast(kind).alias("refers_to"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = fim.restore(fim.transform(_table(spark, sf_dir, "documents")))
     return done.select("doc_id", F.col("n_lines").alias("n"), "form", "prefix_chars", "middle_chars",
@@ -104,7 +116,7 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = [op1_quality_rules, op2_decontaminate, op3_language_profiles, op4_private_data, op5_stupid_backoff,
         op6_histogram_shards, op7_line_dedup, op8_simhash, op9_concat_and_cut,
-        op10_license_scan, op12_fill_in_middle]
+        op10_license_scan, op11_warc, op12_fill_in_middle]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -143,6 +155,14 @@ ORACLE_SQL: dict[str, str] = {
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN cover USING (rid) LEFT JOIN found USING (rid)""",
+    "op11_warc": """
+        WITH page AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        seen AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keep FROM page),
+        typed AS (SELECT *, strlen(h) >= 1000 AND keep IS NOT NULL AND page_id IS DISTINCT FROM keep AS again FROM seen)
+        SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN keep END AS refers_to
+        FROM typed""",
     "op12_fill_in_middle": r"""
         WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
                             regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
