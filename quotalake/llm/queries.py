@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quotalake.llm import common as C
 from quotalake.llm import (
     backoff,
+    conversations,
     decontaminate,
     fim,
     langid,
@@ -114,9 +115,14 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(_table(spark, sf_dir, "conversations")), "absent")
+
+
 _ALL = [op1_quality_rules, op2_decontaminate, op3_language_profiles, op4_private_data, op5_stupid_backoff,
         op6_histogram_shards, op7_line_dedup, op8_simhash, op9_concat_and_cut,
-        op10_license_scan, op11_warc, op12_fill_in_middle]
+        op10_license_scan, op11_warc, op12_fill_in_middle,
+        op13_conversation_repair]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
