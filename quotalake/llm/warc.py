@@ -23,7 +23,7 @@ record end, HTTP length and payload digest.  What is wrong with a record stands
 in ``problem``; behind bytes that are no frame it goes on at the next frame.
 
 The dictionary is trained from at most ``SAMPLES`` whole payloads of at most
-``SAMPLE_BYTES`` each (those with the smallest hashes).  It changes the size of
+``SAMPLE_BYTES`` each, drawn by a hash of the row number.  It changes the size of
 an archive only; without enough samples there is none.
 
 Cases: a null payload is an empty one, a null url a record without target URI,
@@ -106,8 +106,11 @@ def train(pages: DataFrame, payload: str = "html", samples: int = SAMPLES,
           sample_bytes: int = SAMPLE_BYTES, size: int = DICTIONARY_BYTES) -> bytes | None:
     """A dictionary from a bounded sample of whole payloads, or None if there are too few."""
     text = pages[payload]
-    rows = (pages.select(text.alias("text"), F.xxhash64(text).alias("h"))
-            .where(F.octet_length("text").between(1, sample_bytes)).orderBy("h", "text").limit(samples).collect())
+    # draws by row, so copies cannot crowd the sample, and a share so small that few rows reach the driver
+    share = min(1.0, 2 * samples / max(pages.count(), 1))
+    rows = (pages.select(text.alias("text"), F.xxhash64(F.monotonically_increasing_id()).alias("h"))
+            .where((F.col("h") <= int(share * (1 << 64)) - (1 << 63) - 1) & F.octet_length("text").between(1, sample_bytes))
+            .orderBy("h").limit(samples).collect())
     try:
         return zstandard.train_dictionary(size, [r.text.encode() for r in rows]).as_bytes()
     except (zstandard.ZstdError, ValueError):  # the library's way to say: too few or too small samples
