@@ -7,6 +7,7 @@ nested-loop or cross join.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,9 +178,25 @@ def target_validation(salespeople: DataFrame, per_rep: DataFrame, years: int) ->
 # --- B12 ------------------------------------------------------------------
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """TRUNCATE + INSERT as an atomic-per-job overwrite of a Parquet folder."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """TRUNCATE + INSERT of a plain Parquet folder, which ``df`` may read.
+
+    The new rows go to a folder beside ``path`` and take its place by renaming
+    when all are written: a write that fails leaves the old rows where they are.
+    Between the two renames there is no ``path``; readers that must never meet
+    that, and stores whose renames copy, want ``snapshots.SnapshotTable``.
+    """
+    sc = df.sparkSession.sparkContext
+    name, tag = path.rstrip("/"), uuid.uuid4().hex
+    target, staged, old = (sc._jvm.org.apache.hadoop.fs.Path(p) for p in (name, f"{name}.new-{tag}", f"{name}.old-{tag}"))
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    try:
+        df.write.partitionBy(*(partition_by or [])).parquet(staged.toString())
+        if fs.exists(target) and not fs.rename(target, old):
+            raise OSError(f"{name} cannot be renamed")
+        if not fs.rename(staged, target):
+            fs.rename(old, target)
+            raise OSError(f"{name} cannot be replaced")
+    finally:
+        fs.delete(staged, True)
+    fs.delete(old, True)
     return path

@@ -373,11 +373,17 @@ def register_views(star: Star) -> list[str]:
 
 
 def publish_views(star: Star, out_dir: str) -> dict[str, str]:
-    """Write every view as a Parquet table under ``out_dir`` (replacing earlier output).
+    """Write every view as a versioned table under ``out_dir``; returns the folder of each new version.
 
-    The tables a BI layer reads without re-running the joins; each write is
-    an overwrite of its own folder (TRUNCATE + INSERT semantics).
+    The tables a BI layer reads without re-running the joins
+    (``SnapshotTable.read`` finds the newest).  A refresh that fails leaves all
+    readers the earlier rows.
     """
-    from quotalake.operators.build import replace_table
+    from quotalake.sources.snapshots import SnapshotTable
 
-    return {name: replace_table(fn(star), f"{out_dir.rstrip('/')}/{name}") for name, fn in VIEWS.items()}
+    found = {}
+    for name, fn in VIEWS.items():
+        table = SnapshotTable(star.spark, f"{out_dir.rstrip('/')}/{name}")
+        table.replace(fn(star))
+        found[name] = f"{table.path}/_data/{table.manifest()['parts']['']}"
+    return found
