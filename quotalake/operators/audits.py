@@ -4,6 +4,10 @@ Parquet enforces none of them, so each rule becomes a counting job that
 reports ``(rule, table_name, violations)``.  NULL and CHECK counts are
 conditional counts in one aggregate per frame, unpivoted with ``stack``; key
 uniqueness is a grouped count; references are left-anti joins of distinct keys.
+
+Rules name columns that a source may lack (``sale_id`` or ``hire_date`` of the
+order tables): a rule is applied where its columns exist, and ``not_applicable``
+lists the others.
 """
 
 from __future__ import annotations
@@ -21,9 +25,13 @@ UNIQUE_KEYS = (
     ("products", ("product_id",)),
     ("products", ("product_name",)),
     ("salespeople", ("salesperson_id",)),
+    ("sales", ("sale_id",)),
     ("pipeline", ("opportunity_id",)),
     ("calendar", ("date",)),
     ("targets", ("salesperson_id", "year", "month")),
+    ("targets", ("target_id",)),
+    ("customer_master", ("customer_master_id",)),
+    ("customer_master", ("company_name",)),
 )
 
 CHECKS = (
@@ -44,19 +52,22 @@ CHECKS = (
 # Keys and dates are counted in the tables they come from, before any join could
 # drop the rows; only derived columns are counted in the built table.
 NOT_NULL = (
-    ("customers", "customers_source", ("customer_id", "company_name", "industry", "state", "customer_size")),
+    ("customers", "customers_lookup", ("customer_id", "company_name", "industry", "state", "city", "customer_size",
+                                       "created_date")),
     ("products", "products", ("product_id", "product_name", "category", "standard_cost", "list_price")),
-    ("salespeople", "salespeople_source", ("salesperson_id", "first_name", "last_name", "state", "region")),
+    ("salespeople", "salespeople_lookup", ("salesperson_id", "first_name", "last_name", "state", "region", "manager",
+                                           "hire_date")),
     ("salespeople", "salespeople", ("annual_target",)),
-    ("sales", "sales_source", ("product_id", "salesperson_id", "quantity")),
+    ("sales", "sales_source", ("sale_id", "product_id", "salesperson_id", "quantity")),
     ("sales", "sales_order_source", ("customer_id", "sale_date")),
     ("sales", "sales", ("unit_price", "revenue", "cost", "profit")),
     ("pipeline", "opportunities", ("opportunity_id", "customer_id", "stage", "probability", "expected_close_date",
                                    "expected_revenue")),
     ("pipeline", "pipeline", ("salesperson_id", "product_id")),
-    ("targets", "target_keys", ("salesperson_id", "year", "month")),
+    ("targets", "target_keys", ("target_id", "salesperson_id", "year", "month")),
     ("targets", "targets", ("monthly_target",)),
     ("calendar", "calendar", ("date", "year", "quarter", "month", "month_name", "week", "day", "financial_year")),
+    ("customer_master", "customer_master", ("customer_master_id", "company_name", "industry")),
 )
 
 # The declared references: (rule, child frame, child column, parent frame, parent column).
@@ -71,9 +82,21 @@ FOREIGN_KEYS = (
 )
 
 
-def _star_table(star: Star, name: str) -> DataFrame:
+def _star_table(star: Star, name: str) -> DataFrame | None:
     frames = star.audit_frames
-    return frames[name] if name in frames else getattr(star, name)
+    return frames[name] if name in frames else getattr(star, name, None)
+
+
+def _lacks(star: Star, frame: str, columns: tuple[str, ...]) -> list[str]:
+    """The columns that a frame (all of them, if there is no such frame) does not have."""
+    df = _star_table(star, frame)
+    return [c for c in columns if df is None or c not in df.columns]
+
+
+def not_applicable(star: Star) -> list[str]:
+    """The unique and NOT NULL rules whose columns this star does not have."""
+    return ([f"unique:{t}({','.join(c)})" for t, c in UNIQUE_KEYS if _lacks(star, _KEY_FRAMES.get(t, t), c)]
+            + [f"not_null:{t}.{c}" for t, frame, cols in NOT_NULL for c in _lacks(star, frame, cols)])
 
 
 def _result(rule: str, table: str, violations: Column) -> list[Column]:
@@ -94,6 +117,8 @@ def audit_unique(star: Star) -> DataFrame:
     """Number of key values that occur more than once."""
     frames = []
     for table, cols in UNIQUE_KEYS:
+        if _lacks(star, _KEY_FRAMES.get(table, table), cols):
+            continue
         dupes = (_star_table(star, _KEY_FRAMES.get(table, table)).groupBy(*cols).count()
                  .agg(F.count(F.when(F.col("count") > 1, F.lit(1))).alias("v")))
         frames.append(dupes.select(*_result(f"unique:{table}({','.join(cols)})", table, F.col("v"))))
@@ -129,7 +154,7 @@ def _orphans(star: Star, links: list[tuple[str, ...]]) -> DataFrame:
             .select("rule", "table_name", F.col("violations").cast("long").alias("violations")))
 
 
-def _per_frame(star: Star, rules: dict[tuple[str, str], list[tuple[str, Column]]]) -> DataFrame:
+def per_frame(star: Star, rules: dict[tuple[str, str], list[tuple[str, Column]]]) -> DataFrame:
     """One aggregate per (table, frame), unpivoted to one row per rule."""
     frames = []
     for (table, frame), items in rules.items():
@@ -142,16 +167,71 @@ def _per_frame(star: Star, rules: dict[tuple[str, str], list[tuple[str, Column]]
     return _union(frames)
 
 
-def audit_check(star: Star) -> DataFrame:
-    """D3: rows where a CHECK condition is false (NULL passes, as in SQL)."""
+def check_rules() -> dict[tuple[str, str], list[tuple[str, Column]]]:
+    """(table, frame) -> (rule, condition of a violation) of D3."""
     rules: dict[tuple[str, str], list[tuple[str, Column]]] = {}
     for table, col, cond in CHECKS:
         frame = "opportunities" if table == "pipeline" else table
         rules.setdefault((table, frame), []).append((f"check:{table}.{col}", ~F.expr(cond)))
-    return _per_frame(star, rules)
+    return rules
+
+
+def not_null_rules(star: Star) -> dict[tuple[str, str], list[tuple[str, Column]]]:
+    """(table, frame) -> (rule, condition of a violation) of D4, for the columns that are there."""
+    rules = {}
+    for table, frame, cols in NOT_NULL:
+        lacking = _lacks(star, frame, cols)
+        found = [(f"not_null:{table}.{c}", F.col(c).isNull()) for c in cols if c not in lacking]
+        if found:
+            rules[table, frame] = found
+    return rules
+
+
+def audit_check(star: Star) -> DataFrame:
+    """D3: rows where a CHECK condition is false (NULL passes, as in SQL)."""
+    return per_frame(star, check_rules())
 
 
 def audit_not_null(star: Star) -> DataFrame:
     """NULLs in NOT NULL columns, one row per column."""
-    return _per_frame(star, {(table, frame): [(f"not_null:{table}.{c}", F.col(c).isNull()) for c in cols]
-                             for table, frame, cols in NOT_NULL})
+    return per_frame(star, not_null_rules(star))
+
+
+# --- D1 without a shuffle of keys ---------------------------------------------
+
+#: Fewer keys than this in the bitmap of a task and range, and the bitmaps take more bytes than the keys.
+DENSE = 512
+
+#: The keys of one integral column, by table.
+INTEGRAL_KEYS = tuple((table, cols[0]) for table, cols in UNIQUE_KEYS if len(cols) == 1 and cols[0].endswith("_id"))
+
+
+def duplicate_keys(df: DataFrame, key: str, dense: int = DENSE) -> int:
+    """How many non-NULL values of an integral key occur more than once, exactly.
+
+    The keys of a range of 32,768 values are one bitmap; tasks send bitmaps and
+    row counts of the ranges they hold, no keys.  A range with as many bits as
+    rows is clean; only the rows of other ranges are grouped by key.  This pays
+    where the rows of a task lie in few ranges: one narrow pass counts rows and
+    (task, range) pairs, and where a pair has fewer than ``dense`` rows the keys
+    are grouped right away.
+    """
+    k = F.col(key).cast("long")
+    keys = df.where(F.col(key).isNotNull()).select(
+        k.alias("k"), F.bitmap_bucket_number(k).alias("range"), F.bitmap_bit_position(k).alias("bit"))
+    spread = (keys.withColumn("task", F.spark_partition_id())
+              .agg(F.count("*").alias("n"), F.approx_count_distinct(F.struct("task", "range")).alias("pairs")).first())
+    if spread.n >= dense * spread.pairs:
+        ranges = keys.groupBy("range").agg(F.bitmap_count(F.bitmap_construct_agg("bit")).alias("bits"), F.count("*").alias("n"))
+        keys = keys.join(ranges.where("n > bits").select("range"), "range", "left_semi")
+    return keys.groupBy("k").count().where("count > 1").count()
+
+
+def audit_unique_integral(star: Star) -> DataFrame:
+    """D1 for the keys of one integral column, by ``duplicate_keys``."""
+    rows = []
+    for table, col in INTEGRAL_KEYS:
+        frame = _KEY_FRAMES.get(table, table)
+        if not _lacks(star, frame, (col,)):
+            rows.append((f"unique:{table}({col})", table, duplicate_keys(_star_table(star, frame), col)))
+    return star.spark.createDataFrame(rows, "rule string, table_name string, violations long")

@@ -160,6 +160,14 @@ def build_targets(salespeople: DataFrame, start: dt.date, end: dt.date,
             .withColumn("monthly_target", money_from_cents(F.col("target_cents"), 14)))
 
 
+def beaten_targets(targets: DataFrame, actuals: DataFrame, year: int) -> DataFrame:
+    """Changes for a merge: a rep-month of ``year`` that beat its target gets its actual as the new one."""
+    met = targets.where(F.col("year") == year).join(
+        actuals.where(F.col("year") == year), ["salesperson_id", "year", "month"])
+    return (met.where(F.col("actual_cents") > F.col("target_cents"))
+            .select("salesperson_id", "year", "month", money_from_cents(F.col("actual_cents"), 14).alias("monthly_target")))
+
+
 def target_validation(salespeople: DataFrame, per_rep: DataFrame, years: int) -> DataFrame:
     """Per rep with sales, annual and monthly target against mean monthly revenue.
 

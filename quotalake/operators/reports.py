@@ -21,11 +21,10 @@ from quotalake.functions.exact import (
     half_up_quotient,
     money_from_cents,
     pct,
-    sum_cents,
     unscale,
 )
 from quotalake.functions.text import full_name, title_case
-from quotalake.operators.build import CLOSED_LOST, CLOSED_WON, STAGES
+from quotalake.operators.build import STAGES
 from quotalake.sources.star import Star
 
 # Profit tiers of the product report.
@@ -242,9 +241,7 @@ def vw_pipeline_by_stage(star: Star) -> DataFrame:
     fact, then the exact weighted sum ``sum(p * E) / 100`` over those few
     groups in DECIMAL -- no per-row DECIMAL multiplication.
     """
-    per_prob = (star.opportunities.groupBy("stage", "probability")
-                .agg(F.count("opportunity_id").alias("n"),
-                     sum_cents(F.col("expected_revenue_cents")).alias("e_c")))
+    per_prob = star.stage_values()
     hundredths = as_int(F.col("probability") * F.lit(100))
     per_stage = (per_prob.groupBy("stage")
                  .agg(F.sum("n").alias("num_deals"),
@@ -271,30 +268,19 @@ def pipeline_by_stage(star: Star) -> DataFrame:
 
 # --- Q9a / Q9b / V8 ---------------------------------------------------------
 
-def _won_closed(df: DataFrame) -> dict:
-    won = F.count(F.when(F.col("stage") == F.lit(CLOSED_WON), F.col("opportunity_id")))
-    lost = F.count(F.when(F.col("stage") == F.lit(CLOSED_LOST), F.col("opportunity_id")))
-    closed = F.count(F.when(F.col("stage").isin(CLOSED_WON, CLOSED_LOST), F.col("opportunity_id")))
-    return {"deals_won": won, "deals_lost": lost, "total_closed": closed}
-
-
 def _win_rate():
     return pct(F.col("deals_won"), F.col("total_closed"), 1)
 
 
 def win_rate_overall(star: Star) -> DataFrame:
     """Deals won, lost, closed and win % over all opportunities."""
-    aggs = _won_closed(star.opportunities)
-    return (star.opportunities.agg(*[v.alias(k) for k, v in aggs.items()])
+    return (star.deal_counts()
             .select("deals_won", "deals_lost", "total_closed", _win_rate().alias("win_rate_pct")))
 
 
 def vw_win_rate_by_salesperson(star: Star) -> DataFrame:
     """V8: per rep with opportunities: won, closed, win % (NULL if none closed)."""
-    deals = star.opportunities_with_rep
-    aggs = _won_closed(deals)
-    per_rep = deals.groupBy("salesperson_id").agg(
-        aggs["deals_won"].alias("deals_won"), aggs["total_closed"].alias("total_closed"))
+    per_rep = star.deal_counts("salesperson_id").drop("deals_lost")
     reps = star.salespeople_opening.select("salesperson_id", "first_name", "last_name")
     return (per_rep.join(reps, "salesperson_id", "inner")
             .select("salesperson_id",

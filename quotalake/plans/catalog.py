@@ -8,7 +8,10 @@ comparison carry the same type.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +19,12 @@ from pyspark.sql.types import DateType, DecimalType
 
 from quotalake.functions.draws import CUSTOMER, key_draw
 from quotalake.operators import audits, reports
-from quotalake.operators.build import target_validation, value_opportunity
+from quotalake.operators.build import beaten_targets, target_validation, value_opportunity
+from quotalake.operators.kept import KeptStar, KeptTotals
+from quotalake.operators.load_audit import materialize_audited
 from quotalake.operators.ranking import kth_pick
-from quotalake.session import apply_defaults
+from quotalake.session import apply_defaults, shared_scratch
+from quotalake.sources.snapshots import SnapshotTable
 from quotalake.sources.star import Star, StarConfig
 
 def _without_cents(df: DataFrame) -> DataFrame:
@@ -45,6 +51,65 @@ def _pick_customers(star: Star) -> DataFrame:
             .select("opportunity_id", "picked_customer_id"))
 
 
+def _scratch(star: Star, name: str) -> str:
+    return f"{shared_scratch(star.spark)}/quotalake-{name}-{uuid.uuid4().hex}"
+
+
+def _merge_targets(star: Star) -> DataFrame:
+    """B3's UPDATE ... FROM on stored targets: rep-months of the last year that beat their target get a new one."""
+    table = SnapshotTable(star.spark, _scratch(star, "targets"))
+    table.replace(star.targets.select("salesperson_id", "year", "month", "monthly_target"), ["year"])
+    table.merge(beaten_targets(star.targets, star.monthly_actuals, star.calendar_range[1].year),
+                ["salesperson_id", "year", "month"])
+    return table.read()
+
+
+def _territory_with_fallback(star: Star) -> DataFrame:
+    """B9 with reps in part of the nations only, so that the others' opportunities take the fallback."""
+    config = replace(star.config, territory_nations="n_nationkey % 5 <> 4")
+    return _without_cents(Star(star.spark, star.source, config).pipeline)
+
+
+class _EditedOrders:
+    """A source whose orders are those of an earlier time."""
+
+    def __init__(self, inner, edit: Callable[[DataFrame], DataFrame]):
+        self.inner, self.edit = inner, edit
+
+    def table(self, name: str) -> DataFrame:
+        df = self.inner.table(name)
+        return self.edit(df) if name == "orders" else df
+
+
+def _kept(view: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
+    """A view over kept totals that began with another state of the orders and folded in all that changed.
+
+    At first the last half year's orders are not there, the orders of the 15th
+    of each month come late, and those of the 16th stand under a day before the
+    first one.  Three folds take in the late days, the changed ones and the new ones.
+    """
+    def run(star: Star) -> DataFrame:
+        first, last = star.order_years
+        new, ghost = dt.date(last, 2, 1), dt.date(first - 1, 12, 31)
+        day = F.dayofmonth("o_orderdate")
+        stored = star.t("orders").schema["o_orderdate"].dataType
+        before = _EditedOrders(star.source, lambda orders: orders.where(
+            (F.to_date("o_orderdate") < F.lit(new)) & (day != 15)).withColumn(
+            "o_orderdate", F.when(day == 16, F.lit(ghost).cast(stored)).otherwise(F.col("o_orderdate"))))
+        kept = KeptTotals(star.spark, _scratch(star, "kept"), "year").load(Star(star.spark, before, star.config))
+        days = [ghost + dt.timedelta(i) for i in range((dt.date(last, 12, 31) - ghost).days + 1)]
+        kept.fold(star, [d for d in days if d.day == 15 and d < new])
+        kept.fold(star, [ghost, *[d for d in days if d.day == 16 and d < new]])
+        kept.fold(star, [d for d in days if d >= new])
+        return view(KeptStar(star, kept))
+    return run
+
+
+def _load_audit(star: Star) -> DataFrame:
+    """D3 and D4, counted by the writes of the star."""
+    return materialize_audited(star)[1]
+
+
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     # reports and their views
     "overall_performance": reports.overall_performance,
@@ -86,6 +151,14 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "audit_fk": audits.audit_fk,
     "audit_check": audits.audit_check,
     "audit_not_null": audits.audit_not_null,
+    "audit_unique_integral": audits.audit_unique_integral,
+    "audit_load": _load_audit,
+    # stored tables: merge, fallback, views kept by increments
+    "merge_targets": _merge_targets,
+    "assign_territory_fallback": _territory_with_fallback,
+    "kept_revenue_by_state": _kept(reports.vw_revenue_by_state),
+    "kept_target_miss_rate": _kept(reports.vw_target_miss_rate),
+    "kept_pipeline_by_stage": _kept(reports.vw_pipeline_by_stage),
 }
 
 

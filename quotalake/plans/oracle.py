@@ -62,6 +62,34 @@ def _case(draw: str, weights, labels, quote: bool = True) -> str:
 
 _MARKUP = "CAST(56 + 4 * (((p_size % 6) + 6) % 6) AS DECIMAL(4,0))"
 
+def _pool_state(reps: str) -> str:
+    return f"""
+        SELECT salesperson_id, state,
+               row_number() OVER (PARTITION BY state ORDER BY {_draw('salesperson_id', 'position')}, salesperson_id)
+                   AS rn,
+               count(*) OVER (PARTITION BY state) AS cnt
+        FROM {reps}"""
+
+
+def _pool_all(reps: str) -> str:
+    return f"""
+        SELECT salesperson_id,
+               row_number() OVER (ORDER BY {_draw('salesperson_id', 'position')}, salesperson_id) AS rn,
+               count(*) OVER () AS cnt
+        FROM {reps}"""
+
+
+_PIPELINE = """
+        SELECT o.opportunity_id, o.customer_id,
+               coalesce(m.salesperson_id, f.salesperson_id) AS salesperson_id, pr.product_id,
+               o.stage, o.probability, o.expected_close_date, o.expected_revenue
+        FROM opp o
+        LEFT JOIN (SELECT DISTINCT category, cnt FROM prod_rank) pc ON pc.category = o.pcat
+        LEFT JOIN prod_rank pr ON pr.category = o.pcat AND pr.rn = 1 + o.pdraw % pc.cnt
+        LEFT JOIN (SELECT DISTINCT state, cnt FROM pool_state) sc ON sc.state = o.state
+        LEFT JOIN pool_state m ON m.state = o.state AND m.rn = 1 + o.tdraw % sc.cnt
+        LEFT JOIN pool_all f ON f.rn = 1 + o.tdraw % f.cnt"""
+
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     # first/last order year: the calendar starts a year before the first, the
     # rescale divides by the years spanned, the miss rate starts at the first
@@ -144,17 +172,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT CAST(unnest(generate_series(make_date(y0 - {LEAD_YEARS}, 1, 1),
                                                  make_date(y1, 12, 31), INTERVAL 1 DAY)) AS DATE) AS d
               FROM span)"""),
-    "pool_state": (("reps0",), f"""
-        SELECT salesperson_id, state,
-               row_number() OVER (PARTITION BY state ORDER BY {_draw('salesperson_id', 'position')}, salesperson_id)
-                   AS rn,
-               count(*) OVER (PARTITION BY state) AS cnt
-        FROM reps0"""),
-    "pool_all": (("reps0",), f"""
-        SELECT salesperson_id,
-               row_number() OVER (ORDER BY {_draw('salesperson_id', 'position')}, salesperson_id) AS rn,
-               count(*) OVER () AS cnt
-        FROM reps0"""),
+    "pool_state": (("reps0",), _pool_state("reps0")),
+    "pool_all": (("reps0",), _pool_all("reps0")),
     "opp": (("customers",), f"""
         SELECT o_orderkey AS opportunity_id, o_custkey AS customer_id,
                {_case(_draw('o_orderkey', 'stage'), STAGE_WEIGHTS, STAGES)} AS stage,
@@ -173,16 +192,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                    AS rn,
                count(*) OVER (PARTITION BY category) AS cnt
         FROM products"""),
-    "pipeline": (("opp", "pool_state", "pool_all", "prod_rank"), """
-        SELECT o.opportunity_id, o.customer_id,
-               coalesce(m.salesperson_id, f.salesperson_id) AS salesperson_id, pr.product_id,
-               o.stage, o.probability, o.expected_close_date, o.expected_revenue
-        FROM opp o
-        LEFT JOIN (SELECT DISTINCT category, cnt FROM prod_rank) pc ON pc.category = o.pcat
-        LEFT JOIN prod_rank pr ON pr.category = o.pcat AND pr.rn = 1 + o.pdraw % pc.cnt
-        LEFT JOIN (SELECT DISTINCT state, cnt FROM pool_state) sc ON sc.state = o.state
-        LEFT JOIN pool_state m ON m.state = o.state AND m.rn = 1 + o.tdraw % sc.cnt
-        LEFT JOIN pool_all f ON f.rn = 1 + o.tdraw % f.cnt"""),
+    "pipeline": (("opp", "pool_state", "pool_all", "prod_rank"), _PIPELINE),
     "state_revenue": (("sales", "customers"), """
         SELECT cu.state, sum(s.revenue) AS total_revenue, sum(s.profit) AS total_profit,
                count(*) AS sales_count
@@ -440,7 +450,7 @@ _NULLS = [_count(f"not_null:{table}.{col}", table, f"{expr} IS NULL", source) fo
     ("customers", "customer_id", "c_custkey", "customer"),
     ("customers", "company_name", "c_name", "customer"),
     ("customers", "industry", "c_mktsegment", "customer"),
-    ("customers", "state", "c_nationkey", "customer"),
+    ("customers", "state", "n_name", "customer LEFT JOIN nation ON c_nationkey = n_nationkey"),
     ("customers", "customer_size", "c_custkey", "customer"),
     ("products", "product_id", "p_partkey", "part"),
     ("products", "product_name", "p_name", "part"),
@@ -450,8 +460,9 @@ _NULLS = [_count(f"not_null:{table}.{col}", table, f"{expr} IS NULL", source) fo
     ("salespeople", "salesperson_id", "s_suppkey", "supplier"),
     ("salespeople", "first_name", "s_name", "supplier"),
     ("salespeople", "last_name", "s_name", "supplier"),
-    ("salespeople", "state", "s_nationkey", "supplier"),
-    ("salespeople", "region", "s_nationkey", "supplier"),
+    ("salespeople", "state", "n_name", "supplier LEFT JOIN nation ON s_nationkey = n_nationkey"),
+    ("salespeople", "region", "r_name", "supplier LEFT JOIN nation ON s_nationkey = n_nationkey "
+                                        "LEFT JOIN region ON n_regionkey = r_regionkey"),
     ("salespeople", "annual_target", "annual_target", "salespeople_t"),
     ("sales", "product_id", "l_partkey", "lineitem"),
     ("sales", "salesperson_id", "l_suppkey", "lineitem"),
@@ -483,6 +494,30 @@ ORACLE_SQL |= {
     "audit_fk": _AUDIT_TABLES + " UNION ALL ".join(_FOREIGN),
     "audit_check": _AUDIT_TABLES + " UNION ALL ".join(_CHECK),
     "audit_not_null": _AUDIT_TABLES + " UNION ALL ".join(_NULLS),
+    "audit_load": _AUDIT_TABLES + " UNION ALL ".join(_CHECK + _NULLS),
+    "audit_unique_integral": _AUDIT_TABLES + " UNION ALL ".join(
+        r for r in _UNIQUE if any(f"({key})" in r for key in ("customer_id", "product_id", "salesperson_id", "opportunity_id"))),
+    # targets of the last year's rep-months that beat them become the actuals
+    "merge_targets": _with("target_months", "span") + f"""
+        SELECT salesperson_id, year, month,
+               {_d("CASE WHEN year = (SELECT y1 FROM span) AND actual_cents > target_cents THEN actual_cents "
+                   "ELSE target_cents END", 2)} AS monthly_target
+        FROM target_months""",
+    # B9 with reps of some nations only
+    "assign_territory_fallback": _with("opp", "prod_rank", "reps0") + f"""
+        , some_reps AS (SELECT reps0.* FROM reps0 JOIN supplier ON salesperson_id = s_suppkey
+                        WHERE s_nationkey % 5 <> 4)
+        , pool_state AS ({_pool_state("some_reps")})
+        , pool_all AS ({_pool_all("some_reps")})
+        , pipeline AS ({_PIPELINE})
+        SELECT opportunity_id, customer_id, salesperson_id, product_id, stage,
+               {_money('probability')} AS probability, CAST(expected_close_date AS VARCHAR) AS expected_close_date,
+               {_money('expected_revenue')} AS expected_revenue
+        FROM pipeline""",
+    # kept views equal the views over all facts
+    "kept_revenue_by_state": _STATE,
+    "kept_target_miss_rate": _MISS_RATE,
+    "kept_pipeline_by_stage": _STAGE,
     # Every line item valued at its product's list price, undiscounted
     "value_opportunity": _with("products") + f"""
         SELECT l_orderkey AS opportunity_id, l_linenumber AS line_number, product_id,

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ from quotalake.functions.text import full_name
 from quotalake.sources.star import Star, StarConfig
 from quotalake.sources.tables import ParquetTables
 
+# The names of the stored tables (``customer_master`` may be missing).
+TABLES = ("customers", "products", "salespeople", "sales", "pipeline", "targets", "calendar")
 _SALES_MONEY = ("unit_price", "revenue", "cost", "profit")
 
 
@@ -103,8 +106,25 @@ class NativeStar(Star):
 
     @cached_property
     def audit_frames(self) -> dict[str, DataFrame]:
-        return {"customers_source": self.customers, "salespeople_source": self.salespeople_opening,
-                "salespeople": self.salespeople_opening, "sales_source": self.sales, "sales_order_source": self.sales, "target_keys": self.targets}
+        frames = {"customers_source": self.customers, "customers_lookup": self.customers,
+                  "salespeople_source": self.salespeople_opening, "salespeople_lookup": self.salespeople_opening,
+                  "salespeople": self.salespeople_opening, "sales_source": self.sales,
+                  "sales_order_source": self.sales, "target_keys": self.targets}
+        master = self.optional("customer_master")
+        return frames if master is None else frames | {"customer_master": master}
+
+    def optional(self, name: str) -> DataFrame | None:
+        """A table that need not be there."""
+        try:
+            return self.t(name)
+        except (KeyError, AnalysisException):
+            return None
+
+    @property
+    def stored_frames(self) -> dict[str, DataFrame]:
+        frames = {name: self.t(name) for name in TABLES}
+        master = self.optional("customer_master")
+        return frames if master is None else frames | {"customer_master": master}
 
     def materialize(self, path: str | None = None, partitions: int | None = None):
         raise TypeError("the tables are stored already")

@@ -128,6 +128,8 @@ class StarConfig:
     # reference's 32/25/18/15/10 split, the last share halved over two types.
     product_categories: tuple[str, ...] = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
     category_weights: tuple[int, ...] = (320, 250, 180, 150, 50, 50)
+    # SQL condition on ``n_nationkey``: only reps of these nations take part in B9 (None: all reps).
+    territory_nations: str | None = None
 
 
 class Star:
@@ -352,11 +354,18 @@ class Star:
                         money_cents(to_money(F.col("o_totalprice"))).alias("expected_revenue_cents"),
                         money_from_cents(money_cents(to_money(F.col("o_totalprice"))), 14).alias("expected_revenue"))
 
+    @cached_property
+    def territory_reps(self) -> DataFrame:
+        """The reps that opportunities are dealt to, with their state."""
+        reps = self.salespeople_opening.select("salesperson_id", "state")
+        if self.config.territory_nations is None:
+            return reps
+        return reps.join(self.nations.where(self.config.territory_nations).select("state"), "state", "left_semi")
+
     @cached_property
     def _customer_territory(self) -> DataFrame:
         """Customer key with its state and the two rep pool sizes (attached to the few states)."""
-        reps = self.salespeople_opening.select("salesperson_id", "state")
-        sizes = group_sizes(reps.where("state IS NOT NULL"), "state", "_state_reps")
+        sizes = group_sizes(self.territory_reps.where("state IS NOT NULL"), "state", "_state_reps")
         states = self.nations.join(sizes, "state", "left").select("n_nationkey", "state", "_state_reps")
         c = self.t("customer").select("c_custkey", "c_nationkey")
         return (c.join(states, c["c_nationkey"] == states["n_nationkey"], "inner")
@@ -368,8 +377,8 @@ class Star:
         cust = self._customer_territory
         opp = self.opportunities.withColumn("_draw", key_draw("opportunity_id", draws.TERRITORY))
         with_state = opp.join(cust, opp["customer_id"] == cust["_cid"], "left").drop("_cid")
-        all_reps = self.salespeople_opening.count()  # one number
-        return assign_territory(with_state, "_cstate", "_draw", self.salespeople_opening, "salesperson_id", "state",
+        all_reps = self.territory_reps.count()  # one number
+        return assign_territory(with_state, "_cstate", "_draw", self.territory_reps, "salesperson_id", "state",
                                 F.col("_state_reps"), F.lit(all_reps), "salesperson_id",
                                 self.config.rank_buckets).drop("_cstate", "_state_reps", "_draw")
 
@@ -393,8 +402,29 @@ class Star:
                                    "probability", "expected_close_date", "expected_revenue",
                                    "expected_revenue_cents")
 
+    # --- first-level aggregates of the pipeline --------------------------------
+
+    def stage_values(self) -> DataFrame:
+        """Opportunities (``n``) and expected cents (``e_c``) per stage and probability."""
+        return (self.opportunities.groupBy("stage", "probability")
+                .agg(F.count("opportunity_id").alias("n"), sum_cents(F.col("expected_revenue_cents")).alias("e_c")))
+
+    def deal_counts(self, *keys: str) -> DataFrame:
+        """Deals won, lost and closed per key, or over all opportunities."""
+        deals = self.opportunities_with_rep if keys else self.opportunities
+
+        def count(*stages: str):
+            return F.count(F.when(F.col("stage").isin(*stages), F.col("opportunity_id")))
+
+        return deals.groupBy(*keys).agg(
+            count(build.CLOSED_WON).alias("deals_won"), count(build.CLOSED_LOST).alias("deals_lost"),
+            count(build.CLOSED_WON, build.CLOSED_LOST).alias("total_closed"))
+
     # --- audits ---------------------------------------------------------------
 
+    #: The tables as stored, for SQL; None: they are derived (see ``sql_tables``).
+    stored_frames: dict[str, DataFrame] | None = None
+
     #: References of the source tables beside the declared ones.
     more_foreign_keys = (
         ("sales.order_id", "sales_source", "order_id", "sales_order_source", "order_id"),
@@ -408,14 +438,20 @@ class Star:
         first, last = (F.split_part(F.col("s_name"), F.lit("#"), F.lit(i)) for i in (1, 2))
         return {
             "customers_source": self.raw("customer").select(
+                F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("nation_key")),
+            "salespeople_source": self.raw("supplier").select(
+                F.col("s_suppkey").alias("salesperson_id"), F.col("s_nationkey").alias("nation_key")),
+            # state and region as looked up: NULL where the nation is unknown
+            "customers_lookup": self.raw("customer").join(
+                self.nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
                 F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("company_name"),
-                F.col("c_mktsegment").alias("industry"), F.col("c_nationkey").alias("state"),
-                F.col("c_nationkey").alias("nation_key"),
+                F.col("c_mktsegment").alias("industry"), "state",
                 build.customer_size(key_draw("c_custkey", draws.CUSTOMER_SIZE)).alias("customer_size")),
-            "salespeople_source": self.raw("supplier").select(
+            "salespeople_lookup": self.raw("supplier").join(
+                self.nations.join(self.t("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"),
+                F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
                 F.col("s_suppkey").alias("salesperson_id"), first.alias("first_name"), last.alias("last_name"),
-                F.col("s_nationkey").alias("state"), F.col("s_nationkey").alias("region"),
-                F.col("s_nationkey").alias("nation_key")),
+                "state", F.col("r_name").alias("region")),
             "sales_source": self.raw("lineitem").select(
                 F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
                 F.col("l_suppkey").alias("salesperson_id"), F.col("l_quantity").alias("quantity")),
@@ -430,7 +466,8 @@ class Star:
 
     # --- materialization ----------------------------------------------------
 
-    def materialize(self, path: str | None = None, partitions: int | None = None) -> "MaterializedStar":
+    def materialize(self, path: str | None = None, partitions: int | None = None, *,
+                    sales: DataFrame | None = None, pipeline: DataFrame | None = None) -> "MaterializedStar":
         """Write the priced facts and the dimensions once; return a star reading them.
 
         Like the load scripts of a warehouse: the two big joins and the per-row
@@ -443,6 +480,9 @@ class Star:
         ``partitions``: if given, every table is written as that many files;
         otherwise as the joins produce it (``spread`` of ``from_parquet``
         decides how many partitions a small fact scan has).
+
+        ``sales`` and ``pipeline``: these facts in another form with the same rows
+        and columns, such as one that counts as it is written (``load_audit``).
         """
         from quotalake.session import shared_scratch
 
@@ -454,9 +494,9 @@ class Star:
             "customers": lambda: builder.customers,
             "products": lambda: builder.products,
             "salespeople_opening": lambda: builder.salespeople_opening,
-            "pipeline": lambda: builder.pipeline.drop("expected_revenue"),  # carried as cents
+            "pipeline": lambda: (builder.pipeline if pipeline is None else pipeline).drop("expected_revenue"),  # carried as cents
         }
-        sales_plan = builder.sales.select("order_id", "line_number", "customer_id", "salesperson_id", "product_id", "sale_date",
+        sales_plan = (builder.sales if sales is None else sales).select("order_id", "line_number", "customer_id", "salesperson_id", "product_id", "sale_date",
                                           "quantity", "discount_percent", *SALES_CENTS)
 
         def write(name: str, df: DataFrame) -> None:
