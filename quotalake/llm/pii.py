@@ -3,10 +3,15 @@
 Base: e-mail addresses, IP addresses, payment cards and phone numbers by their
 patterns (leftmost, non-overlapping per kind, failing matches dropped).
 
-Method: the distinct base values are the protected entities.  A term that
-stands within ``CONTEXT`` words of an entity reveals it as far as their
-pointwise mutual information over the corpus reaches the entity's own
-information content:
+Method: the protected entities are the distinct base values, the secrets, and
+each kind of these as a whole, so that values which stand once or twice still
+give evidence together.  A secret is a run of ``SECRET_CHARS`` characters or more
+of ``[A-Za-z0-9_-]`` that carries at least ``SECRET_BITS`` bits (its length times the
+entropy of its characters) and changes between letters and digits
+``SECRET_TURNS`` times or more: keys and hashes do, words, dates and slugs do not.
+A term, a run of letters and digits, that stands within ``CONTEXT`` terms of an
+entity reveals it as far as their pointwise mutual information over the corpus
+reaches the entity's own information content:
 
     PMI(t; e) = log2(n_te * N / (n_t * n_e * 2 * CONTEXT)),
     IC(e)     = log2(N / (n_e * 2 * CONTEXT)),
@@ -16,9 +21,10 @@ and N the corpus words.  A term with PMI >= ``GENERALISE`` * IC is generalised,
 and with PMI >= ``REMOVE`` * IC removed, if the two share at least
 ``MIN_CONTEXTS`` different contexts (so that copies of one text are no
 evidence).  It goes wherever it stands, in documents without the entity too, but
-for places inside base spans; of several entities the strongest action counts.
+for places inside base spans and secrets; of several entities the strongest action counts.
 The documents are scanned again for these terms, by a bitmap of fixed size and
-an equality join; their places are added as spans of kind ``term``.
+an equality join; their places are added as spans of kind ``term``, the secrets
+as spans of kind ``secret``.
 
 Corpus counts cover every document.  They are kept for the words that may be a
 candidate term, chosen by a bitmap of fixed size, so what is shuffled is at
@@ -31,7 +37,11 @@ table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,11 +57,13 @@ CONTEXT = 5
 MIN_CONTEXTS = 3
 GENERALISE = 0.9
 REMOVE = 0.98
-MIN_TERM = 3
+SECRET_CHARS = 20
+SECRET_BITS = 64
+SECRET_TURNS = 5
 BITMAP_BITS = 18
 
 KINDS = ("email", "ip", "card", "phone")
-TERM = "term"
+SECRET, TERM = "secret", "term"
 
 # Possessive runs and the look-behind change no match; they keep a long run of digits linear.
 _DIGIT = re.compile(r"[0-9]")
@@ -60,9 +72,9 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TERM = re.compile("[A-Za-z\x80-\U0010ffff]+")
-_TERM_BYTES = C.byte_class((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
-_CONTEXT_CHARS = 160
+_TERM = re.compile("[A-Za-z0-9\x80-\U0010ffff]+")
+_SECRET = re.compile(f"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{{{SECRET_CHARS},}}+")
+_TURN = re.compile("[0-9][_-]?(?=[A-Za-z])|[A-Za-z][_-]?(?=[0-9])")
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -111,20 +123,50 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def is_secret(value: str) -> bool:
+    n = len(value)
+    bits = sum(c * math.log2(n / c) for c in Counter(value).values())
+    return bits >= SECRET_BITS and len(_TURN.findall(value)) >= SECRET_TURNS
+
+
+def _inside(spans: list[tuple[str, int, int]]):
+    """Whether a range overlaps some span."""
+    starts, ends, edge = [], [], -1
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if a < edge:
+            ends[-1] = edge = max(edge, b)
+        else:
+            starts.append(a)
+            ends.append(b)
+            edge = b
+
+    def overlaps(a: int, b: int) -> bool:
+        i = bisect_right(ends, a)
+        return i < len(starts) and starts[i] < b
+
+    return overlaps
+
+
+def secret_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Secrets outside of base spans, by place."""
+    taken = _inside(base)
+    return [(SECRET, m.start(), m.end()) for m in _SECRET.finditer(text)
+            if is_secret(m.group()) and not taken(m.start(), m.end())]
+
+
 def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     """The terms around each span, outside all spans, with a hash of the whole context."""
-    out = []
+    starts, ends, taken, out = array("q"), array("q"), _inside(spans), []
+    for m in _TERM.finditer(text):
+        starts.append(m.start())
+        ends.append(m.end())
     for kind, a, b in spans:
-        low = max(0, a - _CONTEXT_CHARS)
-        left = [m for m in _TERM.finditer(text, low, a) if m.start() > low or low == 0][-CONTEXT:]
-        high = min(len(text), b + _CONTEXT_CHARS)
-        right = [m for m in _TERM.finditer(text, b, high) if m.end() < high or high == len(text)][:CONTEXT]
-        terms = [(m.group().encode().lower(), m.start(), m.end()) for m in left + right
-                 if not any(x < m.end() and m.start() < y for _, x, y in spans)]
-        context = xxhash.xxh64_intdigest(b" ".join(t for t, _, _ in terms), 0) - (1 << 63)
+        left, right = bisect_right(ends, a), bisect_left(starts, b)
+        near = [*range(max(0, left - CONTEXT), left), *range(right, min(len(starts), right + CONTEXT))]
+        terms = [text[starts[i]:ends[i]].encode().lower() for i in near if not taken(starts[i], ends[i])]
+        context = xxhash.xxh64_intdigest(b" ".join(terms), 0) - (1 << 63)
         out += [{"entity": f"{kind}:{text[a:b].lower()}", "context": context, "term": t.decode("utf-8", "replace"),
-                 "term_hash": C.hash_bytes(t) - (1 << 63)}
-                for t, _, _ in terms if len(t) >= MIN_TERM]
+                 "term_hash": C.hash_bytes(t) - (1 << 63)} for t in terms]
     return out
 
 
@@ -134,7 +176,7 @@ _CONTEXTS = pa.list_(pa.struct([("entity", pa.string()), ("context", pa.int64())
 
 
 def find_base(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text_hash, base, spans, contexts) of every row; ``row`` numbers the rows."""
+    """(row, doc_id, text_hash, base, spans, contexts) of every row; ``row`` numbers the rows, spans hold secrets too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
@@ -145,6 +187,7 @@ def find_base(docs: DataFrame) -> DataFrame:
                     text = value.as_py() or ""
                     found = base_spans(text)
                     base.append(",".join(f"{k}:{a}:{b}" for k, a, b in found))
+                    found += secret_spans(text, found)
                     spans.append([{"kind": k, "start": a, "stop": b, "entity": f"{k}:{text[a:b].lower()}"}
                                   for k, a, b in found])
                     contexts.append(_contexts(text, found) if found else [])
@@ -170,7 +213,7 @@ def corpus_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
         for whole in batches:
             for batch in C.byte_slices(whole):
                 offsets, data = C.text_buffer(batch.column("text"))
-                h = C.tokenise(offsets, C.ascii_lower(data), _TERM_BYTES).hash
+                h = C.tokenise(offsets, C.ascii_lower(data), C.ALNUM).hash
                 total += len(h)
                 keys, n = np.unique(h[wanted[_bucket(h)]], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
@@ -197,9 +240,12 @@ def _wanted(terms: DataFrame) -> np.ndarray:
 def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE,
                     min_contexts: int = MIN_CONTEXTS) -> DataFrame:
     """(entity, term, term_hash, pmi, ic, action) of the terms above the disclosure threshold."""
-    entities = found.select(F.explode("spans").alias("s")).groupBy("s.entity").agg(F.count(F.lit(1)).alias("n_e"))
+    # a value and its kind: "email:ann@mail.org" and "email:"
+    both = F.explode(F.array(F.col("x.entity"), F.concat(F.substring_index("x.entity", ":", 1), F.lit(":")))).alias("entity")
+    entities = (found.select(F.explode("spans").alias("x")).select(both)
+                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
     candidates = C.materialise(
-        found.select(F.explode("contexts").alias("c")).select("c.*")
+        found.select(F.explode("contexts").alias("x")).select(both, "x.context", "x.term", "x.term_hash")
         .groupBy("entity", "term", "term_hash", "context").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term", "term_hash").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("support"))
         .where(F.col("support") >= min_contexts))
@@ -222,7 +268,7 @@ def term_places(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
             for batch in C.byte_slices(whole):
                 offsets, data = C.text_buffer(batch.column("text"))
                 lowered = C.ascii_lower(data)
-                words = C.tokenise(offsets, lowered, _TERM_BYTES)
+                words = C.tokenise(offsets, lowered, C.ALNUM)
                 hit = np.flatnonzero(wanted[_bucket(words.hash)])
                 if not len(hit):
                     continue
@@ -233,12 +279,10 @@ def term_places(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
                 for r in np.unique(row).tolist():
                     text = batch.column("text")[r].as_py()
                     spans = base_spans(text)
+                    spans += secret_spans(text, spans)
                     if spans:
-                        inside = np.zeros(len(text) + 1, np.int64)
-                        for _, x, y in spans:
-                            inside[x + 1:y + 1] = 1
-                        inside, mine = np.cumsum(inside), row == r
-                        free[mine] = inside[stop[mine]] == inside[start[mine]]
+                        taken, mine = _inside(spans), np.flatnonzero(row == r)
+                        free[mine] = [not taken(x, y) for x, y in zip(start[mine].tolist(), stop[mine].tolist())]
                 row, start, stop, begin, end = (x[free] for x in (row, start, stop, begin, end))
                 terms = [lowered[x:y].tobytes().decode("utf-8", "replace") for x, y in zip(begin.tolist(), end.tolist())]
                 take = pa.array(row)

@@ -53,11 +53,17 @@ def op3_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_private(_table(spark, sf_dir, "documents"))
-    terms = F.concat_ws(",", F.transform("terms", lambda t: F.concat_ws(":", F.lit(pii.TERM), t["start"], t["stop"])))
-    counts = [F.expr(f"size(filter(spans, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"),
-                        F.concat_ws(",", F.when(F.col("base") != "", F.col("base")),
-                                    F.when(terms != "", terms)).alias("spans"))
+
+    def joined(places, kind: str):
+        return F.concat_ws(",", F.transform(places, lambda p: F.concat_ws(":", F.lit(kind), p["start"], p["stop"])))
+
+    counts = {k: F.expr(f"size(filter(spans, s -> s.kind = '{k}'))").cast("long") for k in (*pii.KINDS, pii.SECRET)}
+    secrets = joined(F.filter("spans", lambda s: s["kind"] == pii.SECRET), pii.SECRET)
+    parts = [F.when(c != "", c) for c in (F.col("base"), secrets, joined("terms", pii.TERM))]
+    terms = F.size("terms").cast("long")
+    return found.select("doc_id", *[counts[k].alias(f"n_{k}") for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"),
+                        F.concat_ws(",", *parts).alias("spans"), counts[pii.SECRET].alias("n_secret"), terms.alias("n_term"),
+                        (F.size("spans").cast("long") + terms).alias("n_private"))
 
 
 def op5_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
