@@ -20,8 +20,12 @@ arrays so that a row carries many of them:
    in the order of its request.
 4. Blocks are co-grouped with their answers and sum the scores per document.
 
-A partition holds about ``PART_BYTES`` of text worth of n-grams, so the number
-of partitions grows with the corpus and no task's share does.
+A partition holds about ``PART_BYTES`` of text worth of n-grams, at most some
+three million, so the number of partitions grows with the corpus and no task's
+share does.  Within a partition an n-gram is known by ``HASH_BITS`` of its hash: the
+chance that it is taken for another is about 1 in 10**8 at every corpus size.
+This is the equality join of count tables with exploded n-grams, with a block's
+n-grams in one row for each partition; there is no row for a single n-gram.
 
 Cases: a null or empty text has no words and a null score.  Repeated rows are
 separate documents, each counting for the other.  A very long text is a block by
@@ -44,9 +48,9 @@ from quotalake.llm import common as C
 
 ORDER = 3
 ALPHA = 0.4
-PART_BYTES = 512 << 10
-MAX_PARTS = 1 << 20
-HASH_BYTES = 6
+PART_BYTES = 4 << 20
+HASH_BITS = 48
+DELTA_BYTES = 5
 SMALL = (1 << 16) - 1
 BLOCK_BYTES = 4 << 20
 
@@ -120,9 +124,7 @@ class _Grams:
 def requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
     """(part, block, grams, counts): the distinct n-grams that a block asks a partition for.
 
-    ``grams`` holds ``HASH_BYTES`` bytes of each hash: the partition is drawn from
-    all of its bits, so within one, with some hundred thousand n-grams, 48 bits
-    leave a chance of about 1 in 10**5 that any two of them meet.
+    ``grams`` holds the leading ``HASH_BITS`` of the hashes, ascending, as differences.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,11 +136,11 @@ def requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
                 start = np.concatenate([[0], np.flatnonzero(np.diff(g.part)) + 1])
                 edges = np.append(start, len(g.part)).astype(np.int32)
                 offsets = pa.array(edges)
-                short = g.grams.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
+                packed, cuts = _differences(g.grams >> np.uint64(64 - HASH_BITS), edges)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(g.part[start]), pa.array(np.full(len(start), block.as_py())),
                      pa.Array.from_buffers(pa.binary(), len(start), [
-                         None, pa.array(edges * HASH_BYTES).buffers()[1], pa.py_buffer(short)]),
+                         None, pa.array(cuts.astype(np.int32)).buffers()[1], pa.py_buffer(packed)]),
                      pa.ListArray.from_arrays(offsets, pa.array(g.counts.astype(np.int32)))],
                     names=["part", "block", "grams", "counts"])
 
@@ -146,14 +148,40 @@ def requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
         run, "part long, block long, grams binary, counts array<int>")
 
 
+_MOST = (1 << 8 * DELTA_BYTES) - 1  # "so much further, and the difference goes on"
+
+
+def _differences(values: np.ndarray, edges: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Ascending runs of values, each from 0 on, as numbers of ``DELTA_BYTES``; the byte offsets of the runs."""
+    gaps = np.diff(values, prepend=np.uint64(0)).astype(np.int64)
+    gaps[edges[:-1]] = values[edges[:-1]].astype(np.int64)
+    more = gaps // _MOST
+    at = np.cumsum(more + 1) - 1
+    out = np.full(int(at[-1]) + 1 if len(at) else 0, _MOST, np.uint64)
+    out[at] = (gaps - more * _MOST).astype(np.uint64)
+    ends = np.concatenate([[0], at + 1])[edges]
+    return out.view(np.uint8).reshape(-1, 8)[:, :DELTA_BYTES].tobytes(), DELTA_BYTES * ends
+
+
+def _values(blobs: list[bytes]) -> np.ndarray:
+    """The values of runs of differences, one run after the other."""
+    raw = b"".join(blobs)
+    gaps = np.zeros((len(raw) // DELTA_BYTES, 8), np.uint8)
+    gaps[:, :DELTA_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, DELTA_BYTES)
+    gaps = gaps.view(np.uint64).ravel()
+    sums = np.cumsum(gaps)  # wraps, as do the differences below
+    size = np.fromiter((len(b) // DELTA_BYTES for b in blobs), np.int64, len(blobs))
+    start = np.cumsum(size) - size
+    before = np.concatenate([np.zeros(1, np.uint64), sums])[start]
+    return (sums - np.repeat(before, size))[gaps != _MOST]
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """Add up one partition of the count table and answer each of its requests."""
-    raw = b"".join(table.column("grams").to_pylist())
-    asked = np.zeros((len(raw) // HASH_BYTES, 8), np.uint8)
-    asked[:, :HASH_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, HASH_BYTES)
+    asked = _values(table.column("grams").to_pylist())
     counts = np.concatenate([x.flatten().to_numpy() for x in table.column("counts").chunks])
     size = np.concatenate([x.value_lengths().to_numpy() for x in table.column("counts").chunks])
-    _, inverse = np.unique(asked.view(np.uint64).ravel(), return_inverse=True)
+    _, inverse = np.unique(asked, return_inverse=True)
     totals = np.bincount(inverse, weights=counts).astype(np.int64)[inverse]
     return _packed(table.column("part"), table.column("block"), totals, size)
 
@@ -224,7 +252,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_out:
     """(doc_id, n_words, log_score, mean_log_score) of every row."""
     blocks = C.materialise(block_table(docs), codec="uncompressed")
     size, words = blocks.agg(F.sum("bytes"), F.sum("words")).first()
-    parts = min(max(64, -(-(size or 0) // PART_BYTES)), MAX_PARTS)
+    parts = max(64, -(-(size or 0) // PART_BYTES))
     total = words or 0
     answers = (requests(blocks, order, parts).groupBy("part")
                .applyInArrow(_answer, "part long, block long, small binary, at array<int>, big array<long>"))

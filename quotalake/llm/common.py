@@ -65,6 +65,14 @@ def need(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[df[c] for c in columns])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it as long as ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # --- batches ---------------------------------------------------------------
 
 def byte_slices(batch: pa.RecordBatch, column: str = "text",

@@ -312,21 +312,22 @@ def find_private(docs: DataFrame) -> DataFrame:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with base spans replaced by their kind, and revealing terms by [TERM] or nothing."""
+    id_hash, text_hash, cuts = (C.fresh(docs, c) for c in ("_id_hash", "_text_hash", "_cuts"))
     found = find_private(docs).where("size(spans) > 0 OR size(terms) > 0")
-    cuts = (found.select(F.xxhash64("doc_id").alias("_id_hash"), F.col("text_hash").alias("_text_hash"), F.concat(
+    places = (found.select(F.xxhash64("doc_id").alias(id_hash), F.col("text_hash").alias(text_hash), F.concat(
         F.transform("spans", lambda s: F.struct(s["start"], s["stop"], F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))),
         F.transform("terms", lambda t: F.struct(t["start"], t["stop"], F.when(t["action"] == "remove", "").otherwise("[TERM]")))
-    ).cast("array<struct<start:int,stop:int,by:string>>").alias("_cuts"))
-        .dropDuplicates(["_id_hash", "_text_hash"]))
+    ).cast("array<struct<start:int,stop:int,by:string>>").alias(cuts))
+        .dropDuplicates([id_hash, text_hash]))
 
     @F.pandas_udf("string")
     def apply(texts, cuts):
         return texts.combine(cuts, _cut_text)
 
-    columns = [F.when(F.col("_cuts").isNull(), docs["text"]).otherwise(apply(docs["text"], F.col("_cuts"))).alias(c)
+    columns = [F.when(F.col(cuts).isNull(), docs["text"]).otherwise(apply(docs["text"], F.col(cuts))).alias(c)
                if c == "text" else docs[c] for c in docs.columns]
-    return (docs.withColumns({"_id_hash": F.xxhash64(docs["doc_id"]), "_text_hash": F.xxhash64(docs["text"])})
-            .join(cuts, ["_id_hash", "_text_hash"], "left").select(*columns))
+    return (docs.withColumns({id_hash: F.xxhash64(docs["doc_id"]), text_hash: F.xxhash64(docs["text"])})
+            .join(places, [id_hash, text_hash], "left").select(*columns))
 
 
 def _cut_text(text: str | None, cuts) -> str | None:

@@ -25,8 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quotalake.llm import common as C
 
@@ -53,7 +55,8 @@ def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> np.ndarray:
     total = good.count()
     if total > limit:
         good = good.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(limit / total * (1 << 30)))
-    return np.sort(np.array([r.doc_id for r in good.select("doc_id").collect()], dtype=np.int64))
+    return np.sort(np.array([r.doc_id for r in good.select("doc_id").collect()],
+                            dtype=object if isinstance(labels.schema["doc_id"].dataType, StringType) else np.int64))
 
 
 def _features(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,9 +77,9 @@ def bucket_counts(docs: DataFrame, trusted: np.ndarray) -> tuple[np.ndarray, np.
             for batch in C.byte_slices(whole):
                 rows, buckets = _features(*C.text_buffer(batch.column("text")))
                 raw += np.bincount(buckets, minlength=BUCKETS)
-                ids = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
-                known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-                good = known & np.isin(ids, trusted)
+                ids = batch.column("doc_id")
+                known = pa.array(trusted.tolist(), ids.type)
+                good = pc.is_in(ids, value_set=known).to_numpy(zero_copy_only=False)
                 target += np.bincount(buckets[good[rows]], minlength=BUCKETS)
         seen = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(raw[seen]), pa.array(target[seen])],

@@ -81,7 +81,8 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = linededup.dedup_lines(docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n"))))
     return done.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"),
                        F.col("removed_lines").cast("long").alias("removed_lines"),
-                       F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
+                       F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+                       F.array_join(F.transform("kept_in", lambda d: d.cast("string")), ",").alias("class_docs"), "line_links")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

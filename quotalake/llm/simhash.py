@@ -235,11 +235,10 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     Of several texts under that doc_id the one with the smallest hash stays, and
     of wholly repeated rows one.
     """
+    id_hash, text_hash = C.fresh(docs, "_id_hash"), C.fresh(docs, "_text_hash")
     groups = _grouped(docs, shingle, max_bits)
     keep = (groups.groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("one"))
-            .select(F.xxhash64("one.doc_id").alias("_id_hash"), F.col("one.text_hash").alias("_text_hash")))
-    rows = (docs.withColumn("_id_hash", F.xxhash64(docs["doc_id"]))
-            .withColumn("_text_hash", F.xxhash64(docs["text"])))
-    return (rows.join(keep, ["_id_hash", "_text_hash"], "left_semi")
-            .dropDuplicates(["_id_hash", "_text_hash"]).drop("_id_hash", "_text_hash"))
+            .select(F.xxhash64("one.doc_id").alias(id_hash), F.col("one.text_hash").alias(text_hash)))
+    rows = docs.withColumns({id_hash: F.xxhash64(docs["doc_id"]), text_hash: F.xxhash64(docs["text"])})
+    return rows.join(keep, [id_hash, text_hash], "left_semi").dropDuplicates([id_hash, text_hash]).drop(id_hash, text_hash)

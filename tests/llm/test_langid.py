@@ -60,3 +60,39 @@ def test_odd_rows_and_empty_tables(docs):
     assert L.identify(docs([])).count() == 0
     alone = L.identify(docs([(10, "words")]).selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")).first()
     assert (alone.lang_pred, alone.score) == ("und", 0.0)
+
+
+def test_predictions_and_scores_by_plain_sums(sf_docs):
+    """Prototypes and cosines of the whole table, trigram by trigram."""
+    from collections import Counter
+
+    space = L._Space(L.DIMENSIONS)
+    made = {}
+
+    def vector(text):
+        total = np.zeros(L.DIMENSIONS)
+        _, keys = L.trigrams([text])
+        for k, n in Counter(keys.tolist()).items():
+            if k not in made:
+                letters = [space._of_letter(k >> 42), space._of_letter(k >> 21 & 0x1FFFFF), space._of_letter(k & 0x1FFFFF)]
+                made[k] = np.roll(letters[0], 2) * np.roll(letters[1], 1) * letters[2]
+            total += n * made[k]
+        return total
+
+    rows = [(r.doc_id, r.text, r.lang) for r in sf_docs.collect()]
+    vectors = {d: vector(t) for d, t, _ in rows}
+    prototypes = {}
+    for d, _, lang in rows:
+        if zlib.crc32(str(d).encode()) % 5 and lang is not None:
+            prototypes[lang] = prototypes.get(lang, 0) + vectors[d]
+    names = sorted(prototypes)
+    unit = np.array([prototypes[x] / np.linalg.norm(prototypes[x]) for x in names])
+    for r in L.identify(sf_docs).collect():
+        cosine = unit @ vectors[r.doc_id] / np.linalg.norm(vectors[r.doc_id])
+        assert r.lang_pred == names[int(np.argmax(cosine))] and abs(r.score - max(cosine.max(), 0)) < 1e-5
+
+
+def test_very_long_text(spark):
+    df = spark.createDataFrame([(1, "the quick brown fox " * 250_000, "en"), (2, "der schnelle braune fuchs " * 50, "de")],
+                               "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in L.identify(df).collect()}[1] in ("en", "de", "und")

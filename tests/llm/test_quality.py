@@ -76,3 +76,44 @@ def test_no_labels_or_no_documents(spark, docs):
 def test_counts_cover_every_document(docs):
     raw, target = Q.bucket_counts(docs([(1, "a b c"), (2, "a b"), (None, "a")]), np.array([2]))
     assert raw.sum() == (3 + 2) + (2 + 1) + 1 and target.sum() == 3
+
+
+def test_score_and_verdict_by_plain_counting(spark, docs):
+    """Both multinomials, the ratio, the mean and the verdict of every row, from Counters over tokens."""
+    import math
+    from collections import Counter
+
+    from quotalake.llm import common as C
+
+    def features(text):
+        t = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e\x00-\x08\x0e-\x1f\x7f]+", (text or "").encode())
+        shift = 64 - (Q.BUCKETS.bit_length() - 1)
+        h = [C.hash_bytes(x) for x in t]
+        pairs = [int(C.mix64(np.uint64((a * int(C._BASE) + b) % (1 << 64)))) for a, b in zip(h, h[1:])]
+        return [x >> shift for x in h + pairs]
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()] + ODD
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    trusted = set(Q.trusted_ids(labels).tolist())
+    raw, target = Counter(), Counter()
+    for d, t in rows:
+        raw.update(features(t))
+        if d in trusted:
+            target.update(features(t))
+    total, good = sum(raw.values()), sum(target.values())
+    ratio = {b: math.log((target[b] + Q.PSEUDO_COUNT) / (n * good / total + Q.PSEUDO_COUNT)) for b, n in raw.items()}
+    want = []
+    for d, t in rows:
+        f = features(t)
+        mean = sum(ratio[b] for b in f) / max(len(f), 1)
+        want.append((str(d), round(mean, 9), not base(t)[5] and mean >= Q.THRESHOLD))
+    got = [(str(r.doc_id), round(r.score, 9), r.kept) for r in Q.quality(docs(rows), labels).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_string_ids_and_very_long_texts(spark):
+    long_text = " ".join(f"w{i}" for i in range(600_000))
+    df = spark.createDataFrame([("a", long_text), ("b", "x " * 80), (None, "z")], "doc_id string, text string")
+    labels = spark.createDataFrame([("a", 1, 0), ("c", 1, 0)], "doc_id string, quality int, toxic int")
+    rows = {r.doc_id: r for r in Q.quality(df, labels).collect()}
+    assert rows["a"].n_words == 600_000 and rows["a"].kept and rows["a"].score > rows["b"].score
