@@ -20,7 +20,10 @@ with n_te the co-occurrences, n_t and n_e all occurrences of term and entity
 and N the corpus words.  A term with PMI >= ``GENERALISE`` * IC is generalised,
 and with PMI >= ``REMOVE`` * IC removed, if the two share at least
 ``MIN_CONTEXTS`` different contexts (so that copies of one text are no
-evidence).  It goes wherever it stands, in documents without the entity too, but
+evidence).  For a kind they must share as many as ``KIND_SHARE`` of its
+occurrences: a term beside few of them says little about the kind, and with it at
+most 2 * CONTEXT / KIND_SHARE terms a kind are candidates, however large the
+corpus.  A term goes wherever it stands, in documents without the entity too, but
 for places inside base spans and secrets; of several entities the strongest action counts.
 The documents are scanned again for these terms, by a bitmap of fixed size and
 an equality join; their places are added as spans of kind ``term``, the secrets
@@ -55,12 +58,14 @@ from quotalake.llm import common as C
 
 CONTEXT = 5
 MIN_CONTEXTS = 3
+KIND_SHARE = 0.01
 GENERALISE = 0.9
 REMOVE = 0.98
 SECRET_CHARS = 20
 SECRET_BITS = 64
 SECRET_TURNS = 5
 BITMAP_BITS = 18
+HELD_TERMS = 1 << 18  # counted in a task before they are sent
 
 KINDS = ("email", "ip", "card", "phone")
 SECRET, TERM = "secret", "term"
@@ -209,15 +214,24 @@ def corpus_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     """(term_hash, n): occurrences of every word whose hash bucket is ``wanted``; null: all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = 0
+        total, keys, counts = 0, np.empty(0, np.uint64), np.empty(0, np.int64)
+
+        def held() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array((keys - np.uint64(1 << 63)).view(np.int64)), pa.array(counts)], names=["term_hash", "n"])
+
         for whole in batches:
             for batch in C.byte_slices(whole):
                 offsets, data = C.text_buffer(batch.column("text"))
                 h = C.tokenise(offsets, C.ascii_lower(data), C.ALNUM).hash
                 total += len(h)
-                keys, n = np.unique(h[wanted[_bucket(h)]], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((keys - np.uint64(1 << 63)).view(np.int64)), pa.array(n)], names=["term_hash", "n"])
+                new, n = np.unique(h[wanted[_bucket(h)]], return_counts=True)
+                keys, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
+                counts = np.bincount(at, weights=np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
+                if len(keys) > HELD_TERMS:
+                    yield held()
+                    keys, counts = keys[:0], counts[:0]
+        yield held()
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total])], names=["term_hash", "n"])
 
     return (C.need(docs, "text").mapInArrow(run, "term_hash long, n long")
@@ -244,17 +258,20 @@ def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float = GENER
     both = F.explode(F.array(F.col("x.entity"), F.concat(F.substring_index("x.entity", ":", 1), F.lit(":")))).alias("entity")
     entities = (found.select(F.explode("spans").alias("x")).select(both)
                 .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
+    # of a kind, whose name ends with the colon, only terms beside a share of its occurrences
+    enough = F.greatest(F.lit(float(min_contexts)),
+                        F.when(F.col("entity").endswith(":"), F.col("n_e") * KIND_SHARE).otherwise(0.0))
     candidates = C.materialise(
         found.select(F.explode("contexts").alias("x")).select(both, "x.context", "x.term", "x.term_hash")
         .groupBy("entity", "term", "term_hash", "context").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term", "term_hash").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("support"))
-        .where(F.col("support") >= min_contexts))
+        .where(F.col("support") >= min_contexts)
+        .join(entities, "entity").where(F.col("support") >= enough))
     counts = C.materialise(corpus_counts(docs, _wanted(candidates)))
     total = (counts.where("term_hash IS NULL").first() or [None, 0])[1]
     pmi = F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e") * F.lit(2.0 * CONTEXT)))
     ic = F.log2(F.lit(float(total)) / (F.col("n_e") * F.lit(2.0 * CONTEXT)))
     return (candidates.join(counts.select("term_hash", F.col("n").alias("n_t")), "term_hash")
-            .join(entities, "entity")
             .select("entity", "term", "term_hash", pmi.alias("pmi"), ic.alias("ic"))
             .where((F.col("ic") > 0) & (F.col("pmi") >= generalise * F.col("ic")))
             .withColumn("action", F.when(F.col("pmi") >= remove * F.col("ic"), "remove").otherwise("generalise")))

@@ -93,7 +93,8 @@ def revealing(texts, generalise=P.GENERALISE, least=P.MIN_CONTEXTS):
     for (entity, w), c in pairs.items():
         ic = math.log2(n / (entities[entity] * 10))
         pmi = math.log2(c * n / (words[w] * entities[entity] * 10))
-        if len(contexts[entity, w]) >= least and ic > 0 and pmi >= generalise * ic:
+        few = entity.endswith(":") and len(contexts[entity, w]) < P.KIND_SHARE * entities[entity]
+        if len(contexts[entity, w]) >= least and not few and ic > 0 and pmi >= generalise * ic:
             out[entity, w.decode()] = "remove" if pmi >= P.REMOVE * ic else "generalise"
     return out
 
