@@ -16,8 +16,8 @@ arrays so that a row carries many of them:
 2. Every block sends each of its distinct n-grams (all orders, as 64-bit hashes)
    once, with its count, to the count-table partition that its hash names.
    A frequent n-gram thus sends one entry per block, not one per occurrence.
-3. Each partition adds up its part of the count table and answers every block
-   in the order of its request.
+3. Each partition adds up its part of the count table and answers every block,
+   in the order of its request, with the occurrences outside that block.
 4. Blocks are co-grouped with their answers and sum the scores per document.
 
 A partition holds about ``PART_BYTES`` of text worth of n-grams, at most some
@@ -59,7 +59,7 @@ def block_table(docs: DataFrame) -> DataFrame:
     """(block, doc_id array, size array, blob, bytes, words): the texts of a block as one zstd blob."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, block = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId() << 32
+        pack, block = zstandard.ZstdCompressor(level=9), TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch in C.byte_slices(whole, limit=BLOCK_BYTES):
                 offsets, data = C.text_buffer(batch.column("text"))
@@ -136,11 +136,10 @@ def requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
                 start = np.concatenate([[0], np.flatnonzero(np.diff(g.part)) + 1])
                 edges = np.append(start, len(g.part)).astype(np.int32)
                 offsets = pa.array(edges)
-                packed, cuts = _differences(g.grams >> np.uint64(64 - HASH_BITS), edges)
+                packed = _differences(g.grams >> np.uint64(64 - HASH_BITS), edges)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(g.part[start]), pa.array(np.full(len(start), block.as_py())),
-                     pa.Array.from_buffers(pa.binary(), len(start), [
-                         None, pa.array(cuts.astype(np.int32)).buffers()[1], pa.py_buffer(packed)]),
+                     pa.array(packed, pa.binary()),
                      pa.ListArray.from_arrays(offsets, pa.array(g.counts.astype(np.int32)))],
                     names=["part", "block", "grams", "counts"])
 
@@ -148,32 +147,42 @@ def requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
         run, "part long, block long, grams binary, counts array<int>")
 
 
+def _squeezed(numbers: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of unsigned numbers, byte by byte of all of them, compressed."""
+    size = numbers.dtype.itemsize
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, size)[:, :width].T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unsqueezed(blob: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view(np.uint64).ravel()
+
+
 _MOST = (1 << 8 * DELTA_BYTES) - 1  # "so much further, and the difference goes on"
 
 
-def _differences(values: np.ndarray, edges: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """Ascending runs of values, each from 0 on, as numbers of ``DELTA_BYTES``; the byte offsets of the runs."""
+def _differences(values: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    """Ascending runs of values, each from 0 on, as numbers of ``DELTA_BYTES``, compressed run by run."""
     gaps = np.diff(values, prepend=np.uint64(0)).astype(np.int64)
     gaps[edges[:-1]] = values[edges[:-1]].astype(np.int64)
     more = gaps // _MOST
     at = np.cumsum(more + 1) - 1
     out = np.full(int(at[-1]) + 1 if len(at) else 0, _MOST, np.uint64)
     out[at] = (gaps - more * _MOST).astype(np.uint64)
-    ends = np.concatenate([[0], at + 1])[edges]
-    return out.view(np.uint8).reshape(-1, 8)[:, :DELTA_BYTES].tobytes(), DELTA_BYTES * ends
+    ends = np.concatenate([[0], at + 1])[edges].tolist()
+    return [_squeezed(out[a:b], DELTA_BYTES) for a, b in zip(ends, ends[1:])]
 
 
 def _values(blobs: list[bytes]) -> np.ndarray:
     """The values of runs of differences, one run after the other."""
-    raw = b"".join(blobs)
-    gaps = np.zeros((len(raw) // DELTA_BYTES, 8), np.uint8)
-    gaps[:, :DELTA_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, DELTA_BYTES)
-    gaps = gaps.view(np.uint64).ravel()
-    sums = np.cumsum(gaps)  # wraps, as do the differences below
-    size = np.fromiter((len(b) // DELTA_BYTES for b in blobs), np.int64, len(blobs))
-    start = np.cumsum(size) - size
-    before = np.concatenate([np.zeros(1, np.uint64), sums])[start]
-    return (sums - np.repeat(before, size))[gaps != _MOST]
+    runs = []
+    for blob in blobs:
+        gaps = _unsqueezed(blob, DELTA_BYTES)
+        runs.append(np.cumsum(gaps)[gaps != _MOST])
+    return np.concatenate([np.empty(0, np.uint64), *runs])
 
 
 def _answer(table: pa.Table) -> pa.Table:
@@ -182,35 +191,34 @@ def _answer(table: pa.Table) -> pa.Table:
     counts = np.concatenate([x.flatten().to_numpy() for x in table.column("counts").chunks])
     size = np.concatenate([x.value_lengths().to_numpy() for x in table.column("counts").chunks])
     _, inverse = np.unique(asked, return_inverse=True)
-    totals = np.bincount(inverse, weights=counts).astype(np.int64)[inverse]
+    totals = np.bincount(inverse, weights=counts).astype(np.int64)[inverse] - counts
     return _packed(table.column("part"), table.column("block"), totals, size)
 
 
-def _packed(part: pa.ChunkedArray, block: pa.ChunkedArray, totals: np.ndarray, size: np.ndarray) -> pa.Table:
-    """Totals of each request as two-byte numbers; ``at`` and ``big`` hold those that do not fit."""
+def _packed(part: pa.ChunkedArray, block: pa.ChunkedArray, others: np.ndarray, size: np.ndarray) -> pa.Table:
+    """Occurrences outside the block, for each request, as two-byte numbers; ``at`` and ``big`` hold the others."""
     edges = np.concatenate([[0], np.cumsum(size)])
-    small = np.minimum(totals, SMALL).astype("<u2").tobytes()
-    place = np.flatnonzero(totals >= SMALL)
+    small = np.minimum(others, SMALL).astype("<u2")
+    place = np.flatnonzero(others >= SMALL)
     row = np.searchsorted(edges, place, side="right") - 1
     cuts = pa.array(np.searchsorted(row, np.arange(len(size) + 1)).astype(np.int32))
     return pa.table({
         "part": part, "block": block,
-        "small": pa.Array.from_buffers(pa.binary(), len(size), [
-            None, pa.array((2 * edges).astype(np.int32)).buffers()[1], pa.py_buffer(small)]),
+        "small": pa.array([_squeezed(small[a:b], 2) for a, b in zip(edges.tolist(), edges[1:].tolist())], pa.binary()),
         "at": pa.ListArray.from_arrays(cuts, pa.array((place - edges[row]).astype(np.int32))),
-        "big": pa.ListArray.from_arrays(cuts, pa.array(totals[place]))})
+        "big": pa.ListArray.from_arrays(cuts, pa.array(others[place]))})
 
 
 def _unpacked(answers: pa.Table) -> np.ndarray:
-    """All totals of the rows in order."""
+    """All numbers of the rows in order."""
     none = np.empty(0, np.int64)
-    blobs = answers.column("small").to_pylist()
-    total = np.frombuffer(b"".join(blobs), "<u2").astype(np.int64)
-    start = np.cumsum([0, *map(len, blobs)])[:-1] // 2
+    runs = [_unsqueezed(b, 2).astype(np.int64) for b in answers.column("small").to_pylist()]
+    found = np.concatenate([none, *runs])
+    start = np.cumsum([0, *map(len, runs)])[:-1]
     count = np.concatenate([none, *[x.value_lengths().to_numpy() for x in answers.column("at").chunks]])
     at, big = (np.concatenate([none, *[x.flatten().to_numpy() for x in answers.column(c).chunks]]) for c in ("at", "big"))
-    total[np.repeat(start, count) + at] = big
-    return total
+    found[np.repeat(start, count) + at] = big
+    return found
 
 
 def _score_block(blocks: pa.Table, answers: pa.Table, order: int, parts: int, alpha: float, words: int,
@@ -219,7 +227,7 @@ def _score_block(blocks: pa.Table, answers: pa.Table, order: int, parts: int, al
     size = np.array(row["size"][0], np.int64)
     g = _Grams(size, row["blob"][0], order, parts)
     n = len(size)
-    total = _unpacked(answers.sort_by("part"))
+    total = g.counts + _unpacked(answers.sort_by("part"))
     n_words = np.bincount(g.row, minlength=n)
     # occurrences within the document itself, for every n-gram of it
     known, logs = [], np.zeros(len(g.row))
