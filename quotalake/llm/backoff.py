@@ -135,16 +135,16 @@ def requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
                     continue
                 start = np.concatenate([[0], np.flatnonzero(np.diff(g.part)) + 1])
                 edges = np.append(start, len(g.part)).astype(np.int32)
-                offsets = pa.array(edges)
+                counts = g.counts.astype(np.uint32)
                 packed = _differences(g.grams >> np.uint64(64 - HASH_BITS), edges)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(g.part[start]), pa.array(np.full(len(start), block.as_py())),
                      pa.array(packed, pa.binary()),
-                     pa.ListArray.from_arrays(offsets, pa.array(g.counts.astype(np.int32)))],
+                     pa.array([_squeezed(counts[a:b], 4) for a, b in zip(edges.tolist(), edges[1:].tolist())], pa.binary())],
                     names=["part", "block", "grams", "counts"])
 
     return blocks.select("block", "size", "blob").mapInArrow(
-        run, "part long, block long, grams binary, counts array<int>")
+        run, "part long, block long, grams binary, counts binary")
 
 
 def _squeezed(numbers: np.ndarray, width: int) -> bytes:
@@ -188,8 +188,8 @@ def _values(blobs: list[bytes]) -> np.ndarray:
 def _answer(table: pa.Table) -> pa.Table:
     """Add up one partition of the count table and answer each of its requests."""
     asked = _values(table.column("grams").to_pylist())
-    counts = np.concatenate([x.flatten().to_numpy() for x in table.column("counts").chunks])
-    size = np.concatenate([x.value_lengths().to_numpy() for x in table.column("counts").chunks])
+    runs = [_unsqueezed(b, 4).astype(np.int64) for b in table.column("counts").to_pylist()]
+    counts, size = np.concatenate(runs), np.array([len(r) for r in runs])
     _, inverse = np.unique(asked, return_inverse=True)
     totals = np.bincount(inverse, weights=counts).astype(np.int64)[inverse] - counts
     return _packed(table.column("part"), table.column("block"), totals, size)
