@@ -7,6 +7,8 @@ Tokenising works on the UTF-8 bytes of a whole Arrow batch at once: a
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -60,6 +62,15 @@ def ship_code(spark: SparkSession) -> None:
     sc._quotalake_shipped = True
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker waits for its next task with what it keeps."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def need(df: DataFrame, *columns: str) -> DataFrame:
     """The named columns only, so that extra columns can clash with nothing."""
     return df.select(*[df[c] for c in columns])
