@@ -25,7 +25,8 @@ from quotalake.functions.exact import (
 )
 from quotalake.functions.text import full_name, title_case
 from quotalake.operators.build import STAGES
-from quotalake.sources.star import Star
+from quotalake.sources.star import Star, totals_by
+from quotalake.sources.yearly import YearlyStar
 
 # Profit tiers of the product report.
 TIER_HIGH = "High"
@@ -78,6 +79,23 @@ def vw_revenue_by_month(star: Star) -> DataFrame:
             .select("year", "month", "month_name", _money("rev_c", "total_revenue")))
 
 
+def revenue_by_month_of(star: YearlyStar, financial_year: str) -> DataFrame:
+    """V1 for one financial year, over sales stored by calendar year.
+
+    The calendar rows of that year decide at run time which partitions of the
+    sales are read: the join has the partition column in its key, and the days
+    are summed by it as well, so the pruning reaches the scan.
+    """
+    cal = star.calendar.where(F.col("financial_year") == financial_year).select("date", "year", "month", "month_name")
+    if star.calendar_rows is not None and star.calendar_rows <= MAX_BROADCAST_DAYS:
+        cal = F.broadcast(cal)
+    daily = totals_by(star.sales_by_year, "sale_year", "sale_date").select("sale_year", "sale_date", "rev_c")
+    return (daily.join(cal, (daily["sale_year"] == cal["year"]) & (daily["sale_date"] == cal["date"]), "inner")
+            .groupBy("year", "month", "month_name")
+            .agg(F.sum("rev_c").alias("rev_c"))
+            .select("year", "month", "month_name", _money("rev_c", "total_revenue")))
+
+
 def revenue_by_month(star: Star) -> DataFrame:
     """Q2: V1 sorted by (year, month), with ``month`` dropped after the sort."""
     return (vw_revenue_by_month(star).orderBy("year", "month")
@@ -181,7 +199,7 @@ def _target_months(star: Star, from_year: int | None = None) -> DataFrame:
     The left join keeps months without sales.  The actuals are the same plan
     that the rescale rolls up, so the fact is aggregated once.
     """
-    return (star.target_rows(from_year).join(star.monthly_actuals, ["salesperson_id", "year", "month"], "left")
+    return (star.target_rows(from_year).join(star.actuals_since(from_year), ["salesperson_id", "year", "month"], "left")
             .withColumn("actual_cents", F.coalesce(F.col("actual_cents"), F.lit(0).cast("decimal(30,0)"))))
 
 

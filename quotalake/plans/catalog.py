@@ -26,6 +26,7 @@ from quotalake.operators.ranking import kth_pick
 from quotalake.session import apply_defaults, shared_scratch
 from quotalake.sources.snapshots import SnapshotTable
 from quotalake.sources.star import Star, StarConfig
+from quotalake.sources.yearly import YearlyStar
 
 def _without_cents(df: DataFrame) -> DataFrame:
     """The public columns of a star table (the BIGINT-cents carriers dropped)."""
@@ -105,6 +106,22 @@ def _kept(view: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
     return run
 
 
+def _yearly(view: Callable[[YearlyStar], DataFrame]) -> Callable[[Star], DataFrame]:
+    """A view over sales stored by year."""
+    return lambda star: view(YearlyStar(star, _scratch(star, "yearly")).load())
+
+
+def _reloaded(star: Star) -> DataFrame:
+    """V5 over sales by year that were first stored without the last year and with half the one before it."""
+    last = star.order_years[1]
+    day = F.to_date("o_orderdate")
+    before = Star(star.spark, _EditedOrders(star.source, lambda orders: orders.where(day < F.lit(dt.date(last - 1, 7, 1)))),
+                  star.config)
+    path = _scratch(star, "yearly")
+    YearlyStar(before, path).load()
+    return reports.vw_actual_vs_target(YearlyStar(star, path).reload([last - 1, last]))
+
+
 def _load_audit(star: Star) -> DataFrame:
     """D3 and D4, counted by the writes of the star."""
     return materialize_audited(star)[1]
@@ -159,6 +176,10 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "kept_revenue_by_state": _kept(reports.vw_revenue_by_state),
     "kept_target_miss_rate": _kept(reports.vw_target_miss_rate),
     "kept_pipeline_by_stage": _kept(reports.vw_pipeline_by_stage),
+    # sales stored by year: pruned reports, reload of some years
+    "yearly_revenue_by_month": _yearly(lambda star: reports.revenue_by_month_of(star, f"FY{star.order_years[1]}")),
+    "yearly_target_miss_rate": _yearly(lambda star: reports.vw_target_miss_rate(star, star.order_years[1] - 2)),
+    "yearly_actual_vs_target": _reloaded,
 }
 
 

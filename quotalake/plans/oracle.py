@@ -252,8 +252,9 @@ _STATE_VARIANCE = _with("state_revenue") + f"""
            {_d(_hu('CAST(n AS HUGEINT) * rc - tot', 'CAST(n AS HUGEINT)'), 2)} AS variance_from_avg
     FROM sv"""
 
-_MISS_RATE = _with("target_months", "span") + f"""
-    , tm AS (SELECT * FROM target_months WHERE year >= (SELECT y0 FROM span))
+def _miss_rate(since: str) -> str:
+    return _with("target_months", "span") + f"""
+    , tm AS (SELECT * FROM target_months WHERE year >= (SELECT {since} FROM span))
     SELECT salesperson_id, full_name,
            count(month) FILTER (WHERE actual_cents < target_cents) AS months_missed,
            count(month) AS total_months,
@@ -261,6 +262,9 @@ _MISS_RATE = _with("target_months", "span") + f"""
                AS pct_months_missed
     FROM tm GROUP BY salesperson_id, full_name"""
 
+
+_MISS_RATE = _miss_rate("y0")
+
 _ACTUAL_VS_TARGET = _with("target_months") + f"""
     SELECT salesperson_id, full_name, year, month, {_d('target_cents', 2)} AS monthly_target,
            {_d('actual_cents', 2)} AS actual_revenue,
@@ -518,6 +522,14 @@ ORACLE_SQL |= {
     "kept_revenue_by_state": _STATE,
     "kept_target_miss_rate": _MISS_RATE,
     "kept_pipeline_by_stage": _STAGE,
+    # sales stored by year: the last financial year, the last three years' targets, all after a reload
+    "yearly_revenue_by_month": _with("calendar", "sales", "span") + f"""
+        SELECT c.year, c.month, c.month_name, {_money('sum(s.revenue)')} AS total_revenue
+        FROM calendar c JOIN sales s ON c.date = s.sale_date
+        WHERE c.financial_year = (SELECT 'FY' || CAST(y1 AS VARCHAR) FROM span)
+        GROUP BY c.year, c.month, c.month_name""",
+    "yearly_target_miss_rate": _miss_rate("y1 - 2"),
+    "yearly_actual_vs_target": _ACTUAL_VS_TARGET,
     # Every line item valued at its product's list price, undiscounted
     "value_opportunity": _with("products") + f"""
         SELECT l_orderkey AS opportunity_id, l_linenumber AS line_number, product_id,

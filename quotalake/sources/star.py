@@ -218,6 +218,10 @@ class Star:
         """Revenue cents per rep and month of the sale date."""
         return self.rep_months.select("salesperson_id", "year", "month", F.col("rev_c").alias("actual_cents"))
 
+    def actuals_since(self, from_year: int | None) -> DataFrame:
+        """Actuals for a report that starts at ``from_year``; here all, as the rescale needs the same aggregate."""
+        return self.monthly_actuals
+
     def sales_totals(self, key: str) -> DataFrame:
         """Per-customer / product / rep / day totals (``rev_c``, ``prof_c``, ``sales_count``)."""
         cache = self.__dict__.setdefault("_totals", {})
