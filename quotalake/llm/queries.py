@@ -67,7 +67,9 @@ def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff.score(_table(spark, sf_dir, "documents"))
+    # rounded, as the order in which logarithms are added up shows in a sum's last digits
+    return backoff.score(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
 def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +149,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
 
-#: DuckDB SQL of the queries that SQL can express: every window of every text, joined as text.
+#: DuckDB SQL of the queries that SQL can express, over words as text: every window of every text (2), every
+#: occurrence of every n-gram with its counts in the corpus and in its own document (5).
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": f"""
         WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
@@ -168,6 +171,26 @@ ORACLE_SQL: dict[str, str] = {
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN cover USING (rid) LEFT JOIN found USING (rid)""",
+    "op5_stupid_backoff": f"""
+        WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+        word AS (SELECT rid, i, len(w) AS n, w[i] AS c, CASE WHEN i > 1 THEN w[i - 1] END AS b,
+                        CASE WHEN i > 2 THEN w[i - 2] END AS a
+                 FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+        known AS (SELECT rid, i, greatest(count(*) OVER () - n, 1) AS outside,
+                         count(*) OVER (PARTITION BY c) - count(*) OVER (PARTITION BY rid, c) AS k1,
+                         count(*) OVER (PARTITION BY b, c) - count(*) OVER (PARTITION BY rid, b, c) AS k2,
+                         count(*) OVER (PARTITION BY a, b, c) - count(*) OVER (PARTITION BY rid, a, b, c) AS k3
+                  FROM word),
+        context AS (SELECT *, lag(k1) OVER (PARTITION BY rid ORDER BY i) AS before1,
+                           lag(k2) OVER (PARTITION BY rid ORDER BY i) AS before2 FROM known),
+        scored AS (SELECT rid, sum(CASE WHEN i > 2 AND k3 > 0 THEN ln(k3 / before2)
+                                        WHEN i > 1 AND k2 > 0 THEN ln(k2 / before1) + ln(0.4)
+                                        WHEN k1 > 0 THEN ln(k1 / outside) + 2 * ln(0.4)
+                                        ELSE 3 * ln(0.4) - ln(outside) END) AS s
+                   FROM context GROUP BY rid)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(s, 0.0), 4) AS log_score,
+               CASE WHEN len(w) > 0 THEN round(s / len(w), 6) END AS mean_log_score
+        FROM doc LEFT JOIN scored USING (rid)""",
     "op11_warc": """
         WITH page AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         seen AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keep FROM page),
