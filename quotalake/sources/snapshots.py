@@ -190,8 +190,17 @@ class SnapshotTable:
         With ``insert``, change rows without a match become rows (NULL in the
         columns they lack).  Returns the partitions that were written again.  A
         key may stand once in ``changes``, else it is refused; NULL keys match
-        nothing.
+        nothing.  The changes are computed once and kept in a file until the end.
         """
+        held_at = f"changes-{uuid.uuid4().hex}"  # beside the data, so that ``drop_old`` takes what a killed merge left
+        stored = f"{self.path}/_data/{held_at}"
+        try:
+            changes.write.parquet(stored)
+            return self._merge(self.spark.read.schema(changes.schema).parquet(stored), keys, insert)
+        finally:
+            self._fs().delete(self._hadoop("_data", held_at), True)
+
+    def _merge(self, changes: DataFrame, keys: Sequence[str], insert: bool) -> list[str]:
         base = self.version()
         manifest = self.manifest(base)
         by, schema = manifest["partition_by"], StructType.fromJson(manifest["schema"])

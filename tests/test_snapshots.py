@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from decimal import Decimal
 
 import pytest
@@ -166,3 +167,20 @@ def test_replace_table_keeps_the_old_folder_when_the_write_fails(spark, tmp_path
     replace_table(spark.read.parquet(path).where("id > 0"), path)  # from itself
     assert spark.read.parquet(path).count() == 2
     assert [p.name for p in tmp_path.iterdir()] == ["plain"]
+
+
+def test_changes_are_computed_once(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.replace(spark.createDataFrame([(i, 2020 + i % 3, i) for i in range(30)], "id int, year int, v int"), ["year"])
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    changes = spark.createDataFrame([(i, 2020 + i % 3, 100 + i) for i in range(9)], "id int, year int, v int")
+    table.merge(changes.mapInArrow(counted, changes.schema), ["id", "year"])
+    assert read.value == 9
+    assert rows(table.read()) == sorted([(i, 2020 + i % 3, 100 + i if i < 9 else i) for i in range(30)], key=repr)
+    assert not [f for f in os.listdir(tmp_path / "t" / "_data") if f.startswith("changes")]
