@@ -117,9 +117,9 @@ class SnapshotTable:
         context.rename(self._hadoop(pointer), self._hadoop("_current"), options)
         return number
 
-    def _write(self, df: DataFrame, number: int, partition_by: Sequence[str]) -> tuple[str, list[str]]:
+    def _write(self, df: DataFrame, number: int, partition_by: Sequence[str], deal: bool = True) -> tuple[str, list[str]]:
         folder = f"v{number:06d}-{uuid.uuid4().hex[:12]}"
-        if partition_by:  # AQE sizes the files, and splits a partition that holds most rows
+        if partition_by and deal:  # AQE sizes the files, and splits a partition that holds most rows
             df = df.hint("rebalance", *partition_by)
         df.write.partitionBy(*partition_by).parquet(f"{self.path}/_data/{folder}")
         return folder, self._partitions(folder, len(partition_by))
@@ -151,24 +151,28 @@ class SnapshotTable:
 
     # --- changes -------------------------------------------------------------
 
-    def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """TRUNCATE + INSERT: the rows of ``df``, which may read this table, become the table."""
+    def replace(self, df: DataFrame, partition_by: Sequence[str] = (), deal: bool = True) -> int:
+        """TRUNCATE + INSERT: the rows of ``df``, which may read this table, become the table.
+
+        Rows are dealt out by partition first, a shuffle.  Without ``deal`` each
+        task writes what it has, a file for each partition it has rows of.
+        """
         base = self.version()
-        folder, parts = self._write(df, (base or 0) + 1, partition_by)
+        folder, parts = self._write(df, (base or 0) + 1, partition_by, deal)
         return self._switch(base, df.schema, partition_by, {p: folder for p in parts})
 
-    def rewrite(self, df: DataFrame, partitions: Iterable[str], base: int | None = None) -> int:
+    def rewrite(self, df: DataFrame, partitions: Iterable[str], base: int | None = None, deal: bool = True) -> int:
         """``df`` becomes the content of the named partitions; all others keep their files.
 
         ``base`` is the version that ``df`` was made from, if it is not to be
-        the current one of now.
+        the current one of now; ``deal`` is as in ``replace``.
         """
         base = self.version() if base is None else base
         manifest = self.manifest(base)
         schema, by = StructType.fromJson(manifest["schema"]), manifest["partition_by"]
         doomed = set(partitions)
         folder, written = self._write(df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]),
-                                      base + 1, by)
+                                      base + 1, by, deal)
         strange = set(written) - doomed
         if strange:
             raise ValueError(f"rows of other partitions: {sorted(strange)[:5]}")

@@ -39,7 +39,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotalake.functions import draws
@@ -110,6 +110,10 @@ def rolled_up(totals: DataFrame, *keys: str) -> DataFrame:
 MATERIALIZED_TOTALS = ("customer_id", "product_id", "sale_date")
 
 
+#: So many orders, three narrow columns each, are sent to every task instead of shuffling the line items.
+FEW_ORDERS = 1 << 21
+
+
 @dataclass(frozen=True)
 class StarConfig:
     # None: derived from the order dates (see ``Star.order_years``).
@@ -320,20 +324,25 @@ class Star:
         Money is carried as BIGINT cents (``*_cents``); the DECIMAL columns
         are derived from them and only computed when a query selects them.
         """
-        li = self.t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount")
+        return self._priced_lines(self._line_items())
+
+    def _line_items(self) -> DataFrame:
+        return self.t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount")
+
+    def _priced_lines(self, li: DataFrame, *carry: str) -> DataFrame:
         p = self.products.select("product_id", "list_cents", "cost_cents")
         joined = li.join(p, li["l_partkey"] == p["product_id"], "inner")
         hundredths = round_half_up_double(F.col("l_discount") * F.lit(10000.0)).cast("long")
         lines = joined.select(
             F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"), F.col("l_suppkey").alias("salesperson_id"), "product_id",
             F.col("l_quantity").cast("int").alias("quantity"),
-            hundredths.alias("_disc"), "list_cents", "cost_cents")
+            hundredths.alias("_disc"), "list_cents", "cost_cents", *carry)
         priced = build.price_sales(F.col("list_cents"), F.col("cost_cents"), F.col("quantity"),
                                    F.col("_disc"))
         return with_money_columns(lines.select(
             "order_id", "line_number", "salesperson_id", "product_id", "quantity",
             money_from_cents(F.col("_disc"), 5).alias("discount_percent"),
-            *[v.alias(k) for k, v in priced.items()]))
+            *[v.alias(k) for k, v in priced.items()], *carry))
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -346,6 +355,24 @@ class Star:
                     F.to_date(F.col("o_orderdate")).alias("sale_date"),
                     "quantity", "discount_percent", *SALES_CENTS))
 
+    def sales_on(self, condition: Column) -> DataFrame:
+        """The sales whose ``sale_date`` meets a condition.
+
+        The line items meet these orders before they are priced, so no others are
+        carried on; few orders are broadcast, and the line items stay in place.
+        """
+        mine = self.__dict__
+        if type(self).sales is not Star.sales or ("sales" in mine and "sales_lines" not in mine):  # stored or given
+            return self.sales.where(condition)
+        o = self.t("orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"),
+                                    F.to_date(F.col("o_orderdate")).alias("sale_date")).where(condition)
+        if o.count() <= FEW_ORDERS:
+            o = F.broadcast(o)
+        li = self._line_items()
+        lines = self._priced_lines(li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner"), "customer_id", "sale_date")
+        return lines.select("order_id", "line_number", "customer_id", "salesperson_id", "product_id", "sale_date", "quantity",
+                            "discount_percent", *SALES_CENTS, "unit_price", "revenue", "cost", "profit")
+
     @cached_property
     def opportunities(self) -> DataFrame:
         """Orders as opportunities: stage, probability, value and date, without any join."""

@@ -16,8 +16,9 @@ instead of all.
 ``reload`` takes in years whose source rows changed: their sales are priced
 again and only their partitions written; all other years keep their files.  It
 gives the same tables when run again, so a reload that failed between two tables
-is mended by another.  The sales are dealt out by year for the write, in parts
-that AQE sizes, so a year that holds most rows is many files of many tasks.
+is mended by another.  Each task that prices sales writes a file for every year
+it has, without another shuffle of the fact, so a year that holds most rows is
+many files of many tasks.
 
 Sales without a date are in the partition of no year (NULL), and in year 0 of
 the rep-months, as in ``rep_months_of``.
@@ -65,7 +66,7 @@ class YearlyStar(Star):
     # --- writing ---------------------------------------------------------------
 
     def _priced(self, years: Years | None = None) -> DataFrame:
-        sales = self.star.sales if years is None else self.star.sales.where(in_years(F.col("sale_date"), years))
+        sales = self.star.sales if years is None else self.star.sales_on(in_years(F.col("sale_date"), years))
         return sales.select("order_id", "line_number", "customer_id", "salesperson_id", "product_id", "sale_date",
                             "quantity", "discount_percent", *SALES_CENTS, F.year("sale_date").alias("sale_year"))
 
@@ -76,7 +77,7 @@ class YearlyStar(Star):
 
     def load(self) -> "YearlyStar":
         """Write all years."""
-        self.sales_table.replace(self._priced(), ["sale_year"])
+        self.sales_table.replace(self._priced(), ["sale_year"], deal=False)
         self.months_table.replace(rep_months_of(self.sales_table.read()), ["year"])
         self._write_reps()
         self._forget()
@@ -89,7 +90,7 @@ class YearlyStar(Star):
             return self
         spark = self.spark
         touched = self.sales_table.partition_names(spark.createDataFrame([(y,) for y in years], "sale_year int"))
-        self.sales_table.rewrite(self._priced(years), touched)
+        self.sales_table.rewrite(self._priced(years), touched, deal=False)
         months = self.months_table.partition_names(spark.createDataFrame([(y or 0,) for y in years], "year int"))
         self.months_table.rewrite(rep_months_of(self.sales_table.read(partitions=touched)), months)
         self._write_reps()

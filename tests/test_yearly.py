@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotalake.operators import reports
+from quotalake.sources.snapshots import SnapshotTable
 from quotalake.sources.star import Star
 from quotalake.sources.yearly import YearlyStar, in_years
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, star_with
 
 
 def rows(df):
@@ -99,3 +100,34 @@ def test_in_years(spark):
     assert rows(days.where(in_years(F.col("d"), [2000])).select(F.col("d").cast("string"))) == [("2000-01-01",), ("2000-12-31",)]
     assert days.where(in_years(F.col("d"), [2000, None])).count() == 3
     assert days.where(in_years(F.col("d"), [])).count() == 0
+
+
+def test_the_fact_is_not_dealt_out_by_year(spark, tmp_path, monkeypatch):
+    dealt, write = {}, SnapshotTable._write
+
+    def seen(self, df, number, by, deal=True):
+        dealt[self.path.rsplit("/", 1)[1]] = deal
+        return write(self, df, number, by, deal)
+
+    monkeypatch.setattr(SnapshotTable, "_write", seen)
+    yearly = YearlyStar(Star.from_parquet(spark, SF_SMALL), str(tmp_path / "y")).load()
+    assert dealt == {"sales": False, "rep_months": True, "salespeople": True}
+    dealt.clear()
+    yearly.reload([1997, 1998])
+    assert dealt["sales"] is False
+
+
+def test_sales_of_some_days_meet_their_orders_first(spark, monkeypatch):
+    star = Star.from_parquet(spark, SF_SMALL)
+    some = (F.dayofmonth("sale_date") == 15) | F.col("sale_date").isNull()
+    names = [c for c in star.sales.columns]
+    expected = sorted(map(tuple, star.sales.where(some).collect()))
+    for few in (1 << 21, 0):
+        monkeypatch.setattr("quotalake.sources.star.FEW_ORDERS", few)
+        got = Star.from_parquet(spark, SF_SMALL).sales_on(some)
+        assert sorted(got.columns) == sorted(names)
+        assert sorted(map(tuple, got.select(*names).collect())) == expected
+        assert ("strategy=broadcast" in got._jdf.queryExecution().optimizedPlan().toString()) == (few > 0)
+    # frames that a star was given are kept
+    given = star_with(spark, sales=star.sales.where("quantity > 10").select(*[c for c in names if c not in ("unit_price", "revenue", "cost", "profit")]))
+    assert given.sales_on(some).count() == star.sales.where(some & (F.col("quantity") > 10)).count()
