@@ -48,9 +48,11 @@ def daily_totals(star: Star, days: Days | None = None, period: str = "month") ->
     """All grains of the facts of ``days`` (of all days if None)."""
     part = PERIODS[period]
     days = None if days is None else list(days)
-    sales, deals = star.sales, star.opportunities_with_rep
-    if days is not None:
-        sales = sales.where(_on(F.col("sale_date"), days))
+    deals = star.opportunities_with_rep
+    if days is None:
+        sales = star.sales
+    else:
+        sales = star.sales_on(_on(F.col("sale_date"), days))
         deals = deals.where(_on(F.col("expected_close_date"), days))
     no = F.lit(None)
     # one pass over the priced sales, whose joins cost more than three rows for each
@@ -80,7 +82,8 @@ class KeptTotals:
 
     def load(self, star: Star) -> "KeptTotals":
         """Build the state from all facts."""
-        self.table.replace(daily_totals(star, period=self.period), ["grain", "period"])
+        # years are few, so that a task's files of each are not too small and another shuffle can be spared
+        self.table.replace(daily_totals(star, period=self.period), ["grain", "period"], deal=self.period != "year")
         return self
 
     def fold(self, star: Star, days: Days) -> "KeptTotals":
@@ -94,7 +97,9 @@ class KeptTotals:
         grains = self.table.spark.createDataFrame([(g,) for g in (*SALES_GRAINS, DEALS)], "grain string")
         touched = self.table.partition_names(periods.distinct().crossJoin(grains))  # a few names, no rows
         others = self.table.read(base, touched).where(~_on(F.col("day"), days))
-        self.table.rewrite(others.unionByName(daily_totals(star, days, self.period)), touched, base)
+        # the copied rows come from files of their partitions: only the new ones are dealt out
+        fresh = daily_totals(star, days, self.period).hint("rebalance", "grain", "period")
+        self.table.rewrite(others.unionByName(fresh), touched, base, deal=False)
         return self
 
     def grain(self, name: str) -> DataFrame:

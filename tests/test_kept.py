@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quotalake.operators import reports
 from quotalake.operators.kept import KeptStar, KeptTotals
+from quotalake.sources.snapshots import SnapshotTable
 from quotalake.sources.native_star import NativeStar
 from tests.test_native_star import D, _m, frames  # noqa: F401
 
@@ -81,3 +82,19 @@ def test_a_fold_writes_only_its_periods_and_keeps_the_state_when_it_fails(spark,
     with pytest.raises(PySparkException):
         kept.fold(broken, [D(2022, 2, 6), dt.date(2022, 2, 7)])
     same(stars([1, 2, 3, 5], [1, 2, 3]), kept, FEW)
+
+
+def test_a_fold_deals_out_new_totals_only(spark, stars, tmp_path, monkeypatch):
+    kept = KeptTotals(spark, str(tmp_path / "kept"), "year").load(stars([1, 2], [1, 2]))
+    found, write = [], SnapshotTable._write
+
+    def seen(self, df, number, by, deal=True):
+        found.append((deal, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(self, df, number, by, deal)
+
+    monkeypatch.setattr(SnapshotTable, "_write", seen)
+    later = stars([1, 2, 3, 4, 5], [1, 2, 3])
+    kept.fold(later, [D(2022, 2, 6), D(2022, 2, 7), D(2022, 8, 1), D(2022, 9, 1), None])
+    (deal, plan), = found
+    assert not deal and plan.count("RebalancePartitions") == 1 and plan.index("Union") < plan.index("RebalancePartitions")
+    same(later, kept, FEW)
